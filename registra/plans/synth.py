@@ -178,7 +178,7 @@ def bank_accounts(clients: DataFrame, as_of: date, seed: int = SEED) -> DataFram
     numbered = ranking.running_offset(counted, "client_id", F.col("n"), "offset")
     key = F.col("account_id")
     rows = numbered.select(
-        "client_id", "birth_date", (F.col("offset") + F.explode(F.sequence(F.lit(1).cast("bigint"), "n"))).alias("account_id")
+        "client_id", "birth_date", F.explode(F.sequence(F.col("offset") + 1, F.col("offset") + F.col("n"))).alias("account_id")
     )
     return rows.select(
         "account_id",
@@ -198,7 +198,7 @@ def bank_transactions(accounts: DataFrame, as_of: date, seed: int = SEED) -> Dat
     numbered = ranking.running_offset(counted, "account_id", F.col("n"), "offset")
     key = F.col("transaction_id")
     rows = numbered.select(
-        "account_id", "open_date", (F.col("offset") + F.explode(F.sequence(F.lit(1).cast("bigint"), "n"))).alias("transaction_id")
+        "account_id", "open_date", F.explode(F.sequence(F.col("offset") + 1, F.col("offset") + F.col("n"))).alias("transaction_id")
     ).withColumn("transaction_type", pick_weighted(draw(seed, "transaction.type", key), [CREDITED, DEBITED], [30, 70]))
     wording = draw(seed, "transaction.description", key)
     return rows.select(
