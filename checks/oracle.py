@@ -164,8 +164,6 @@ ALL_COLUMNS = """courseid, userid, num_week, s_all, s_all_avg, s_course_viewed,
   s_a_submission_status_viewed_avg, namer_level, name_vatt, depart, name_osno, name_formopril, leveled, num_sem, kurs, date_vatt"""
 FIXED = ", ".join(f"replace({c}, ',', '.') AS {c}" for c in AVERAGES)
 FIRST_10 = "ORDER BY " + ", ".join(f"{c.strip()} ASC NULLS LAST" for c in ALL_COLUMNS.split(",")) + " LIMIT 10"
-# CSV holds an empty text and a missing one alike: both come back as missing.
-BLANK_TO_NULL = ", ".join(f"nullif({c}, '') AS {c}" for c in AVERAGES[1:])
 
 LEVEL_PLACE = "CASE leveled WHEN '1' THEN 1 WHEN '2' THEN 2 ELSE 3 END"
 BASE_PLACE = "CASE name_osno WHEN '1' THEN 1 WHEN '2' THEN 2 ELSE 3 END"
@@ -178,7 +176,7 @@ V1_GRADE = "regexp_full_match(namer_level, '[0-9]+')"
 
 _add(
     LOGS,
-    s_csv_user_logs=f"SELECT * REPLACE ({BLANK_TO_NULL}) FROM logs",
+    s_csv_user_logs="SELECT * FROM logs",
     s_csv_departments="SELECT id, name FROM departments",
     s_row_counts="SELECT 'user_logs' AS table_name, count(*) AS n_rows FROM logs UNION ALL SELECT 'departments', count(*) FROM departments",
     c_pk_violations="""SELECT userid, courseid, num_week, count(*) AS n_rows FROM logs GROUP BY ALL
@@ -188,7 +186,7 @@ _add(
         GROUP BY ALL HAVING max(CAST(namer_level AS INTEGER)) NOT IN (2, 3, 4, 5)""",
     c_fk_orphans="SELECT depart, count(*) AS n_rows FROM logs WHERE depart NOT IN (SELECT id FROM departments) GROUP BY depart",
     q_preview10=f"SELECT * FROM logs {FIRST_10}",
-    q_decimal_fix_preview=f"SELECT * REPLACE ({FIXED}) FROM logs {FIRST_10.replace('ORDER BY', 'ORDER BY')}",
+    q_decimal_fix_preview=f"SELECT * REPLACE ({FIXED}) FROM logs {FIRST_10}",
     t_random_sample=f"SELECT * FROM logs ORDER BY md5(concat_ws('|', '42', {ALL_COLUMNS})) LIMIT 5",
     f_numeric_grade=f"SELECT userid, courseid, num_week, namer_level FROM logs WHERE {V1_GRADE}",
     x_dirty_rows=f"SELECT userid, courseid, num_week, {', '.join(AVERAGES)} FROM logs WHERE "
@@ -355,6 +353,7 @@ SELECT *, {CATEGORY} AS activity_category FROM (
     + _first_stage("n", "num_week > 26")
     + f"\n--\nSELECT student_id, course_id, {_OLD_BASICS}, {_NEW_COUNTERS} FROM o FULL JOIN n USING (student_id, course_id)",
     m_student_performance=_performance(False),
+    m_performance_arrivals=_performance(False),
     m_student_performance_v1=_performance(True),
     m_performance_refresh=_refresh(False),
     m_performance_refresh_v1=_refresh(True),
@@ -596,7 +595,7 @@ def _cycle(key: str, words: list[str]) -> str:
 def _person(what: str, youngest: int, oldest: int) -> str:
     return f"""{_pick(what + '.last', 'id', synth.LAST_NAMES)} AS last_name, {_pick(what + '.first', 'id', synth.FIRST_NAMES)} AS first_name,
     {_pick(what + '.patronymic', 'id', synth.PATRONYMICS)} AS patronymic,
-    {_day(what + '.birth', 'id', _years_ago(oldest + 1) + ' + 1', _years_ago(youngest)).replace('+ 1 + CAST', '+ 1 + CAST')} AS birth_date,
+    {_day(what + '.birth', 'id', _years_ago(oldest + 1) + ' + 1', _years_ago(youngest))} AS birth_date,
     'г. ' || {_pick(what + '.city', 'id', synth.CITIES)} || ', ул. ' || {_pick(what + '.street', 'id', synth.STREETS)}
       || ', д. ' || {_between(what + '.house', 'id', 1, 150)} AS address,
     '+7 9' || lpad(CAST({_between(what + '.phone', 'id', 0, 999999999)} AS VARCHAR), 9, '0') AS phone,

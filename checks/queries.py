@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from registra import schemas, standin
 from registra.functions import labels, numbers
 from registra.operators import quality, ranking
 from registra.operators.upsert import upsert
-from registra.plans import bank, marts, portal, skills, synth, triples
+from registra.plans import bank, jobs, marts, portal, skills, synth, triples
 from registra.sources import rdf, shared, sinks, tables
 
 AS_OF = date(2024, 1, 1)
@@ -247,8 +248,14 @@ def _refreshed(logs, deps, variant):
     return _performance(_late(logs), deps, variant, existing=before)
 
 
+def _after_arrivals(logs, deps):
+    before = marts.student_performance(_early(logs), deps, None, RUN_TIME)
+    return _without_time(jobs.performance_after_arrivals(logs, _late(logs), deps, before, RUN_TIME))
+
+
 over_logs_and_departments(
     m_student_performance=_performance,
+    m_performance_arrivals=_after_arrivals,
     m_student_performance_v1=lambda logs, deps: _performance(logs, deps, "v1"),
     m_performance_refresh=lambda logs, deps: _refreshed(logs, deps, "v2"),
     m_performance_refresh_v1=lambda logs, deps: _refreshed(logs, deps, "v1"),
@@ -259,9 +266,12 @@ over_logs_and_departments(
 
 def _grants(base: skills.SkillBase) -> DataFrame:
     """Competencies and positions in one listing."""
-    granted = skills.competencies_of(base)
-    return granted.select("employee_id", F.lit("competency").alias("kind"), F.col("competency_id").alias("name")).unionByName(
-        skills.positions_of(base, granted).select(
+    found = skills.infer(base)
+    competencies = found.competencies.select(
+        "employee_id", F.lit("competency").alias("kind"), F.col("competency_id").alias("name")
+    )
+    return competencies.unionByName(
+        found.positions.select(
             "employee_id", F.lit("position").alias("kind"), F.col("position_id").alias("name")
         )
     )
@@ -292,16 +302,23 @@ def o_add_requirements(spark, folder):
 @query
 def o_whatif_requirements(spark, folder):
     base, extra = standin.skill_base(spark, folder), standin.extra_requirements(spark, folder)
-    kept = skills.positions_after(base, extra, "keep").withColumn("mode", F.lit("keep"))
-    return kept.unionByName(skills.positions_after(base, extra, "recompute").withColumn("mode", F.lit("recompute")))
+    granted = shared.written(skills.competencies_of(base), "competencies")
+    return reduce(
+        DataFrame.unionByName,
+        [
+            skills.positions_after(base, extra, mode, granted).withColumn("mode", F.lit(mode))
+            for mode in ("keep", "recompute")
+        ],
+    )
 
 
 @query
 def o_position_violations(spark, folder):
     base, extra = standin.skill_base(spark, folder), standin.extra_requirements(spark, folder)
     changed = skills.with_requirements(base, extra)
-    kept = skills.positions_after(base, extra, "keep")
-    return skills.position_violations(kept, skills.competencies_of(changed), changed.position_competency)
+    granted = shared.written(skills.competencies_of(base), "competencies")
+    kept = skills.positions_after(base, extra, "keep", granted)
+    return skills.position_violations(kept, granted, changed.position_competency)
 
 
 @query
@@ -346,15 +363,11 @@ def _bank_parts(b: standin.Bank) -> tuple[DataFrame, ...]:
     return b.clients, b.accounts, b.transactions, b.credits
 
 
-def _first_five(b: standin.Bank) -> DataFrame:
-    return bank.report_lines(bank.report_rows(bank.first_clients(b.clients, 5), b.accounts, b.transactions, b.credits))
-
-
 over_bank(
     b_annuity=lambda b: b.credits,
     b_client_attrs=lambda b: bank.client_attributes(b.clients),
     b_first_transactions=lambda b: bank.first_transactions(b.transactions),
-    b_client_report=_first_five,
+    b_client_report=lambda b: bank.first_clients_report(*_bank_parts(b)),
     b_client_report_flat=lambda b: bank.report_rows(*_bank_parts(b)),
     b_summary=lambda b: bank.summary(*_bank_parts(b)),
     o_bank_edges=lambda b: triples.bank_edges(*_bank_parts(b)),

@@ -2,32 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def paired_with(people: DataFrame, catalogue: DataFrame, per_block: int = 1000, salts: int = 32) -> DataFrame:
+# A catalogue of at most this many values is sent to every task.
+BROADCAST_VALUES = 100_000
+
+
+def paired_with(people: DataFrame, catalogue: DataFrame, values: int, per_block: int = 1000, salts: int = 64) -> DataFrame:
     """Every person with every catalogue row, for results defined on all of these pairs.
 
-    The catalogue is cut into blocks that people are copied to; the join is on (block,
-    salt), so no join key holds more than a 1/salts part of the people and a block of the
-    catalogue, whatever the size of either. A small catalogue is broadcast by Spark.
+    `values` is the counted size of the catalogue. A small catalogue is broadcast. A
+    larger one is cut into blocks that people are copied to, and joined on (block, salt):
+    no key then holds more than one block and a 1/salts part of the people.
     """
-    rows = catalogue.count()
-    blocks = max(1, -(-rows // per_block))
-    width = F.lit(blocks).cast("bigint")
-    left = people.withColumns(
-        {
-            "_block": F.explode(F.sequence(F.lit(0).cast("bigint"), width - 1)),
-            "_salt": F.pmod(F.xxhash64(*people.columns), F.lit(salts).cast("bigint")),
-        }
-    )
-    right = catalogue.withColumns(
-        {
-            "_block": F.pmod(F.xxhash64(*catalogue.columns), width),
-            "_salt": F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))),
-        }
-    )
+    small = values <= BROADCAST_VALUES
+    blocks, salts = (1, 1) if small else (-(-values // per_block), salts)
+
+    def spread(df: DataFrame, parts: int) -> Column:
+        return F.pmod(F.xxhash64(*df.columns), F.lit(parts).cast("bigint"))
+
+    def every(parts: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint")))
+
+    left = people.withColumn("_block", every(blocks)).withColumn("_salt", spread(people, salts))
+    right = catalogue.withColumn("_salt", every(salts)).withColumn("_block", spread(catalogue, blocks))
+    right = F.broadcast(right) if small else right
     return left.join(right, ["_block", "_salt"]).drop("_block", "_salt")
 
 
@@ -36,24 +38,23 @@ def qualified(
 ) -> DataFrame:
     """Distinct (person, goal) for which the person holds every required item.
 
-    A goal without requirements goes to everybody. The count of matched requirements is
-    compared with the count of requirements, so only equal items are ever joined.
+    `held` holds distinct (person, item) of these people. A goal without requirements goes
+    to everybody. The count of matched requirements is compared with the count of
+    requirements, so only equal items are ever joined.
     """
-    needs = required.select(goal, item).distinct().join(goals.select(goal).distinct(), goal, "left_semi")
+    known = goals.select(goal).distinct()
+    needs = required.select(goal, item).distinct().join(known, goal, "left_semi")
     sizes = needs.groupBy(goal).agg(F.count(F.lit(1)).alias("_needed"))
     earned = (
-        held.select(person, item)
-        .distinct()
-        .join(needs, item)
+        held.join(needs.join(sizes, goal), item)
         .groupBy(person, goal)
-        .agg(F.count(F.lit(1)).alias("_matched"))
-        .join(sizes, goal)
+        .agg(F.count(F.lit(1)).alias("_matched"), F.max("_needed").alias("_needed"))
         .filter("_matched = _needed")
         .select(person, goal)
-        .join(people.select(person).distinct(), person, "left_semi")
     )
-    free = goals.select(goal).distinct().join(needs, goal, "left_anti")
-    return earned.unionByName(paired_with(people.select(person).distinct(), free))
+    free = known.join(needs, goal, "left_anti")
+    n_free = free.count()
+    return earned.unionByName(paired_with(people.select(person).distinct(), free, n_free)) if n_free else earned
 
 
 def missing(
@@ -66,11 +67,13 @@ def missing(
     """
     needs = required.select(goal, item).distinct()
     relevant = held.select(person, item).join(needs.select(item).distinct(), item, "left_semi")
+    empty = F.array().cast(T.ArrayType(needs.schema[item].dataType))
     everyone = (
         people.select(person)
         .distinct()
         .join(relevant.groupBy(person).agg(F.collect_set(item).alias("_held")), person, "left")
-        .withColumn("_held", F.coalesce("_held", F.array().cast(relevant.select(F.array(item)).schema[0].dataType)))
+        .withColumn("_held", F.coalesce("_held", empty))
     )
     goals = needs.groupBy(goal).agg(F.collect_set(item).alias("_needed"))
-    return paired_with(everyone, goals).select(person, goal, F.explode(F.array_except("_needed", "_held")).alias(item))
+    paired = paired_with(everyone, goals, needs.count())
+    return paired.select(person, goal, F.explode(F.array_except("_needed", "_held")).alias(item))

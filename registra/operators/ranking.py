@@ -87,17 +87,29 @@ def first_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int,
     return ranked.filter(F.col(place) <= n)
 
 
-def running_offset(df: DataFrame, key: str, size: Column, out: str, block: int = 1 << 16) -> DataFrame:
+def _starts(sums: DataFrame, part: str, within: list[str]) -> DataFrame:
+    """Sums of `_sum` over the smaller parts, restarting for every value of `within`."""
+    before = W.partitionBy(*within).orderBy(part).rowsBetween(W.unboundedPreceding, 0)
+    return sums.select(part, *within, (F.sum("_sum").over(before) - F.col("_sum")).alias("_start"))
+
+
+def running_offset(df: DataFrame, key: str, size: Column, out: str, block: int = 1024) -> DataFrame:
     """Adds the sum of `size` over all rows with a smaller key.
 
-    For roughly dense whole-number keys, such as ids. Keys are cut into blocks; a block
-    is added up by one task, and only the block sums meet in a single place.
+    For unique, roughly dense whole-number keys, such as ids. Keys are cut into blocks and
+    blocks into areas of as many blocks; a block or an area is added up by one task, and
+    only the area sums, one per million ids, meet in a single place.
     """
     sized = df.withColumn("_size", size.cast("bigint")).withColumn("_block", F.floor(F.col(key) / block))
-    block_sums = sized.groupBy("_block").agg(F.sum("_size").alias("_sum"))
-    starts = block_sums.select(
-        "_block",
-        (F.sum("_sum").over(W.orderBy("_block").rowsBetween(W.unboundedPreceding, 0)) - F.col("_sum")).alias("_start"),
+    blocks = (
+        sized.groupBy("_block").agg(F.sum("_size").alias("_sum")).withColumn("_area", F.floor(F.col("_block") / block))
+    )
+    areas = blocks.groupBy("_area").agg(F.sum("_sum").alias("_sum"))
+    area_starts = _starts(areas, "_area", []).withColumnRenamed("_start", "_area_start")
+    starts = (
+        _starts(blocks, "_block", ["_area"])
+        .join(area_starts, "_area")
+        .select("_block", (F.col("_start") + F.col("_area_start")).alias("_start"))
     )
     inside = W.partitionBy("_block").orderBy(key).rowsBetween(W.unboundedPreceding, 0)
     return (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from registra.functions import labels, numbers
 from registra.operators import ranking
+from registra.sources.shared import written
 from registra.sources.tables import row_counts
 
 
@@ -55,41 +56,57 @@ def report_rows(
     A client may own any number of accounts, so nothing is gathered per client.
     """
     chosen = clients.select("client_id", full_name().alias("name"))
-    owned = accounts.join(chosen.select("client_id"), "client_id", "left_semi")
+    ids = chosen.select("client_id")
+    with_accounts = ids.join(accounts, "client_id", "left")
+    owned = accounts.join(ids, "client_id", "left_semi").select("account_id", "client_id", "currency")
     booked = transactions.join(owned.select("account_id"), "account_id", "left_semi")
-    shown = first_transactions(booked).join(owned.select("account_id", "client_id", "currency"), "account_id")
-    lent = credits.join(chosen.select("client_id"), "client_id", "left_semi")
+    with_transactions = owned.join(first_transactions(booked), "account_id", "left")
+    with_credits = ids.join(credits, "client_id", "left")
 
-    def rows(df: DataFrame, section: str, **values: Column) -> DataFrame:
+    def rows(df: DataFrame, section: Column, **values: Column) -> DataFrame:
         shapes = {"account_id": "bigint", "item_id": "bigint", "place": "int", "title": "string", "kind": "string",
                   "day": "string", "amount": "double", "currency": "string", "rate": "double", "payment": "double"}
         cells = [values.get(c, F.lit(None)).cast(t).alias(c) for c, t in shapes.items()]
-        return df.select("client_id", F.lit(section).alias("section"), *cells)
+        return df.select("client_id", section.alias("section"), *cells)
 
-    without_accounts = chosen.join(owned, "client_id", "left_anti")
-    without_transactions = owned.join(booked, "account_id", "left_anti")
-    without_credits = chosen.join(lent, "client_id", "left_anti")
+    def either(key: str, found: str, none: str) -> Column:
+        return F.when(F.col(key).isNull(), none).otherwise(found)
+
+    booked_at_all = F.col("transaction_id").isNotNull()
     return (
-        rows(chosen, "client", title=F.col("name"))
-        .unionByName(rows(without_accounts, "no_accounts"))
+        rows(chosen, F.lit("client"), title=F.col("name"))
         .unionByName(
-            rows(owned, "account", account_id=F.col("account_id"), title=F.col("account_number"),
-                 kind=F.col("account_type"), amount=F.col("balance"), currency=F.col("currency"))
+            rows(with_accounts, either("account_id", "account", "no_accounts"), account_id=F.col("account_id"),
+                 title=F.col("account_number"), kind=F.col("account_type"), amount=F.col("balance"),
+                 currency=F.col("currency"))
         )
         .unionByName(
-            rows(shown, "transaction", account_id=F.col("account_id"), item_id=F.col("transaction_id"),
-                 place=F.col("place"), kind=labels.capitalize(F.col("transaction_type")),
-                 day=F.date_format("transaction_date", "yyyy-MM-dd"), amount=F.col("amount"), currency=F.col("currency"))
+            rows(with_transactions, either("transaction_id", "transaction", "no_transactions"),
+                 account_id=F.col("account_id"), item_id=F.col("transaction_id"), place=F.col("place"),
+                 kind=labels.capitalize(F.col("transaction_type")),
+                 day=F.date_format("transaction_date", "yyyy-MM-dd"), amount=F.col("amount"),
+                 currency=F.when(booked_at_all, F.col("currency")))
         )
-        .unionByName(rows(without_transactions, "no_transactions", account_id=F.col("account_id")))
         .unionByName(
-            rows(lent, "credit", item_id=F.col("credit_id"), amount=F.col("amount"), rate=F.col("interest_rate"),
-                 payment=F.col("monthly_payment"))
+            rows(with_credits, either("credit_id", "credit", "no_credits"), item_id=F.col("credit_id"),
+                 amount=F.col("amount"), rate=F.col("interest_rate"), payment=F.col("monthly_payment"))
         )
-        .unionByName(rows(without_credits, "no_credits"))
     )
 
 
+def first_clients_report(
+    clients: DataFrame, accounts: DataFrame, transactions: DataFrame, credits: DataFrame, n: int = 5
+) -> DataFrame:
+    """The report lines of the first n clients.
+
+    Their accounts are written first, so that Spark knows how few they are before it
+    decides how to look for their transactions.
+    """
+    chosen = written(first_clients(clients, n), "clients")
+    owned = written(accounts.join(chosen.select("client_id"), "client_id", "left_semi"), "accounts")
+    return report_lines(report_rows(chosen, owned, transactions, credits))
+
+
 def report_lines(report: DataFrame) -> DataFrame:
     """The report as text: (client_id, account_id, item_id, line), one printed line per row."""
     money = F.format_string("%.2f", "amount")

@@ -6,7 +6,8 @@ distinct combinations a question needs, so the join never sees raw rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from registra.functions import labels, numbers
@@ -157,33 +158,48 @@ def top_failing_department(logs: DataFrame, departments: DataFrame) -> DataFrame
     return _top_department_by_grade(logs, departments, "2", "bad_student_count")
 
 
-def _averages() -> list[Column]:
-    return [
-        numbers.exact_average(F.col("s_all")).alias("avg_total_activity"),
-        numbers.exact_average(F.col("s_course_viewed")).alias("avg_course_views"),
-        numbers.exact_average(F.col("s_q_attempt_viewed")).alias("avg_attempt_views"),
-    ]
+_MEASURES = {
+    "avg_total_activity": "s_all",
+    "avg_course_views": "s_course_viewed",
+    "avg_attempt_views": "s_q_attempt_viewed",
+}
 
 
 def activity_by_basis_week(logs: DataFrame) -> DataFrame:
     """Three weekly averages per payment type, for all weeks."""
     return (
         logs.groupBy(labels.payment_type(F.col("name_osno")).alias("payment_type"), F.col("num_week").alias("week_num"))
-        .agg(*_averages())
+        .agg(*[numbers.exact_average(F.col(c)).alias(out) for out, c in _MEASURES.items()])
         .orderBy(F.asc_nulls_last("week_num"), F.asc_nulls_last("payment_type"))
     )
 
 
 def peak_week_by_basis(logs: DataFrame) -> DataFrame:
-    """The same averages, only for the week with the highest overall average."""
-    peak = (
-        weekly_average_events(logs)
-        .filter("num_week IS NOT NULL")
-        .orderBy(F.desc_nulls_last("avg_all_events"), F.asc("num_week"))
-        .limit(1)
-        .select(F.col("num_week").alias("week_num"))
+    """The same averages, only for the week with the highest overall average.
+
+    One pass: the overall average of a week is put together from the sums of its payment
+    types, and the rank filter leaves one week per task before the rows meet.
+    """
+    sums = logs.filter("num_week IS NOT NULL").groupBy(
+        labels.payment_type(F.col("name_osno")).alias("payment_type"), F.col("num_week").alias("week_num")
+    ).agg(
+        *[F.sum(c).alias(f"{c}_sum") for c in _MEASURES.values()],
+        *[F.count(c).alias(f"{c}_count") for c in _MEASURES.values()],
+    )
+    week = W.partitionBy("week_num")
+    overall = numbers.exact_ratio(F.sum("s_all_sum").over(week), F.sum("s_all_count").over(week))
+    best = W.orderBy(F.desc_nulls_last("overall"), F.asc("week_num"))
+    return (
+        sums.withColumn("overall", overall)
+        .withColumn("place", F.rank().over(best))
+        .filter("place = 1")
+        .select(
+            "payment_type",
+            "week_num",
+            *[numbers.exact_ratio(F.col(f"{c}_sum"), F.col(f"{c}_count")).alias(out) for out, c in _MEASURES.items()],
+        )
+        .orderBy(F.asc_nulls_last("payment_type"))
     )
-    return activity_by_basis_week(logs).join(peak, "week_num", "left_semi").orderBy(F.asc_nulls_last("payment_type"))
 
 
 def latest_attributes(logs: DataFrame) -> DataFrame:

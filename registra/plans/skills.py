@@ -10,11 +10,13 @@ A person is the id: if one id carries several names, the last name in text order
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from registra.operators import division, quality
+from registra.sources.shared import written
 
 
 @dataclass(frozen=True)
@@ -30,7 +32,9 @@ class SkillBase:
 def people(base: SkillBase) -> DataFrame:
     """employee_id, full_name; rows without an id or a name are nobody."""
     named = base.skills.filter("employee_id IS NOT NULL AND full_name IS NOT NULL")
-    return named.groupBy("employee_id").agg(F.max("full_name").alias("full_name"))
+    # Distinct first: it reduces the rows by hash, while the largest text needs a sort.
+    names = named.select("employee_id", "full_name").distinct()
+    return names.groupBy("employee_id").agg(F.max("full_name").alias("full_name"))
 
 
 def distinct_skills(base: SkillBase) -> DataFrame:
@@ -58,16 +62,18 @@ def unknown_ids(base: SkillBase) -> DataFrame:
         ("position_competency", base.position_competency, "position_id", base.positions),
         ("position_competency", base.position_competency, "competency_id", base.competencies),
     ]
-    found = None
-    for table, links, column, parents in places:
-        rows = quality.orphans(links, column, parents, column).select(
-            F.lit(table).alias("table_name"),
-            F.lit(column).alias("column_name"),
-            F.col(column).cast("string").alias("unknown_id"),
-            "n_rows",
-        )
-        found = rows if found is None else found.unionByName(rows)
-    return found
+    return reduce(
+        DataFrame.unionByName,
+        [
+            quality.orphans(links, column, parents, column).select(
+                F.lit(table).alias("table_name"),
+                F.lit(column).alias("column_name"),
+                F.col(column).cast("string").alias("unknown_id"),
+                "n_rows",
+            )
+            for table, links, column, parents in places
+        ],
+    )
 
 
 def require_known_links(base: SkillBase) -> None:
@@ -76,10 +82,11 @@ def require_known_links(base: SkillBase) -> None:
         raise ValueError("requirement tables name unknown ids")
 
 
-def competencies_of(base: SkillBase) -> DataFrame:
+def competencies_of(base: SkillBase, held: DataFrame | None = None) -> DataFrame:
     """(employee_id, competency_id): the person holds all knowledge the competency requires."""
+    held = held_knowledge(base) if held is None else held
     return division.qualified(
-        people(base), held_knowledge(base), base.competencies, base.competency_knowledge,
+        people(base), held, base.competencies, base.competency_knowledge,
         "employee_id", "competency_id", "knowledge_id",
     )
 
@@ -93,6 +100,22 @@ def positions_of(base: SkillBase, granted: DataFrame | None = None) -> DataFrame
     )
 
 
+@dataclass(frozen=True)
+class Inference:
+    """What people hold and what follows from it. Held knowledge and competencies are
+    written once, since later steps read them more than once."""
+
+    held: DataFrame
+    competencies: DataFrame
+    positions: DataFrame
+
+
+def infer(base: SkillBase) -> Inference:
+    held = written(held_knowledge(base), "held")
+    granted = written(competencies_of(base, held), "competencies")
+    return Inference(held, granted, positions_of(base, granted))
+
+
 def position_violations(held_positions: DataFrame, granted: DataFrame, position_competency: DataFrame) -> DataFrame:
     """Held (employee_id, position_id) for which a required competency is missing."""
     return (
@@ -156,16 +179,19 @@ def skill_profile(base: SkillBase) -> DataFrame:
 
 def full_profile(base: SkillBase) -> DataFrame:
     """Listing: one row per person and held thing (kind: knowledge, competency, position)."""
-    granted = competencies_of(base)
+    found = infer(base)
     parts = [
-        (held_knowledge(base), base.knowledge, "knowledge"),
-        (granted, base.competencies, "competency"),
-        (positions_of(base, granted), base.positions, "position"),
+        (found.held, base.knowledge, "knowledge"),
+        (found.competencies, base.competencies, "competency"),
+        (found.positions, base.positions, "position"),
     ]
-    listing = None
-    for links, table, kind in parts:
-        rows = links.join(table, f"{kind}_id").select("employee_id", F.lit(kind).alias("kind"), _title(kind).alias("name"))
-        listing = rows if listing is None else listing.unionByName(rows)
+    listing = reduce(
+        DataFrame.unionByName,
+        [
+            links.join(table, f"{kind}_id").select("employee_id", F.lit(kind).alias("kind"), _title(kind).alias("name"))
+            for links, table, kind in parts
+        ],
+    )
     return people(base).join(listing, "employee_id", "left").select("employee_id", "full_name", "kind", "name")
 
 
@@ -175,15 +201,16 @@ def with_requirements(base: SkillBase, extra: DataFrame) -> SkillBase:
     return replace(base, position_competency=links)
 
 
-def positions_after(base: SkillBase, extra: DataFrame, mode: str = "keep") -> DataFrame:
+def positions_after(base: SkillBase, extra: DataFrame, mode: str = "keep", granted: DataFrame | None = None) -> DataFrame:
     """Positions after new requirements. `keep` leaves earlier grants in place, as adding
-    facts does; `recompute` grants anew."""
-    now = positions_of(with_requirements(base, extra))
-    if mode == "recompute":
-        return now
-    if mode != "keep":
+    facts does; `recompute` grants anew. Competencies do not depend on positions, so they
+    are inferred once, or given."""
+    if mode not in ("keep", "recompute"):
         raise ValueError(f"unknown mode {mode!r}")
-    return positions_of(base).unionByName(now).distinct()
+    if granted is None:
+        granted = written(competencies_of(base), "competencies")
+    now = positions_of(with_requirements(base, extra), granted)
+    return now if mode == "recompute" else positions_of(base, granted).unionByName(now).distinct()
 
 
 def with_skills(base: SkillBase, extra: DataFrame) -> SkillBase:

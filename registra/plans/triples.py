@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from registra.plans import skills as S
+from registra.sources.shared import written
 
 # Ontology addresses and the names of classes, individuals and properties.
 SKILLS_IRI = "http://test.org/ml_specialist_v2.owl#"
@@ -68,7 +69,7 @@ def skill_triples(base: S.SkillBase) -> DataFrame:
     def who(prefix: str, column: str) -> Column:
         return _individual(iri, prefix, F.col(column))
 
-    granted = S.competencies_of(base)
+    found = S.infer(base)
     parts = [
         _entity(base.knowledge, iri, "Знание", "знание", "knowledge_id", [("название", F.col("knowledge_name"), "string")]),
         _entity(base.competencies, iri, "Компетенция", "компетенция", "competency_id", [("название", F.col("competency_name"), "string")]),
@@ -76,9 +77,9 @@ def skill_triples(base: S.SkillBase) -> DataFrame:
         _entity(S.people(base), iri, "Специалист", "сотрудник", "employee_id", [("имя_сотрудника", F.col("full_name"), "string")]),
         _edge(base.competency_knowledge.distinct(), iri, "требует_знание", who("компетенция", "competency_id"), who("знание", "knowledge_id")),
         _edge(base.position_competency.distinct(), iri, "требует_компетенцию", who("должность", "position_id"), who("компетенция", "competency_id")),
-        _edge(S.held_knowledge(base), iri, "обладает_знанием", who("сотрудник", "employee_id"), who("знание", "knowledge_id")),
-        _edge(granted, iri, "обладает_компетенцией", who("сотрудник", "employee_id"), who("компетенция", "competency_id")),
-        _edge(S.positions_of(base, granted), iri, "может_занимать_должность", who("сотрудник", "employee_id"), who("должность", "position_id")),
+        _edge(found.held, iri, "обладает_знанием", who("сотрудник", "employee_id"), who("знание", "knowledge_id")),
+        _edge(found.competencies, iri, "обладает_компетенцией", who("сотрудник", "employee_id"), who("компетенция", "competency_id")),
+        _edge(found.positions, iri, "может_занимать_должность", who("сотрудник", "employee_id"), who("должность", "position_id")),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -178,12 +179,14 @@ def class_graph(classes: DataFrame, domains: DataFrame, ranges: DataFrame) -> tu
 def observed_schema(triples: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Classes, property domains and property ranges as they occur in the triples.
 
-    Rows have no order of declaration, so the name decides between two properties.
+    Rows have no order of declaration, so the name decides between two properties. The
+    types and links are written once, as they are read four times.
     """
+    triples = written(triples.filter(F.col("object_kind") == IRI_KIND), "links")
     types = triples.filter(F.col("predicate") == TYPE).select(
         F.col("subject").alias("individual"), F.col("object").alias("class")
     )
-    links = triples.filter((F.col("object_kind") == IRI_KIND) & (F.col("predicate") != TYPE))
+    links = triples.filter(F.col("predicate") != TYPE)
     subjects = links.select("subject", F.col("predicate").alias("property")).distinct()
     objects = links.select("object", F.col("predicate").alias("property")).distinct()
     domains = subjects.join(types, subjects["subject"] == types["individual"]).select("property", "class").distinct()

@@ -44,6 +44,7 @@ def publish(
     fresh = spark.table(f"{database}.{version}")
     for label, broken_rows in (checks or {}).items():
         if not broken_rows(fresh).isEmpty():
+            spark.sql(f"DROP TABLE {database}.{version}")
             raise ValueError(f"{name}: check '{label}' failed, the old version stays")
     spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS SELECT * FROM {database}.{version}")
     return fresh.count()

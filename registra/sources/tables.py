@@ -4,26 +4,45 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming import DataStreamReader
+from pyspark.sql.types import StringType, StructType
 
 from registra import schemas
 
 
-def read_csv_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """CSV with a header, columns bound by position, an unquoted empty field is NULL.
+# Stands for a quoted empty field while a file is read; no text holds it.
+_QUOTED_EMPTY = "\x00"
+
 
-    A row that does not fit the schema fails the whole load.
+def load_csv(reader: DataFrameReader | DataStreamReader, path: str, schema: StructType) -> DataFrame:
+    """CSV with a header, columns bound by position, quotes doubled inside quoted fields.
+
+    An unquoted empty field is NULL, a quoted one is an empty text. A row that does not fit
+    the schema fails the whole load.
     """
-    return (
-        spark.read.schema(schema)
+    rows = (
+        reader.schema(schema)
         .option("header", True)
         .option("mode", "FAILFAST")
         .option("enforceSchema", True)
-        .option("multiLine", False)
+        .option("escape", '"')
+        .option("emptyValue", _QUOTED_EMPTY)
         .csv(path)
     )
+    return rows.select(
+        *[
+            F.when(F.col(f.name) == _QUOTED_EMPTY, "").otherwise(F.col(f.name)).alias(f.name)
+            if isinstance(f.dataType, StringType)
+            else F.col(f.name)
+            for f in schema.fields
+        ]
+    )
+
+
+def read_csv_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return load_csv(spark.read, path, schema)
 
 
 def read_user_logs(spark: SparkSession, path: str) -> DataFrame:
