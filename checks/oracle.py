@@ -375,6 +375,7 @@ def _gap(held: str, required: str, goal: str, item: str) -> str:
 _add(
     SKILLS,
     s_csv_skills="SELECT * FROM skill_rows",
+    o_skill_counts="SELECT employee_id, full_name, knowledge_id, count(*) AS n_rows FROM skill_rows GROUP BY ALL",
     u_dedupe_skills="SELECT DISTINCT * FROM skill_rows",
     o_unknown_ids="""SELECT 'skills' AS table_name, 'knowledge_id' AS column_name, CAST(knowledge_id AS VARCHAR) AS unknown_id,
         count(*) AS n_rows FROM skill_rows ANTI JOIN knowledge USING (knowledge_id) GROUP BY ALL""",

@@ -199,8 +199,8 @@ def _activity(logs: DataFrame, **options) -> DataFrame:
 
 def _quartiles(logs: DataFrame) -> DataFrame:
     totals = _activity(logs).filter("graded_rows > 0").select("userid", "courseid", "total_events")
-    order = [F.asc("total_events"), F.asc("userid"), F.asc("courseid")]
-    return ranking.global_ntile(totals, 4, order, "quartile").withColumn(
+    order = {name: F.col(name) for name in ("total_events", "userid", "courseid")}
+    return ranking.global_ntile(shared.written(totals, "totals"), 4, order, "quartile").withColumn(
         "activity_category", labels.activity_category(F.col("quartile"))
     )
 
@@ -279,6 +279,7 @@ def _grants(base: skills.SkillBase) -> DataFrame:
 
 over_skills(
     u_dedupe_skills=skills.distinct_skills,
+    o_skill_counts=skills.skill_counts,
     o_unknown_ids=skills.unknown_ids,
     o_competencies=skills.competencies_of,
     o_positions=skills.positions_of,

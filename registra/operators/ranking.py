@@ -45,18 +45,26 @@ def global_rank(df: DataFrame, order: list[Column], rank: str = "rank", total: s
     )
 
 
-def global_ntile(df: DataFrame, buckets: int, order: list[Column], out: str) -> DataFrame:
-    """NTILE(buckets) over the whole table: sizes differ by at most one, larger ones first."""
-    ranked = global_rank(df, order, "_rank", "_total")
-    rank, total = F.col("_rank"), F.col("_total")
-    larger = F.pmod(total, F.lit(buckets).cast("bigint"))
-    small_size = ((total - larger) / buckets).cast("bigint")
-    edge = larger * (small_size + 1)
-    # With fewer rows than buckets small_size is 0, but then every rank lies below the edge.
-    bucket = F.when(rank < edge, F.floor(rank / (small_size + 1)) + 1).otherwise(
-        larger + F.floor((rank - edge) / F.greatest(small_size, F.lit(1).cast("bigint"))) + 1
+def global_ntile(df: DataFrame, buckets: int, order: dict[str, Column], out: str) -> DataFrame:
+    """NTILE(buckets) over the whole table: sizes differ by at most one, larger ones first.
+
+    `order` names the ascending sort parts, which hold no NULL and together name a row.
+    Only these parts are ranked. The first row of each bucket then becomes a cut, and
+    every row counts the cuts it has reached, so `df` itself is never shuffled. It is read
+    twice: pass a written table if it is costly to work out.
+    """
+    parts = df.select(*[value.alias(name) for name, value in order.items()])
+    ranked = global_rank(parts, [F.asc(name) for name in order], "_rank", "_total")
+    larger = F.pmod(F.col("_total"), F.lit(buckets).cast("bigint"))
+    small_size = ((F.col("_total") - larger) / buckets).cast("bigint")
+    starts = [small_size * b + F.least(larger, F.lit(b).cast("bigint")) for b in range(1, buckets)]
+    # At most one row per bucket.
+    cuts = ranked.filter(F.col("_rank").isin(*starts)).agg(F.collect_list(F.struct(*order)).alias("cuts"))
+    place = F.struct(*[value.alias(name) for name, value in order.items()])
+    reached = df.withColumns({"_place": place, "_cuts": cuts.scalar()}).withColumn(
+        out, F.size(F.filter("_cuts", lambda cut: cut <= F.col("_place"))) + 1
     )
-    return ranked.select(*df.columns, bucket.cast("int").alias(out))
+    return reached.drop("_place", "_cuts")
 
 
 def descending_nulls_first(column: Column) -> list[Column]:

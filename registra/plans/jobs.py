@@ -8,12 +8,16 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from registra.plans import marts
+from registra.sources.shared import written
 from registra.sources.sinks import current_mart, publish
 
 SMALL_MART = "dmr.analytics_student"
 PERFORMANCE_MART = "dmr.analytics_student_performance"
+# Two whole numbers each.
+TOUCHED_PAIRS_TO_SEND = 1_000_000
 
 
 def run_small_mart(logs: DataFrame, folder: str, as_of: datetime | None = None, name: str = SMALL_MART) -> int:
@@ -48,9 +52,12 @@ def performance_after_arrivals(
     """The performance mart once `arrived` rows have joined the logs.
 
     Only pairs that occur in the arrivals are worked out again, from all their logs; this
-    gives the same mart as a run over everything, as the other pairs have not changed.
+    gives the same mart as a run over everything, as the other pairs have not changed. Few
+    pairs are sent to every task, which then keep the rows they need without a shuffle. With
+    many pairs the run goes over everything: joining raw rows would gather those of a large
+    pair in one task.
     """
-    touched = arrived.select(*marts.PAIR).distinct()
-    return marts.student_performance(
-        logs.join(touched, marts.PAIR, "left_semi"), departments, existing, as_of, variant
-    )
+    touched = written(arrived.select(*marts.PAIR).distinct(), "touched")
+    if touched.count() <= TOUCHED_PAIRS_TO_SEND:
+        logs = logs.join(F.broadcast(touched), marts.PAIR, "left_semi")
+    return marts.student_performance(logs, departments, existing, as_of, variant)

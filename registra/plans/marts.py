@@ -20,6 +20,7 @@ from registra.functions import labels, numbers
 from registra.operators import quality, ranking
 from registra.operators.upsert import upsert
 from registra.plans.portal import GRADES
+from registra.sources.shared import written
 
 KEY = ["student_id", "course_id"]
 PAIR = ["userid", "courseid"]
@@ -154,8 +155,8 @@ def _averages(total_events: Column) -> dict[str, Column]:
 
 
 def _with_categories(rows: DataFrame) -> DataFrame:
-    order = [F.coalesce("total_events", F.lit(0)).asc(), F.asc("student_id"), F.asc("course_id")]
-    quartiles = ranking.global_ntile(rows, 4, order, "quartile")
+    order = {"total_events": F.coalesce("total_events", F.lit(0)), **{k: F.col(k) for k in KEY}}
+    quartiles = ranking.global_ntile(written(rows, "mart"), 4, order, "quartile")
     return quartiles.withColumn("activity_category", labels.activity_category(F.col("quartile")))
 
 

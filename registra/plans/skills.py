@@ -19,6 +19,10 @@ from registra.operators import division, quality
 from registra.sources.shared import written
 
 
+# What technical names begin with.
+INDIVIDUALS = {"knowledge": "знание", "competency": "компетенция", "position": "должность", "employee": "сотрудник"}
+
+
 @dataclass(frozen=True)
 class SkillBase:
     skills: DataFrame
@@ -162,9 +166,14 @@ def requirements(base: SkillBase) -> DataFrame:
     return by_competency.unionByName(by_position)
 
 
+def individual(entity: str) -> Column:
+    """Technical name of a knowledge, competency, position or employee."""
+    return F.concat(F.lit(f"{INDIVIDUALS[entity]}_"), F.col(f"{entity}_id").cast("string"))
+
+
 def _title(entity: str) -> Column:
-    """Display name, else the id."""
-    return F.coalesce(F.col(f"{entity}_name"), F.col(f"{entity}_id").cast("string"))
+    """Display name, else the technical name."""
+    return F.coalesce(F.col(f"{entity}_name"), individual(entity))
 
 
 def skill_profile(base: SkillBase) -> DataFrame:
@@ -177,6 +186,15 @@ def skill_profile(base: SkillBase) -> DataFrame:
     return people(base).join(lists, "employee_id", "left").withColumn("ids", F.coalesce("ids", empty))
 
 
+def skill_counts(base: SkillBase) -> DataFrame:
+    """Per person and knowledge id the number of skill rows: the list with its repeats, as counts."""
+    return (
+        base.skills.filter("employee_id IS NOT NULL AND full_name IS NOT NULL")
+        .groupBy("employee_id", "full_name", "knowledge_id")
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+    )
+
+
 def full_profile(base: SkillBase) -> DataFrame:
     """Listing: one row per person and held thing (kind: knowledge, competency, position)."""
     found = infer(base)

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from registra.plans import skills as S
 from registra.sources.shared import written
 
-# Ontology addresses and the names of classes, individuals and properties.
-SKILLS_IRI = "http://test.org/ml_specialist_v2.owl#"
-BANK_IRI = "http://example.org/bank_ontology_ru.owl#"
+# Where names live unless the caller says otherwise.
+SKILLS_IRI = "http://example.org/skills#"
+BANK_IRI = "http://example.org/bank#"
+
+# Names of the RDF standards, of classes, individuals and properties.
 TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
 XSD = "http://www.w3.org/2001/XMLSchema#"
 
@@ -29,10 +31,6 @@ BANK_OBJECT_PROPERTIES = ["владеет_счетом", "имеет_креди
 IRI_KIND, LITERAL = "iri", "literal"
 
 
-def _individual(base: str, prefix: str, key: Column) -> Column:
-    return F.concat(F.lit(f"{base}{prefix}_"), key.cast("string"))
-
-
 def _fact(base: str, predicate: str, value: Column, kind: str, datatype: str | None) -> Column:
     name = predicate if predicate == TYPE else base + predicate
     return F.struct(
@@ -43,7 +41,7 @@ def _fact(base: str, predicate: str, value: Column, kind: str, datatype: str | N
     )
 
 
-def _facts(rows: DataFrame, base: str, subject: Column, facts: list[Column]) -> DataFrame:
+def _facts(rows: DataFrame, subject: Column, facts: list[Column]) -> DataFrame:
     """All facts of a row from one scan; a missing value gives no triple."""
     return (
         rows.select(subject.alias("subject"), F.explode(F.array(*facts)).alias("fact"))
@@ -52,34 +50,36 @@ def _facts(rows: DataFrame, base: str, subject: Column, facts: list[Column]) ->
     )
 
 
-def _entity(rows: DataFrame, base: str, cls: str, prefix: str, key: str, values: list[tuple[str, Column, str]]) -> DataFrame:
+def _entity(rows: DataFrame, base: str, cls: str, name: Column, values: list[tuple[str, Column, str]]) -> DataFrame:
     facts = [_fact(base, TYPE, F.lit(base + cls), IRI_KIND, None)]
-    facts += [_fact(base, name, value, LITERAL, datatype) for name, value, datatype in values]
-    return _facts(rows, base, _individual(base, prefix, F.col(key)), facts)
+    facts += [_fact(base, prop, value, LITERAL, datatype) for prop, value, datatype in values]
+    return _facts(rows, F.concat(F.lit(base), name), facts)
 
 
 def _edge(rows: DataFrame, base: str, predicate: str, subject: Column, target: Column) -> DataFrame:
-    return _facts(rows, base, subject, [_fact(base, predicate, target, IRI_KIND, None)])
+    fact = _fact(base, predicate, F.concat(F.lit(base), target), IRI_KIND, None)
+    return _facts(rows, F.concat(F.lit(base), subject), [fact])
 
 
-def skill_triples(base: S.SkillBase) -> DataFrame:
+def skill_triples(base: S.SkillBase, iri: str = SKILLS_IRI) -> DataFrame:
     """Individuals, names, requirements, skills and the inferred grants."""
-    iri = SKILLS_IRI
+    found = S.infer(base)
+    who, knows = S.individual("employee"), S.individual("knowledge")
+    masters, fills = S.individual("competency"), S.individual("position")
 
-    def who(prefix: str, column: str) -> Column:
-        return _individual(iri, prefix, F.col(column))
+    def named(rows: DataFrame, cls: str, name: Column, prop: str, title: str) -> DataFrame:
+        return _entity(rows, iri, cls, name, [(prop, F.col(title), "string")])
 
-    found = S.infer(base)
     parts = [
-        _entity(base.knowledge, iri, "Знание", "знание", "knowledge_id", [("название", F.col("knowledge_name"), "string")]),
-        _entity(base.competencies, iri, "Компетенция", "компетенция", "competency_id", [("название", F.col("competency_name"), "string")]),
-        _entity(base.positions, iri, "Должность", "должность", "position_id", [("название", F.col("position_name"), "string")]),
-        _entity(S.people(base), iri, "Специалист", "сотрудник", "employee_id", [("имя_сотрудника", F.col("full_name"), "string")]),
-        _edge(base.competency_knowledge.distinct(), iri, "требует_знание", who("компетенция", "competency_id"), who("знание", "knowledge_id")),
-        _edge(base.position_competency.distinct(), iri, "требует_компетенцию", who("должность", "position_id"), who("компетенция", "competency_id")),
-        _edge(found.held, iri, "обладает_знанием", who("сотрудник", "employee_id"), who("знание", "knowledge_id")),
-        _edge(found.competencies, iri, "обладает_компетенцией", who("сотрудник", "employee_id"), who("компетенция", "competency_id")),
-        _edge(found.positions, iri, "может_занимать_должность", who("сотрудник", "employee_id"), who("должность", "position_id")),
+        named(base.knowledge, "Знание", knows, "название", "knowledge_name"),
+        named(base.competencies, "Компетенция", masters, "название", "competency_name"),
+        named(base.positions, "Должность", fills, "название", "position_name"),
+        named(S.people(base), "Специалист", who, "имя_сотрудника", "full_name"),
+        _edge(base.competency_knowledge.distinct(), iri, "требует_знание", masters, knows),
+        _edge(base.position_competency.distinct(), iri, "требует_компетенцию", fills, masters),
+        _edge(found.held, iri, "обладает_знанием", who, knows),
+        _edge(found.competencies, iri, "обладает_компетенцией", who, masters),
+        _edge(found.positions, iri, "может_занимать_должность", who, fills),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -112,11 +112,16 @@ def _day(column: str) -> Column:
     return F.date_format(column, "yyyy-MM-dd")
 
 
-def bank_triples(clients: DataFrame, accounts: DataFrame, transactions: DataFrame, credits: DataFrame) -> DataFrame:
+def bank_triples(
+    clients: DataFrame, accounts: DataFrame, transactions: DataFrame, credits: DataFrame, iri: str = BANK_IRI
+) -> DataFrame:
     """Four classes with their data properties, and the three kinds of links."""
-    iri = BANK_IRI
     full_name = F.concat_ws(" ", "last_name", "first_name", "patronymic")
     passport = F.concat_ws(" ", "passport_series", "passport_number")
+
+    def named(cls: str, key: str) -> Column:
+        return F.concat(F.lit(f"{cls}_"), F.col(key).cast("string"))
+
     edges = bank_edges(clients, accounts, transactions, credits)
     links = edges.select(
         F.concat(F.lit(iri), "source_kind", F.lit("_"), F.col("source_id").cast("string")).alias("subject"),
@@ -126,7 +131,7 @@ def bank_triples(clients: DataFrame, accounts: DataFrame, transactions: DataFram
         F.lit(None).cast("string").alias("datatype"),
     )
     parts = [
-        _entity(clients, iri, "Клиент", "Клиент", "client_id", [
+        _entity(clients, iri, "Клиент", named("Клиент", "client_id"), [
             ("фио", full_name, "string"),
             ("дата_рождения", _day("birth_date"), "string"),
             ("паспортные_данные", passport, "string"),
@@ -134,20 +139,20 @@ def bank_triples(clients: DataFrame, accounts: DataFrame, transactions: DataFram
             ("телефон", F.col("phone"), "string"),
             ("email", F.col("email"), "string"),
         ]),
-        _entity(accounts, iri, "Счет", "Счет", "account_id", [
+        _entity(accounts, iri, "Счет", named("Счет", "account_id"), [
             ("номер_счета", F.col("account_number"), "string"),
             ("тип_счета", F.col("account_type"), "string"),
             ("валюта", F.col("currency"), "string"),
             ("дата_открытия", _day("open_date"), "string"),
             ("остаток", F.col("balance"), "decimal"),
         ]),
-        _entity(transactions, iri, "Транзакция", "Транзакция", "transaction_id", [
+        _entity(transactions, iri, "Транзакция", named("Транзакция", "transaction_id"), [
             ("дата_транзакции", _day("transaction_date"), "string"),
             ("сумма_транзакции", F.col("amount"), "decimal"),
             ("тип_транзакции", F.col("transaction_type"), "string"),
             ("описание", F.col("description"), "string"),
         ]),
-        _entity(credits, iri, "Кредит", "Кредит", "credit_id", [
+        _entity(credits, iri, "Кредит", named("Кредит", "credit_id"), [
             ("сумма_кредита", F.col("amount").cast("decimal(14,2)"), "decimal"),
             ("процентная_ставка", F.col("interest_rate").cast("decimal(5,1)"), "decimal"),
             ("срок_в_месяцах", F.col("term_months"), "integer"),
@@ -179,19 +184,41 @@ def class_graph(classes: DataFrame, domains: DataFrame, ranges: DataFrame) -> tu
 def observed_schema(triples: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Classes, property domains and property ranges as they occur in the triples.
 
-    Rows have no order of declaration, so the name decides between two properties. The
-    types and links are written once, as they are read four times.
+    Every individual is reduced to its classes and to the properties that start or end
+    at it; both are short lists of the vocabulary. Equal individuals then fall together
+    before anything is unfolded. Rows have no order of declaration, so the name decides
+    between two properties.
     """
-    triples = written(triples.filter(F.col("object_kind") == IRI_KIND), "links")
-    types = triples.filter(F.col("predicate") == TYPE).select(
-        F.col("subject").alias("individual"), F.col("object").alias("class")
+
+    def role(individual: str, kind: str, name: str) -> Column:
+        return F.struct(F.col(individual).alias("individual"), F.lit(kind).alias("kind"), F.col(name).alias("name"))
+
+    roles = F.when(F.col("predicate") == TYPE, F.array(role("subject", "class", "object"))).otherwise(
+        F.array(role("subject", "domain", "predicate"), role("object", "range", "predicate"))
+    )
+    is_class = F.col("kind") == "class"
+    used = (
+        triples.filter(F.col("object_kind") == IRI_KIND)
+        .select(F.explode(roles).alias("role"))
+        .select("role.*")
+        .groupBy("individual")
+        .agg(
+            F.array_sort(F.collect_set(F.when(is_class, F.col("name")))).alias("classes"),
+            F.array_sort(F.collect_set(F.when(~is_class, F.struct("kind", "name")))).alias("ends"),
+        )
+        .select("classes", "ends")
+        .distinct()
+        .select(F.explode("classes").alias("class"), "ends")
+        .select("class", F.explode_outer("ends").alias("end"))
+        .select("class", "end.kind", F.col("end.name").alias("property"))
+        .distinct()
     )
-    links = triples.filter(F.col("predicate") != TYPE)
-    subjects = links.select("subject", F.col("predicate").alias("property")).distinct()
-    objects = links.select("object", F.col("predicate").alias("property")).distinct()
-    domains = subjects.join(types, subjects["subject"] == types["individual"]).select("property", "class").distinct()
-    ranges = objects.join(types, objects["object"] == types["individual"]).select("property", "class").distinct()
-    return types.select("class").distinct(), domains.withColumn("declared", F.lit(0)), ranges
+    stored = written(used, "schema")
+
+    def ends(kind: str) -> DataFrame:
+        return stored.filter(F.col("kind") == kind).select("property", "class")
+
+    return stored.select("class").distinct(), ends("domain").withColumn("declared", F.lit(0)), ends("range")
 
 
 def class_graph_rows(classes: DataFrame, domains: DataFrame, ranges: DataFrame) -> DataFrame:

@@ -139,6 +139,17 @@ def test_running_twice_changes_nothing(spark, deps):
     assert mart(spark, deps, *entries, existing=once) == {r.student_id: r for r in once.collect()}
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_arrivals_give_the_mart_of_all_logs(spark, deps, few, monkeypatch):
+    monkeypatch.setattr(jobs, "TOUCHED_PAIRS_TO_SEND", 100 if few else 0)
+    early = [log(u, 1, "4", u, depart=3) for u in range(1, 7)]
+    late = [log(1, 2, "5", 9, depart=9), log(2, 2, None, 3), log(8, 2, "3", 1)]
+    before = marts.student_performance(logs_of(spark, *early), deps, None, T0)
+    complete = logs_of(spark, *early, *late)
+    after = jobs.performance_after_arrivals(complete, logs_of(spark, *late), deps, before, T0)
+    assert sorted(after.collect()) == sorted(marts.student_performance(complete, deps, None, T0).collect())
+
+
 def test_hot_pair(spark, deps):
     """A third of all rows belong to one pair."""
     hot = spark.range(30_000).select(

@@ -9,9 +9,8 @@ from registra.operators import ranking
 def test_ntile_equals_the_window_function(spark, n):
     # A third of the rows share one value.
     df = spark.range(n).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") * 37 % 101).alias("v"))
-    order = [F.asc("v"), F.asc("id")]
-    mine = ranking.global_ntile(df, 4, order, "bucket")
-    theirs = df.withColumn("bucket", F.ntile(4).over(W.orderBy(*order)))
+    mine = ranking.global_ntile(df, 4, {"v": F.col("v"), "id": F.col("id")}, "bucket")
+    theirs = df.withColumn("bucket", F.ntile(4).over(W.orderBy("v", "id")))
     assert sorted(mine.collect()) == sorted(theirs.collect())
 
 

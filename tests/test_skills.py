@@ -105,7 +105,7 @@ def test_listings(base, rows):
     assert profile[1] == [1, 4, 5] and profile[9] == []
     lonely = skills.replace(base, positions=base.positions.union(rows([(6, None)], schemas.POSITIONS)))
     listing = skills.requirements(lonely)
-    assert listing.filter("kind = 'position' AND name = '6' AND required_name IS NULL").count() == 1
+    assert listing.filter("kind = 'position' AND name = 'должность_6' AND required_name IS NULL").count() == 1
     full = skills.full_profile(none_known)
     assert full.filter("employee_id = 9 AND kind IS NULL").count() == 1
     assert full.filter("kind = 'position'").count() == 10
