@@ -33,10 +33,16 @@ COUNTERS = {
 }
 BASICS = ["department_id", "semester", "course_year", "final_grade"]
 
-_INT_SPAN = 1 << 31
-# Attributes of a row packed as level position, basis position, department (NULL last).
-_DEPART_SPAN = 1 << 33
-_ATTRIBUTE_SPAN = 16 * _DEPART_SPAN
+# Weeks of a block, and the bits of a week's place in it.
+_BLOCK, _BLOCK_BITS = 64, 6
+# One more than the largest int.
+_INT_END = 1 << 31
+# Attributes of a row as one number: level position (2 bits), basis position (2 bits),
+# department moved to 0 and up, NULL last (33 bits).
+_DEPART_BITS = 33
+_ATTRIBUTE_BITS = _DEPART_BITS + 4
+_LAST_ATTRIBUTES = (1 << _ATTRIBUTE_BITS) - 1
+_NO_DEPART = 2 * _INT_END
 
 
 def graded_2_to_5(grade: Column) -> Column:
@@ -53,20 +59,19 @@ def _long(value: int) -> Column:
 
 def _week_blocks(logs: DataFrame, graded: Column, null_activity_first: bool) -> DataFrame:
     """One row per (userid, courseid, block of 64 weeks)."""
-    slot = F.coalesce(F.col("num_week").bitwiseAND(63), F.lit(0)).cast("bigint")
-    week_bit = F.call_function("shiftleft", _long(1), F.col("num_week").bitwiseAND(63))
+    slot = F.col("num_week").bitwiseAND(_BLOCK - 1)
+    week_bit = F.call_function("shiftleft", _long(1), slot)
+    place = F.coalesce(slot, F.lit(0)).cast("bigint")
     # A NULL activity either ranks above every number or as 0.
-    activity = F.coalesce(F.col("s_all").cast("bigint"), _long(_INT_SPAN if null_activity_first else 0))
-    attributes = (
-        (labels.code_position(F.col("leveled")) * 4 + labels.code_position(F.col("name_osno"))).cast("bigint")
-        * _DEPART_SPAN
-        + F.coalesce(F.col("depart").cast("bigint") + _INT_SPAN, _long(2 * _INT_SPAN))
-    )
+    activity = F.coalesce(F.col("s_all").cast("bigint"), _long(_INT_END if null_activity_first else 0))
+    codes = labels.code_position(F.col("leveled")) * 4 + labels.code_position(F.col("name_osno"))
+    depart = F.coalesce(F.col("depart").cast("bigint") + _INT_END, _long(_NO_DEPART))
+    attributes = F.shiftleft(codes.cast("bigint"), _DEPART_BITS) + depart
 
     def of_graded(value: Column) -> Column:
         return F.when(graded, value)
 
-    return logs.groupBy(*PAIR, F.shiftright("num_week", 6).alias("block")).agg(
+    return logs.groupBy(*PAIR, F.shiftright("num_week", _BLOCK_BITS).alias("block")).agg(
         F.count(of_graded(F.lit(1))).alias("graded_rows"),
         *[F.sum(of_graded(F.coalesce(F.col(c), F.lit(0)))).alias(out) for out, c in COUNTERS.items()],
         F.max(of_graded(F.col("depart"))).alias("department_id"),
@@ -76,9 +81,9 @@ def _week_blocks(logs: DataFrame, graded: Column, null_activity_first: bool) ->
         F.bit_or(week_bit).alias("weeks"),
         F.bit_or(F.when(F.col("s_all") > 0, week_bit)).alias("active_weeks"),
         # largest activity, then the earliest week
-        F.max(activity * 64 + (63 - slot)).alias("peak"),
+        F.max(F.shiftleft(activity, _BLOCK_BITS) + (_BLOCK - 1 - place)).alias("peak"),
         # latest week, then the smallest attributes
-        F.max(slot * _ATTRIBUTE_SPAN + (_ATTRIBUTE_SPAN - 1 - attributes)).alias("latest"),
+        F.max(F.shiftleft(place, _ATTRIBUTE_BITS) + (_LAST_ATTRIBUTES - attributes)).alias("latest"),
     )
 
 
@@ -90,17 +95,16 @@ def pair_activity(logs: DataFrame, graded: Column, null_activity_first: bool = F
     a running count, yet the mart adds it up.
     """
     blocks = _week_blocks(logs, graded, null_activity_first)
-    block_start = F.col("block").cast("bigint") * 64
-    peak_week = (block_start + 63 - F.col("peak").bitwiseAND(63)).cast("int")
-    peak_activity = F.shiftright("peak", 6)
+    block_start = F.shiftleft(F.col("block").cast("bigint"), _BLOCK_BITS)
+    peak_week = (block_start + (_BLOCK - 1) - F.col("peak").bitwiseAND(_BLOCK - 1)).cast("int")
+    peak_activity = F.shiftright("peak", _BLOCK_BITS)
     # A NULL week loses against any week of the same activity, and is later than any week.
-    peak_order = peak_activity.cast("decimal(20,0)") * (4 * _INT_SPAN) - F.coalesce(
-        peak_week.cast("bigint"), _long(_INT_SPAN)
-    )
-    latest_week = block_start + F.shiftright("latest", 37)
-    attributes = _ATTRIBUTE_SPAN - 1 - F.col("latest").bitwiseAND(_long(_ATTRIBUTE_SPAN - 1))
-    codes = F.shiftright("attributes", 33)
-    depart = F.col("attributes").bitwiseAND(_long(_DEPART_SPAN - 1))
+    week_or_last = F.coalesce(peak_week.cast("bigint"), _long(_INT_END))
+    peak_order = peak_activity.cast("decimal(20,0)") * (4 * _INT_END) - week_or_last
+    latest_week = F.coalesce(block_start + F.shiftright("latest", _ATTRIBUTE_BITS), _long(_INT_END))
+    attributes = _LAST_ATTRIBUTES - F.col("latest").bitwiseAND(_long(_LAST_ATTRIBUTES))
+    codes = F.shiftright("attributes", _DEPART_BITS)
+    depart = F.col("attributes").bitwiseAND(_long((1 << _DEPART_BITS) - 1))
     return (
         blocks.groupBy(*PAIR)
         .agg(
@@ -110,13 +114,13 @@ def pair_activity(logs: DataFrame, graded: Column, null_activity_first: bool = F
             F.sum(F.coalesce(F.bit_count("weeks"), F.lit(0))).alias("total_weeks"),
             F.sum(F.coalesce(F.bit_count("active_weeks"), F.lit(0))).alias("active_weeks"),
             F.max_by(peak_week, peak_order).alias("peak_activity_week"),
-            F.max_by(attributes, F.coalesce(latest_week, _long(_INT_SPAN))).alias("attributes"),
+            F.max_by(attributes, latest_week).alias("attributes"),
         )
         .withColumns(
             {
                 "level_position": F.shiftright(codes, 2),
                 "base_position": codes.bitwiseAND(3),
-                "latest_depart": F.when(depart < 2 * _INT_SPAN, depart - _INT_SPAN).cast("int"),
+                "latest_depart": F.when(depart < _NO_DEPART, depart - _INT_END).cast("int"),
             }
         )
         .drop("attributes")

@@ -36,7 +36,14 @@ CURRENCIES, CURRENCY_CHANCES = ["RUB", "USD", "EUR"], [85, 10, 5]
 CREDITED, DEBITED = "пополнение", "списание"
 DESCRIPTIONS = {
     CREDITED: ["Зарплата", "Внесение наличных через банкомат", "Входящий перевод", "Кэшбэк", "Возврат средств"],
-    DEBITED: ["Оплата в супермаркете", "Перевод клиенту", "Оплата ЖКУ", "Снятие наличных", "Оплата подписки", "Покупка в интернете"],
+    DEBITED: [
+        "Оплата в супермаркете",
+        "Перевод клиенту",
+        "Оплата ЖКУ",
+        "Снятие наличных",
+        "Оплата подписки",
+        "Покупка в интернете",
+    ],
 }
 TERMS = [6, 12, 24, 36, 60, 120, 360]
 SALARY_CHANGES, SALARY_CHANGE_CHANCES = [0, 1, 2, 3, 4], [20, 30, 30, 10, 10]
