@@ -62,18 +62,23 @@ def missing(
 ) -> DataFrame:
     """One row (person, goal, item) per required item a person lacks.
 
-    A person's held items are cut down to required ones first; the list is then never
-    longer than the person's own part of the result.
+    With a catalogue small enough to broadcast, a person's held items are cut down to the
+    required ones and kept as a list, which the catalogue bounds; nothing but these lists is
+    shuffled. With a larger one, all required items of all people are matched by equality.
     """
     needs = required.select(goal, item).distinct()
+    everyone = people.select(person).distinct()
+    n_needs = needs.count()
+    if n_needs > BROADCAST_VALUES:
+        return paired_with(everyone, needs, n_needs).join(held.select(person, item), [person, item], "left_anti").select(
+            person, goal, item
+        )
     relevant = held.select(person, item).join(needs.select(item).distinct(), item, "left_semi")
     empty = F.array().cast(T.ArrayType(needs.schema[item].dataType))
-    everyone = (
-        people.select(person)
-        .distinct()
-        .join(relevant.groupBy(person).agg(F.collect_set(item).alias("_held")), person, "left")
-        .withColumn("_held", F.coalesce("_held", empty))
-    )
+    listed = everyone.join(
+        relevant.groupBy(person).agg(F.collect_set(item).alias("_held")), person, "left"
+    ).withColumn("_held", F.coalesce("_held", empty))
     goals = needs.groupBy(goal).agg(F.collect_set(item).alias("_needed"))
-    paired = paired_with(everyone, goals, needs.count())
-    return paired.select(person, goal, F.explode(F.array_except("_needed", "_held")).alias(item))
+    return paired_with(listed, goals, n_needs).select(
+        person, goal, F.explode(F.array_except("_needed", "_held")).alias(item)
+    )

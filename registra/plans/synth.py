@@ -202,7 +202,9 @@ def bank_transactions(accounts: DataFrame, as_of: date, seed: int = SEED) -> Dat
     """10 to 50 transactions per account, from its first day on; transaction_id has no gaps."""
     owner = F.col("account_id")
     counted = accounts.select("account_id", "open_date").withColumn("n", between(draw(seed, "transaction.n", owner), 10, 50))
-    numbered = ranking.running_offset(counted, "account_id", F.col("n"), "offset")
+    # An account unfolds into many rows: spread the accounts over all tasks first.
+    parts = int(accounts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = ranking.running_offset(counted, "account_id", F.col("n"), "offset").repartition(parts, "account_id")
     key = F.col("transaction_id")
     rows = numbered.select(
         "account_id", "open_date", F.explode(F.sequence(F.col("offset") + 1, F.col("offset") + F.col("n"))).alias("transaction_id")

@@ -16,11 +16,14 @@ from registra import schemas
 _QUOTED_EMPTY = "\x00"
 
 
-def load_csv(reader: DataFrameReader | DataStreamReader, path: str, schema: StructType) -> DataFrame:
+def load_csv(
+    reader: DataFrameReader | DataStreamReader, path: str, schema: StructType, multi_line: bool = False
+) -> DataFrame:
     """CSV with a header, columns bound by position, quotes doubled inside quoted fields.
 
     An unquoted empty field is NULL, a quoted one is an empty text. A row that does not fit
-    the schema fails the whole load.
+    the schema fails the whole load. Text with line breaks needs `multi_line`, which makes
+    one task read a whole file.
     """
     rows = (
         reader.schema(schema)
@@ -29,6 +32,7 @@ def load_csv(reader: DataFrameReader | DataStreamReader, path: str, schema: Stru
         .option("enforceSchema", True)
         .option("escape", '"')
         .option("emptyValue", _QUOTED_EMPTY)
+        .option("multiLine", multi_line)
         .csv(path)
     )
     return rows.select(

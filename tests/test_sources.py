@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 
 from registra import schemas
@@ -18,6 +20,13 @@ def test_csv_is_typed_and_strict(spark, tmp_path):
         tables.read_departments(spark, str(bad)).collect()
 
 
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    file = tmp_path / "departments.csv"
+    file.write_text('id,name\n1,"one\ntwo"\n')
+    read = tables.load_csv(spark.read, str(file), schemas.DEPARTMENTS, multi_line=True)
+    assert [tuple(r) for r in read.collect()] == [(1, "one\ntwo")]
+
+
 def test_skill_tables(spark, tmp_path):
     for name, schema in schemas.SKILL_TABLES.items():
         cells = ["1" if f.dataType == schemas.INT else "слово, слово" for f in schema.fields]
@@ -57,6 +66,13 @@ def test_work_folder_follows_the_setting(spark):
     assert empty.count() == 0 and empty.columns == ["id"]
 
 
+def test_cluster_without_shared_folder_is_refused():
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared.work_folder(cluster)
+
+
 OWL = """<?xml version="1.0"?>
 <rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:owl="http://www.w3.org/2002/07/owl#"
          xmlns:rdfs="http://www.w3.org/2000/01/rdf-schema#" xmlns="http://example.org/t#">
