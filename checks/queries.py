@@ -373,7 +373,9 @@ over_bank(
     b_summary=lambda b: bank.summary(*_bank_parts(b)),
     o_bank_edges=lambda b: triples.bank_edges(*_bank_parts(b)),
     o_bank_triples=lambda b: triples.bank_triples(*_bank_parts(b)),
-    o_class_graph=lambda b: triples.class_graph_rows(*triples.observed_schema(triples.bank_triples(*_bank_parts(b)))),
+    o_class_graph=lambda b: triples.class_graph_rows(
+        *triples.observed_schema(triples.bank_triples(*_bank_parts(b), literals=False))
+    ),
 )
 
 # --- generators, one row of ids per row of a given table -----------------------------

@@ -113,14 +113,23 @@ def _day(column: str) -> Column:
 
 
 def bank_triples(
-    clients: DataFrame, accounts: DataFrame, transactions: DataFrame, credits: DataFrame, iri: str = BANK_IRI
+    clients: DataFrame,
+    accounts: DataFrame,
+    transactions: DataFrame,
+    credits: DataFrame,
+    iri: str = BANK_IRI,
+    literals: bool = True,
 ) -> DataFrame:
-    """Four classes with their data properties, and the three kinds of links."""
+    """Four classes with their data properties, and the three kinds of links.
+
+    Without `literals` only types and links, which is all a class graph needs.
+    """
     full_name = F.concat_ws(" ", "last_name", "first_name", "patronymic")
     passport = F.concat_ws(" ", "passport_series", "passport_number")
 
-    def named(cls: str, key: str) -> Column:
-        return F.concat(F.lit(f"{cls}_"), F.col(key).cast("string"))
+    def entity(rows: DataFrame, cls: str, key: str, values: list[tuple[str, Column, str]]) -> DataFrame:
+        name = F.concat(F.lit(f"{cls}_"), F.col(key).cast("string"))
+        return _entity(rows, iri, cls, name, values if literals else [])
 
     edges = bank_edges(clients, accounts, transactions, credits)
     links = edges.select(
@@ -131,7 +140,7 @@ def bank_triples(
         F.lit(None).cast("string").alias("datatype"),
     )
     parts = [
-        _entity(clients, iri, "Клиент", named("Клиент", "client_id"), [
+        entity(clients, "Клиент", "client_id", [
             ("фио", full_name, "string"),
             ("дата_рождения", _day("birth_date"), "string"),
             ("паспортные_данные", passport, "string"),
@@ -139,20 +148,20 @@ def bank_triples(
             ("телефон", F.col("phone"), "string"),
             ("email", F.col("email"), "string"),
         ]),
-        _entity(accounts, iri, "Счет", named("Счет", "account_id"), [
+        entity(accounts, "Счет", "account_id", [
             ("номер_счета", F.col("account_number"), "string"),
             ("тип_счета", F.col("account_type"), "string"),
             ("валюта", F.col("currency"), "string"),
             ("дата_открытия", _day("open_date"), "string"),
             ("остаток", F.col("balance"), "decimal"),
         ]),
-        _entity(transactions, iri, "Транзакция", named("Транзакция", "transaction_id"), [
+        entity(transactions, "Транзакция", "transaction_id", [
             ("дата_транзакции", _day("transaction_date"), "string"),
             ("сумма_транзакции", F.col("amount"), "decimal"),
             ("тип_транзакции", F.col("transaction_type"), "string"),
             ("описание", F.col("description"), "string"),
         ]),
-        _entity(credits, iri, "Кредит", named("Кредит", "credit_id"), [
+        entity(credits, "Кредит", "credit_id", [
             ("сумма_кредита", F.col("amount").cast("decimal(14,2)"), "decimal"),
             ("процентная_ставка", F.col("interest_rate").cast("decimal(5,1)"), "decimal"),
             ("срок_в_месяцах", F.col("term_months"), "integer"),
@@ -184,41 +193,33 @@ def class_graph(classes: DataFrame, domains: DataFrame, ranges: DataFrame) -> tu
 def observed_schema(triples: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Classes, property domains and property ranges as they occur in the triples.
 
-    Every individual is reduced to its classes and to the properties that start or end
-    at it; both are short lists of the vocabulary. Equal individuals then fall together
-    before anything is unfolded. Rows have no order of declaration, so the name decides
-    between two properties.
+    An individual is first reduced to its distinct classes and to the distinct properties
+    that start or end at it, a few words each, so that one with very many links joins like
+    any other. Rows have no order of declaration, so the name decides between two
+    properties.
     """
 
-    def role(individual: str, kind: str, name: str) -> Column:
-        return F.struct(F.col(individual).alias("individual"), F.lit(kind).alias("kind"), F.col(name).alias("name"))
+    def end(individual: str, kind: str) -> Column:
+        return F.struct(
+            F.col(individual).alias("individual"), F.lit(kind).alias("kind"), F.col("predicate").alias("property")
+        )
 
-    roles = F.when(F.col("predicate") == TYPE, F.array(role("subject", "class", "object"))).otherwise(
-        F.array(role("subject", "domain", "predicate"), role("object", "range", "predicate"))
+    facts = triples.filter(F.col("object_kind") == IRI_KIND)
+    types = facts.filter(F.col("predicate") == TYPE).select(
+        F.col("subject").alias("individual"), F.col("object").alias("class")
     )
-    is_class = F.col("kind") == "class"
-    used = (
-        triples.filter(F.col("object_kind") == IRI_KIND)
-        .select(F.explode(roles).alias("role"))
-        .select("role.*")
-        .groupBy("individual")
-        .agg(
-            F.array_sort(F.collect_set(F.when(is_class, F.col("name")))).alias("classes"),
-            F.array_sort(F.collect_set(F.when(~is_class, F.struct("kind", "name")))).alias("ends"),
-        )
-        .select("classes", "ends")
-        .distinct()
-        .select(F.explode("classes").alias("class"), "ends")
-        .select("class", F.explode_outer("ends").alias("end"))
-        .select("class", "end.kind", F.col("end.name").alias("property"))
-        .distinct()
+    ends = (
+        facts.filter(F.col("predicate") != TYPE)
+        .select(F.explode(F.array(end("subject", "domain"), end("object", "range"))).alias("end"))
+        .select("end.*")
     )
+    used = types.distinct().join(ends.distinct(), "individual", "left").select("class", "kind", "property").distinct()
     stored = written(used, "schema")
 
-    def ends(kind: str) -> DataFrame:
+    def of_kind(kind: str) -> DataFrame:
         return stored.filter(F.col("kind") == kind).select("property", "class")
 
-    return stored.select("class").distinct(), ends("domain").withColumn("declared", F.lit(0)), ends("range")
+    return stored.select("class").distinct(), of_kind("domain").withColumn("declared", F.lit(0)), of_kind("range")
 
 
 def class_graph_rows(classes: DataFrame, domains: DataFrame, ranges: DataFrame) -> DataFrame:
