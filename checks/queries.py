@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 from functools import reduce
 
@@ -85,9 +86,7 @@ def s_csv_departments(spark, folder):
 
 @query
 def s_csv_skills(spark, folder):
-    text_ids = T.StructType([T.StructField(f.name, T.IntegerType() if f.name == "employee_id" else f.dataType)
-                             for f in schemas.EMPLOYEE_SKILLS.fields])
-    return _through_csv(spark, standin.skill_base(spark, folder).skills, text_ids)
+    return _through_csv(spark, standin.skill_base(spark, folder).skills, schemas.EMPLOYEE_SKILLS)
 
 
 @query
@@ -332,7 +331,7 @@ def o_whatif_skills(spark, folder):
 def o_new_person(spark, folder):
     base = skills.with_new_person(standin.skill_base(spark, folder), "new person")
     newest = base.skills.filter("full_name = 'new person'")
-    return _grants(skills.replace(base, skills=newest))
+    return _grants(replace(base, skills=newest))
 
 
 def _skills_through(spark, folder, write, read):

@@ -9,9 +9,33 @@ from pyspark.sql import types as T
 
 # A catalogue of at most this many values is sent to every task.
 BROADCAST_VALUES = 100_000
+# Parts that the rows of one key are spread over when it is larger.
+SALTS = 64
 
 
-def paired_with(people: DataFrame, catalogue: DataFrame, values: int, per_block: int = 1000, salts: int = 64) -> DataFrame:
+def _part(df: DataFrame, parts: int) -> Column:
+    """A row's part, by its content."""
+    return F.pmod(F.xxhash64(*df.columns), F.lit(parts).cast("bigint"))
+
+
+def _every(parts: int) -> Column:
+    """A copy of the row for every part."""
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint")))
+
+
+def matched_with(held: DataFrame, needs: DataFrame, item: str, values: int) -> DataFrame:
+    """Held items with the requirements that name them.
+
+    Much of the people may hold one item, so past broadcast size its rows are spread over
+    salts and the requirements are copied to each.
+    """
+    if values <= BROADCAST_VALUES:
+        return held.join(F.broadcast(needs), item)
+    left, right = held.withColumn("_salt", _part(held, SALTS)), needs.withColumn("_salt", _every(SALTS))
+    return left.join(right, [item, "_salt"]).drop("_salt")
+
+
+def paired_with(people: DataFrame, catalogue: DataFrame, values: int, per_block: int = 1000) -> DataFrame:
     """Every person with every catalogue row, for results defined on all of these pairs.
 
     `values` is the counted size of the catalogue. A small catalogue is broadcast. A
@@ -19,16 +43,9 @@ def paired_with(people: DataFrame, catalogue: DataFrame, values: int, per_block:
     no key then holds more than one block and a 1/salts part of the people.
     """
     small = values <= BROADCAST_VALUES
-    blocks, salts = (1, 1) if small else (-(-values // per_block), salts)
-
-    def spread(df: DataFrame, parts: int) -> Column:
-        return F.pmod(F.xxhash64(*df.columns), F.lit(parts).cast("bigint"))
-
-    def every(parts: int) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint")))
-
-    left = people.withColumn("_block", every(blocks)).withColumn("_salt", spread(people, salts))
-    right = catalogue.withColumn("_salt", every(salts)).withColumn("_block", spread(catalogue, blocks))
+    blocks, salts = (1, 1) if small else (-(-values // per_block), SALTS)
+    left = people.withColumn("_block", _every(blocks)).withColumn("_salt", _part(people, salts))
+    right = catalogue.withColumn("_salt", _every(salts)).withColumn("_block", _part(catalogue, blocks))
     right = F.broadcast(right) if small else right
     return left.join(right, ["_block", "_salt"]).drop("_block", "_salt")
 
@@ -46,7 +63,7 @@ def qualified(
     needs = required.select(goal, item).distinct().join(known, goal, "left_semi")
     sizes = needs.groupBy(goal).agg(F.count(F.lit(1)).alias("_needed"))
     earned = (
-        held.join(needs.join(sizes, goal), item)
+        matched_with(held, needs.join(sizes, goal), item, needs.count())
         .groupBy(person, goal)
         .agg(F.count(F.lit(1)).alias("_matched"), F.max("_needed").alias("_needed"))
         .filter("_matched = _needed")

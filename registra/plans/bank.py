@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,10 @@ from registra.sources.shared import written
 from registra.sources.tables import row_counts
 
 
+# One whole number each.
+ACCOUNTS_TO_SEND = 1_000_000
+
+
 def annuities(credits: DataFrame) -> DataFrame:
     """Credits with the monthly payment worked out from amount, rate and term."""
     payment = numbers.annuity_payment(F.col("amount"), F.col("interest_rate"), F.col("term_months"))
@@ -53,45 +59,42 @@ def report_rows(
 
     Sections: client, account, transaction (first 3 per account, in the currency of the
     account), credit; no_accounts, no_transactions and no_credits say that there are none.
-    A client may own any number of accounts, so nothing is gathered per client.
+    A client may own any number of accounts, and an account any number of transactions, so
+    nothing is gathered per client, transactions are cut to three per account before any
+    join, and whoever has none is found by distinct ids.
     """
     chosen = clients.select("client_id", full_name().alias("name"))
     ids = chosen.select("client_id")
-    with_accounts = ids.join(accounts, "client_id", "left")
-    owned = accounts.join(ids, "client_id", "left_semi").select("account_id", "client_id", "currency")
-    booked = transactions.join(owned.select("account_id"), "account_id", "left_semi")
-    with_transactions = owned.join(first_transactions(booked), "account_id", "left")
-    with_credits = ids.join(credits, "client_id", "left")
+    owned = accounts.join(ids, "client_id", "left_semi")
+    lent = credits.join(ids, "client_id", "left_semi")
+    with_transactions = owned.select("account_id", "client_id", "currency").join(
+        first_transactions(transactions), "account_id", "left"
+    )
+
+    def without(others: DataFrame) -> DataFrame:
+        return ids.join(others.select("client_id").distinct(), "client_id", "left_anti")
 
-    def rows(df: DataFrame, section: Column, **values: Column) -> DataFrame:
+    def rows(df: DataFrame, section: Column | str, **values: Column | str) -> DataFrame:
         shapes = {"account_id": "bigint", "item_id": "bigint", "place": "int", "title": "string", "kind": "string",
                   "day": "string", "amount": "double", "currency": "string", "rate": "double", "payment": "double"}
-        cells = [values.get(c, F.lit(None)).cast(t).alias(c) for c, t in shapes.items()]
-        return df.select("client_id", section.alias("section"), *cells)
-
-    def either(key: str, found: str, none: str) -> Column:
-        return F.when(F.col(key).isNull(), none).otherwise(found)
-
-    booked_at_all = F.col("transaction_id").isNotNull()
-    return (
-        rows(chosen, F.lit("client"), title=F.col("name"))
-        .unionByName(
-            rows(with_accounts, either("account_id", "account", "no_accounts"), account_id=F.col("account_id"),
-                 title=F.col("account_number"), kind=F.col("account_type"), amount=F.col("balance"),
-                 currency=F.col("currency"))
-        )
-        .unionByName(
-            rows(with_transactions, either("transaction_id", "transaction", "no_transactions"),
-                 account_id=F.col("account_id"), item_id=F.col("transaction_id"), place=F.col("place"),
-                 kind=labels.capitalize(F.col("transaction_type")),
-                 day=F.date_format("transaction_date", "yyyy-MM-dd"), amount=F.col("amount"),
-                 currency=F.when(booked_at_all, F.col("currency")))
-        )
-        .unionByName(
-            rows(with_credits, either("credit_id", "credit", "no_credits"), item_id=F.col("credit_id"),
-                 amount=F.col("amount"), rate=F.col("interest_rate"), payment=F.col("monthly_payment"))
-        )
-    )
+        given = {c: F.col(v) if isinstance(v, str) else v for c, v in values.items()}
+        cells = [given.get(c, F.lit(None)).cast(t).alias(c) for c, t in shapes.items()]
+        return df.select("client_id", (F.lit(section) if isinstance(section, str) else section).alias("section"), *cells)
+
+    booked = F.col("transaction_id").isNotNull()
+    parts = [
+        rows(chosen, "client", title="name"),
+        rows(owned, "account", account_id="account_id", title="account_number", kind="account_type", amount="balance",
+             currency="currency"),
+        rows(without(accounts), "no_accounts"),
+        rows(with_transactions, F.when(booked, "transaction").otherwise("no_transactions"), account_id="account_id",
+             item_id="transaction_id", place="place", kind=labels.capitalize(F.col("transaction_type")),
+             day=F.date_format("transaction_date", "yyyy-MM-dd"), amount="amount",
+             currency=F.when(booked, F.col("currency"))),
+        rows(lent, "credit", item_id="credit_id", amount="amount", rate="interest_rate", payment="monthly_payment"),
+        rows(without(credits), "no_credits"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def first_clients_report(
@@ -99,11 +102,13 @@ def first_clients_report(
 ) -> DataFrame:
     """The report lines of the first n clients.
 
-    Their accounts are written first, so that Spark knows how few they are before it
-    decides how to look for their transactions.
+    If they own few accounts, the account ids are sent to every task, which then keep these
+    accounts' transactions only.
     """
     chosen = written(first_clients(clients, n), "clients")
     owned = written(accounts.join(chosen.select("client_id"), "client_id", "left_semi"), "accounts")
+    if owned.count() <= ACCOUNTS_TO_SEND:
+        transactions = transactions.join(F.broadcast(owned.select("account_id")), "account_id", "left_semi")
     return report_lines(report_rows(chosen, owned, transactions, credits))
 
 

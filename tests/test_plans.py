@@ -31,6 +31,13 @@ def test_columns_are_pruned_and_filters_pushed(spark):
     assert "PushedFilters: [IsNotNull(o_orderkey), GreaterThan(o_orderkey,5)]" in text and "o_totalprice" not in text
 
 
+def test_report_cuts_transactions_before_any_shuffle(spark):
+    text = plan(QUERIES["b_client_report_flat"](spark, FOLDER))
+    before_shuffle = text[text.index("3, Partial") : text.index("lineitem.parquet")]
+    assert text.count("lineitem.parquet") == 1
+    assert "Exchange" not in before_shuffle and "Join" not in before_shuffle
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_joins_and_no_python(spark, name):
     text = plan(QUERIES[name](spark, FOLDER))

@@ -1,5 +1,7 @@
 """The small skills base with known results."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,7 +77,7 @@ def test_new_person_gets_everything(base):
 
 
 def test_goal_without_requirements_goes_to_everybody(base, rows):
-    free = skills.replace(base, competencies=base.competencies.union(rows([(9, "c9")], schemas.COMPETENCIES)))
+    free = replace(base, competencies=base.competencies.union(rows([(9, "c9")], schemas.COMPETENCIES)))
     got = grouped(skills.competencies_of(free))
     assert set(got) == set(range(1, 8)) and all(9 in got[p] for p in got)
 
@@ -85,25 +87,26 @@ def test_large_catalogues_take_the_salted_path(base, rows, monkeypatch):
 
     monkeypatch.setattr(division, "BROADCAST_VALUES", 0)
     assert skills.missing_knowledge(base).count() == 79
-    free = skills.replace(base, competencies=base.competencies.union(rows([(9, "c9")], schemas.COMPETENCIES)))
+    free = replace(base, competencies=base.competencies.union(rows([(9, "c9")], schemas.COMPETENCIES)))
     assert skills.competencies_of(free).filter("competency_id = 9").count() == 7
+    assert skills.competencies_of(base).count() == 13 and skills.positions_of(base).count() == 10
 
 
 def test_unknown_ids(base, rows):
-    odd = skills.replace(base, skills=base.skills.union(rows([(7, "person 7", 99)], schemas.EMPLOYEE_SKILLS)))
+    odd = replace(base, skills=base.skills.union(rows([(7, "person 7", 99)], schemas.EMPLOYEE_SKILLS)))
     assert grouped(skills.competencies_of(odd)) == grouped(skills.competencies_of(base))
     assert [tuple(r) for r in skills.unknown_ids(odd).collect()] == [("skills", "knowledge_id", "99", 1)]
     skills.require_known_links(odd)
-    broken = skills.replace(base, position_competency=base.position_competency.union(rows([(1, 99)], schemas.POSITION_COMPETENCY)))
+    broken = replace(base, position_competency=base.position_competency.union(rows([(1, 99)], schemas.POSITION_COMPETENCY)))
     with pytest.raises(ValueError):
         skills.require_known_links(broken)
 
 
 def test_listings(base, rows):
-    none_known = skills.replace(base, skills=base.skills.union(rows([(9, "person 9", 99)], schemas.EMPLOYEE_SKILLS)))
+    none_known = replace(base, skills=base.skills.union(rows([(9, "person 9", 99)], schemas.EMPLOYEE_SKILLS)))
     profile = {r.employee_id: r.ids for r in skills.skill_profile(none_known).collect()}
     assert profile[1] == [1, 4, 5] and profile[9] == []
-    lonely = skills.replace(base, positions=base.positions.union(rows([(6, None)], schemas.POSITIONS)))
+    lonely = replace(base, positions=base.positions.union(rows([(6, None)], schemas.POSITIONS)))
     listing = skills.requirements(lonely)
     assert listing.filter("kind = 'position' AND name = 'должность_6' AND required_name IS NULL").count() == 1
     full = skills.full_profile(none_known)
@@ -112,7 +115,7 @@ def test_listings(base, rows):
 
 
 def test_two_names_for_one_id(base, rows):
-    renamed = skills.replace(base, skills=base.skills.union(rows([(1, "a person", 2)], schemas.EMPLOYEE_SKILLS)))
+    renamed = replace(base, skills=base.skills.union(rows([(1, "a person", 2)], schemas.EMPLOYEE_SKILLS)))
     assert skills.people(renamed).filter("employee_id = 1").first().full_name == "person 1"
     assert grouped(skills.held_knowledge(renamed).select("employee_id", "knowledge_id"))[1] == {1, 2, 4, 5}
 
