@@ -69,9 +69,10 @@ def _week_blocks(logs: DataFrame, graded: Column, null_activity_first: bool) ->
     attributes = F.shiftleft(codes.cast("bigint"), _DEPART_BITS) + depart
 
     def of_graded(value: Column) -> Column:
-        return F.when(graded, value)
+        return F.when(F.col("graded"), value)
 
-    return logs.groupBy(*PAIR, F.shiftright("num_week", _BLOCK_BITS).alias("block")).agg(
+    # Worked out once per row, as most of the aggregates use it.
+    return logs.withColumn("graded", graded).groupBy(*PAIR, F.shiftright("num_week", _BLOCK_BITS).alias("block")).agg(
         F.count(of_graded(F.lit(1))).alias("graded_rows"),
         *[F.sum(of_graded(F.coalesce(F.col(c), F.lit(0)))).alias(out) for out, c in COUNTERS.items()],
         F.max(of_graded(F.col("depart"))).alias("department_id"),
