@@ -61,17 +61,20 @@ def qualified(
     """
     known = goals.select(goal).distinct()
     needs = required.select(goal, item).distinct().join(known, goal, "left_semi")
-    sizes = needs.groupBy(goal).agg(F.count(F.lit(1)).alias("_needed"))
+    per_goal = needs.groupBy(goal).agg(F.count(F.lit(1)).alias("_needed"))
+    sizes = known.join(per_goal, goal, "left").withColumn("_needed", F.coalesce("_needed", F.lit(0)))
+    total = sizes.agg(F.sum("_needed").alias("needs"), F.count_if(F.col("_needed") == 0).alias("free")).first()
     earned = (
-        matched_with(held, needs.join(sizes, goal), item, needs.count())
+        matched_with(held, needs.join(sizes, goal), item, total["needs"] or 0)
         .groupBy(person, goal)
         .agg(F.count(F.lit(1)).alias("_matched"), F.max("_needed").alias("_needed"))
         .filter("_matched = _needed")
         .select(person, goal)
     )
-    free = known.join(needs, goal, "left_anti")
-    n_free = free.count()
-    return earned.unionByName(paired_with(people.select(person).distinct(), free, n_free)) if n_free else earned
+    if not total["free"]:
+        return earned
+    free = sizes.filter("_needed = 0").select(goal)
+    return earned.unionByName(paired_with(people.select(person).distinct(), free, total["free"]))
 
 
 def missing(

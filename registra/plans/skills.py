@@ -106,18 +106,20 @@ def positions_of(base: SkillBase, granted: DataFrame | None = None) -> DataFrame
 
 @dataclass(frozen=True)
 class Inference:
-    """What people hold and what follows from it. Held knowledge and competencies are
-    written once, since later steps read them more than once."""
+    """What people hold and what follows from it; `base` has every skill row once."""
 
+    base: SkillBase
     held: DataFrame
     competencies: DataFrame
     positions: DataFrame
 
 
 def infer(base: SkillBase) -> Inference:
-    held = written(held_knowledge(base), "held")
+    """Skills and competencies are written once, since later steps read them more than once."""
+    base = replace(base, skills=written(distinct_skills(base), "skills"))
+    held = held_knowledge(base)
     granted = written(competencies_of(base, held), "competencies")
-    return Inference(held, granted, positions_of(base, granted))
+    return Inference(base, held, granted, positions_of(base, granted))
 
 
 def position_violations(held_positions: DataFrame, granted: DataFrame, position_competency: DataFrame) -> DataFrame:
@@ -210,7 +212,7 @@ def full_profile(base: SkillBase) -> DataFrame:
             for links, table, kind in parts
         ],
     )
-    return people(base).join(listing, "employee_id", "left").select("employee_id", "full_name", "kind", "name")
+    return people(found.base).join(listing, "employee_id", "left").select("employee_id", "full_name", "kind", "name")
 
 
 def with_requirements(base: SkillBase, extra: DataFrame) -> SkillBase:

@@ -74,7 +74,7 @@ def skill_triples(base: S.SkillBase, iri: str = SKILLS_IRI) -> DataFrame:
         named(base.knowledge, "Знание", knows, "название", "knowledge_name"),
         named(base.competencies, "Компетенция", masters, "название", "competency_name"),
         named(base.positions, "Должность", fills, "название", "position_name"),
-        named(S.people(base), "Специалист", who, "имя_сотрудника", "full_name"),
+        named(S.people(found.base), "Специалист", who, "имя_сотрудника", "full_name"),
         _edge(base.competency_knowledge.distinct(), iri, "требует_знание", masters, knows),
         _edge(base.position_competency.distinct(), iri, "требует_компетенцию", fills, masters),
         _edge(found.held, iri, "обладает_знанием", who, knows),
