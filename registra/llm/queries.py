@@ -8,22 +8,57 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registra.llm import exact, packing, token_files
+from registra.llm import exact, fingerprints, mixing, near, packing, private, quality, secrets, token_files, unigram
 from registra.llm.common import new_path, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+UNIGRAM_MODEL = public_tokenizers.path("piece_bpe_32k.model")  # its entries and scores, read as a unigram model
 WINDOW = 2048
+# Shares of tokens by language.
+TARGETS = {"en": 0.4, "de": 0.2, "es": 0.2, "fr": 0.2}
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_TOKENIZER, WINDOW, end_id=1)
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.classify(table(spark, sf_dir, "documents"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), TARGETS)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact.group_rows(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.count_tokens(table(spark, sf_dir, "documents"), UNIGRAM_MODEL)
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.scan(table(spark, sf_dir, "documents"), new_path(spark, "blob-ledger")))
+
+
+def op7_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return private.report(private.find(docs, private.fit(docs)))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    asked = docs.select("doc_id", quality.held_out(docs).alias("held_out"), "text")
+    scored = quality.with_score(asked, quality.fit(docs, table(spark, sf_dir, "labels")), "score")
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_next(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, WORD_TOKENIZER, end_id=2, vocabulary=49_408)
@@ -31,9 +66,19 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_packing": op1_packing,
-    "op4_exact_dedup": op4_exact_dedup,
-    "op10_token_files": op10_token_files,
+    query.__name__: query
+    for query in (
+        op1_packing,
+        op2_near_dedup,
+        op3_mixing,
+        op4_exact_dedup,
+        op5_token_counts,
+        op6_secrets,
+        op7_private,
+        op8_quality,
+        op9_fingerprints,
+        op10_token_files,
+    )
 }
 
 ORACLES: dict[str, str] = {
