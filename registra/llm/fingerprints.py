@@ -4,7 +4,7 @@ A rolling hash of the last seven bytes decides where a chunk ends: at block size
 lowest k bits are zero, so the chunk ends of a size are among those of every smaller one. Each chunk
 gives one character of the signature; of equal chunks in a row three count. The block size follows from the length,
 so that about 64 chunks of the whole text are to be expected at most; it grows as long as there are over 96 and
-falls as long as there are under 32. Nothing is cut off. A fingerprint is
+falls as long as there are under 16. Nothing is cut off. A fingerprint is
 
     k : signature at block size 2^k : signature at 2^(k+1)
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from registra.llm.common import mix64, parts, whole_text, written
 
 WINDOW = 7
-CHUNKS, MOST, FEWEST = 64, 96, 32
+CHUNKS, MOST, FEWEST = 64, 96, 16
 ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", dtype="u1")
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)

@@ -3,7 +3,7 @@
 A naive Bayes classifier, learnt from the documents of the labelled table, gives each document a
 probability for every domain. Document i then gives r_i * n_i * p_id expected tokens to domain d, at
 a rate r_i >= 0 of copies. The rates minimise the weighted squares of (expected tokens - target) over all domains
-by projected gradient steps from r = 1; a step is one aggregation that brings a sum per
+by projected gradient steps; a step is one aggregation that brings two sums per
 domain to the driver. Everything else stays in DataFrame expressions.
 """
 
@@ -95,43 +95,65 @@ def posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
     return raised.select("doc_id", "text_key", "n_rows", "n_words", *[(F.col(f"e_{i}") / whole).alias(f"p_{i}") for i in d])
 
 
-def fit_rates(chances: DataFrame, targets: list[float], tokens: float | None = None, tolerance: float = 1e-7, most_steps: int = 200) -> DataFrame:
+def fit_rates(
+    chances: DataFrame,
+    targets: list[float],
+    tokens: float | None = None,
+    least: float = 0.0,
+    most: float | None = None,
+    tolerance: float = 1e-6,
+    most_steps: int = 60,
+) -> DataFrame:
     """`chances` (a written table with n_rows, n_words, p_0, ...) and a column `rate`.
 
     `targets` are the domains' shares, in order of name. `tokens` is the expected total; by
-    default the least for which no domain has to shrink, so that nothing need be dropped. Domains without any
+    default a twentieth over the least for which no domain has to shrink. Rates stay between
+    `least` and `most`; with `least` = 1 no document is lost. Domains without any
     token are left out of the targets. Steps are scaled by the documents' lengths, so long and short documents of
     a kind get the same rate; their size is one over the largest eigenvalue of the small matrix of
-    domains. No tokens at all leave every rate at 1.
+    domains, and each starts from a point ahead in the direction of the last one, or from
+    the rates themselves after a step that made things worse. They end when every domain is within `tolerance` of the
+    total, or ten steps have gained next to nothing. No tokens at all leave every rate at `least` or 1.
     """
     d = range(len(targets))
     weight = F.col("n_rows") * F.col("n_words")
-    gram = chances.agg(*[F.sum(weight * F.col(f"p_{i}") * F.col(f"p_{j}")).alias(f"g_{i}_{j}") for i in d for j in d], *[F.sum(weight * F.col(f"p_{i}")).alias(f"s_{i}") for i in d]).first()
+    gram = chances.agg(
+        *[F.sum(weight * F.col(f"p_{i}") * F.col(f"p_{j}")).alias(f"g_{i}_{j}") for i in d for j in d],
+        *[F.sum(weight * F.col(f"p_{i}")).alias(f"s_{i}") for i in d],
+    ).first()
     held = np.array([gram[f"s_{i}"] or 0.0 for i in d])
-    state = chances.withColumn("rate", F.lit(1.0))
+    start = max(1.0, least)
+    state = chances.withColumn("rate", F.lit(start)).withColumn("ahead", F.lit(start))
     live = held > 1e-9 * max(held.sum(), 1e-300)
     wanted = np.where(live, np.array(targets, dtype=float), 0.0)
     if not wanted.sum():
-        return state
+        return state.drop("ahead")
     wanted /= wanted.sum()
-    total = tokens if tokens is not None else max(held[i] / wanted[i] for i in d if wanted[i] > 0)
+    total = tokens if tokens is not None else 1.05 * max(held[i] / wanted[i] for i in d if wanted[i] > 0)
     goal = wanted * total
     matrix = np.array([[gram[f"g_{i}_{j}"] or 0.0 for j in d] for i in d])
     scale = np.where(live, 1 / np.maximum(np.diag(matrix), 1e-300), 0.0)
     step = 1 / np.linalg.eigvalsh(np.sqrt(scale)[:, None] * matrix * np.sqrt(scale)[None, :]).max()
-    sums = [F.sum(F.col("rate") * weight * F.col(f"p_{i}")).alias(f"s_{i}") for i in d]
-    got = held
+    sums = [F.sum(F.col(c) * weight * F.col(f"p_{i}")).alias(f"{c}_{i}") for c in ("rate", "ahead") for i in d]
+    gaps = {"rate": start * held - goal, "ahead": start * held - goal}
+    losses = [float(scale @ gaps["rate"] ** 2)]
+    momentum = 1.0
     for count in range(1, most_steps + 1):
-        if np.abs(got - goal).max() <= tolerance * total:
+        if np.abs(gaps["rate"]).max() <= tolerance * total or (count > 10 and losses[-11] - losses[-1] <= 1e-6 * losses[-1]):
             break
-        pull = step * scale * (got - goal)
-        moved = reduce(Column.__add__, [F.col(f"p_{i}") * F.lit(float(pull[i])) for i in d])
-        state = state.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") - moved))
-        if count % 8 == 0:  # keeps the expression short
-            state = written(state, "mix-rates")
+        pull = step * scale * gaps["ahead"]
+        moved = F.col("ahead") - reduce(Column.__add__, [F.col(f"p_{i}") * F.lit(float(pull[i])) for i in d])
+        fresh = F.greatest(F.lit(least), moved if most is None else F.least(F.lit(most), moved))
+        grown = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
+        state = state.withColumn("fresh", fresh).withColumn("ahead", F.col("fresh") + F.lit((momentum - 1) / grown) * (F.col("fresh") - F.col("rate")))
+        state = written(state.drop("rate").withColumnRenamed("fresh", "rate"), "mix-rates")
         row = state.agg(*sums).first()
-        got = np.array([row[f"s_{i}"] or 0.0 for i in d])
-    return state
+        gaps = {c: np.array([row[f"{c}_{i}"] or 0.0 for i in d]) - goal for c in ("rate", "ahead")}
+        losses.append(float(scale @ gaps["rate"] ** 2))
+        momentum = grown
+        if losses[-1] > losses[-2]:
+            state, gaps["ahead"], momentum = state.withColumn("ahead", F.col("rate")), gaps["rate"], 1.0
+    return state.drop("ahead")
 
 
 def copies(rate: Column, key: list[Column], seed: int = 0) -> Column:
@@ -140,29 +162,30 @@ def copies(rate: Column, key: list[Column], seed: int = 0) -> Column:
     return F.floor(rate + uniform).cast("bigint")
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: str = "lang", tokens: float | None = None) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: str = "lang", **bounds: float | None) -> DataFrame:
     """A row per document: doc_id, n_words, p_<domain> for each, rate, copies.
 
     NULL text counts as empty, has no words and the priors' chances; NULL domains and doc_ids teach nothing;
-    rows that repeat get the same rate and copies each; other columns are not looked at.
+    rows that repeat get the same rate and copies each; other columns are not looked at. `bounds` go to
+    `fit_rates`: tokens, least, most.
     """
-    rates = _rates(docs, labels, targets, domain, tokens)
+    rates = _rates(docs, labels, targets, domain, bounds)
     names = sorted(targets)
     each = rates.withColumn("again", F.explode(F.sequence(F.lit(1).cast("bigint"), "n_rows")))
     return each.select("doc_id", "n_words", *[F.col(f"p_{i}").alias(f"p_{name}") for i, name in enumerate(names)], "rate", "copies")
 
 
-def _rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: str, tokens: float | None) -> DataFrame:
+def _rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: str, bounds: dict[str, float | None]) -> DataFrame:
     names = sorted(targets)
     model = learn(docs, labels, names, domain)
-    rates = fit_rates(written(posteriors(docs, model), "chances"), [targets[n] for n in names], tokens)
+    rates = fit_rates(written(posteriors(docs, model), "chances"), [targets[n] for n in names], **bounds)
     return rates.withColumn("copies", copies(F.col("rate"), [F.col("doc_id"), F.col("text_key")]))
 
 
-def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: str = "lang", tokens: float | None = None) -> DataFrame:
+def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: str = "lang", **bounds: float | None) -> DataFrame:
     """The rows of `docs`, with all their columns, each as often as its number of copies says."""
     own, key, n = unused(docs, "rated_id"), unused(docs, "rated_text"), unused(docs, "n_copies")
-    rates = written(_rates(docs, labels, targets, domain, tokens).select(F.col("doc_id").alias(own), F.col("text_key").alias(key), F.col("copies").alias(n)), "copies")
+    rates = written(_rates(docs, labels, targets, domain, bounds).select(F.col("doc_id").alias(own), F.col("text_key").alias(key), F.col("copies").alias(n)), "copies")
     keyed = F.xxhash64(whole_text(docs))
     rows = docs.join(rates, docs["doc_id"].cast("bigint").eqNullSafe(rates[own]) & (keyed == rates[key]))
     again = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(n)))

@@ -83,10 +83,11 @@ def signatures(elements: np.ndarray, doc: np.ndarray, weight: np.ndarray, docs:
     times = np.full((docs, REGISTERS), np.inf)
     winners = np.zeros((docs, REGISTERS), dtype=np.uint64)
     flat_times, flat_winners = times.reshape(-1), winners.reshape(-1)
-    clock, step = np.zeros(len(elements)), np.uint64(0)
+    clock, step = np.zeros(len(elements)), 0
     latest = np.full(docs, np.inf)
     while len(elements):
-        noise = mix64(elements + GOLDEN * (step + np.uint64(1)))
+        step += 1
+        noise = mix64(elements + np.uint64(step * int(GOLDEN) & 0xFFFFFFFFFFFFFFFF))
         clock = clock - np.log(((noise >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / weight
         running = clock < latest[doc]
         elements, doc, weight, clock, noise = elements[running], doc[running], weight[running], clock[running], noise[running]
@@ -97,7 +98,6 @@ def signatures(elements: np.ndarray, doc: np.ndarray, weight: np.ndarray, docs:
         flat_winners[at[wins]] = elements[wins]
         touched = np.unique(doc)
         latest[touched] = times[touched].max(axis=1)
-        step += np.uint64(1)
     return winners
 
 

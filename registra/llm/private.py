@@ -150,21 +150,31 @@ class Region:
 
 
 def read_region(text: str, start: int, end: int) -> Region:
-    """Candidates begin and end with a letter, digit or plus sign and hold an at sign or seven digits."""
+    """Candidates begin with a letter, digit or plus sign and end with a letter or digit. They hold one
+    at sign and no blank, or no letter and seven digits (four between three dots)."""
     units = [(start + m.start(), start + m.end()) for m in _UNIT.finditer(text[start:end])]
     counts = np.cumsum([0] + [sum("0" <= ch <= "9" for ch in text[a:b]) for a, b in units])
     marks = np.cumsum([0] + [text[a] == "@" for a, _ in units])
     dots = np.cumsum([0] + [text[a] == "." for a, _ in units])
+    blanks = np.cumsum([0] + [text[a] == " " for a, _ in units])
+    letters = np.cumsum([0] + [any(ch.isalpha() for ch in text[a:b]) for a, b in units])
+    counts, marks, dots, blanks, letters = (x.tolist() for x in (counts, marks, dots, blanks, letters))
     candidates, features = [], []
     for i, (a, _) in enumerate(units):
         if not (text[a].isalnum() or text[a] == "+"):
             continue
         for j in range(i + 1, min(i + MOST_UNITS, len(units)) + 1):
             b = units[j - 1][1]
-            digits = counts[j] - counts[i]
-            if not text[b - 1].isalnum() or digits > 24:
+            digits, signs = counts[j] - counts[i], marks[j] - marks[i]
+            if signs > 1 or digits > 24:
+                break
+            if not text[b - 1].isalnum():
                 continue
-            if marks[j] > marks[i] or digits >= 7 or (digits >= 4 and dots[j] - dots[i] == 3):
+            if signs:
+                fits = blanks[j] == blanks[i]
+            else:
+                fits = letters[j] == letters[i] and (digits >= 7 or (digits >= 4 and dots[j] - dots[i] == 3))
+            if fits:
                 candidates.append((i, j))
                 features.append(_features(text[a:b], text[a - 1 : a], text[b : b + 1]))
     return Region(start, units, candidates, np.array(features, dtype=float).reshape(-1, FEATURES))
@@ -301,8 +311,9 @@ def find(docs: DataFrame, model: SpanModel) -> DataFrame:
 def report(found: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans (kind:start:end, comma-joined)."""
     names = F.array(*[F.lit(k) for k in KINDS])
+    of_kind = lambda k: lambda s: s["kind"] == k
     listed = lambda c: F.array_join(
         F.transform(c, lambda s: F.concat_ws(":", names[s["kind"]], s["start"].cast("string"), s["end"].cast("string"))), ","
     )
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    counts = [F.size(F.filter("base", of_kind(k))).cast("bigint").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))

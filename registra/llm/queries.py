@@ -16,6 +16,8 @@ UNIGRAM_MODEL = public_tokenizers.path("piece_bpe_32k.model")  # its entries and
 WINDOW = 2048
 # Shares of tokens by language.
 TARGETS = {"en": 0.4, "de": 0.2, "es": 0.2, "fr": 0.2}
+# Every document stays and none comes more than eight times.
+RATES = {"least": 1.0, "most": 8.0}
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +29,7 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), TARGETS)
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), TARGETS, **RATES)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,8 +93,9 @@ def scan(docs: DataFrame, ledger: str, rule_version: str = RULE_VERSION) -> Data
 def report(scanned: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans (kind:start:end, comma-joined)."""
     names = F.array(*[F.lit(k) for k in KINDS])
+    of_kind = lambda k: lambda s: s["kind"] == k
     listed = F.array_join(
         F.transform("spans", lambda s: F.concat_ws(":", names[s["kind"]], s["start"].cast("string"), s["end"].cast("string"))), ","
     )
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    counts = [F.size(F.filter("spans", of_kind(k))).cast("bigint").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return scanned.select("doc_id", *counts, F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"))

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,7 +72,7 @@ def write_token_files(
     tokenizer: str,
     end_id: int,
     vocabulary: int = 1 << 16,
-    file_mb: int = 32,
+    file_mb: float = 32,
     level: int = 3,
     sample_docs: int = 1024,
     dictionary_bytes: int = 112_640,
@@ -109,7 +110,7 @@ def write_token_files(
         "frames",
     )
     total = encoded.agg(F.sum("frame_bytes").alias("total")).first()["total"] or 0
-    files = max(1, -(-total // (file_mb << 20)))
+    files = max(1, math.ceil(total / (file_mb * (1 << 20))))
     head = {"width": width, "end_id": end_id, "dictionary": hashlib.sha256(dictionary).hexdigest()}
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from registra.llm import mixing
 from registra.llm.common import written
-from registra.llm.queries import TARGETS
+from registra.llm.queries import RATES, TARGETS
 
 WORDS = {"en": ["the", "and", "of", "house"], "de": ["der", "und", "von", "haus"], "es": ["el", "y", "de", "casa"], "fr": ["le", "et", "du", "maison"]}
 
@@ -30,7 +30,7 @@ def all_labels(spark, rows):
 
 def test_expected_tokens_meet_the_targets(spark):
     rows = corpus()
-    found = mixing.mix(documents(spark, rows=rows), all_labels(spark, rows), TARGETS).toPandas()
+    found = mixing.mix(documents(spark, rows=rows), all_labels(spark, rows), TARGETS, **RATES).toPandas()
     chances = found[[f"p_{d}" for d in sorted(TARGETS)]].to_numpy()
     assert np.allclose(chances.sum(axis=1), 1)
     expected = (found["rate"].to_numpy() * found["n_words"].to_numpy()) @ chances
@@ -83,7 +83,7 @@ def test_awkward_documents_keep_their_rows(spark, clashing):
     found = mixing.mix(docs, labels(spark), TARGETS).collect()
     wanted = sorted((str(r[0]), len((r[1] or "").lower().replace("\n", " ").replace("\t", " ").split())) for r in ROWS)
     assert sorted((str(r["doc_id"]), r["n_words"]) for r in found) == wanted
-    mixed = mixing.mixed_documents(docs, labels(spark), TARGETS)
+    mixed = mixing.mixed_documents(docs, labels(spark), TARGETS, **RATES)
     assert mixed.columns == docs.columns
     assert {str(r["doc_id"]) for r in mixed.collect()} == {str(r[0]) for r in ROWS}  # nothing has to shrink
 
