@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from registra.llm import exact, mixing, near, packing, quality
 from registra.llm.common import table, written
-from registra.llm.queries import TARGETS, WINDOW, WORD_TOKENIZER
+from registra.llm.queries import RATES, TARGETS, WINDOW, WORD_TOKENIZER
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +22,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed_documents(docs, table(spark, sf_dir, "labels"), TARGETS)
+    return mixing.mixed_documents(docs, table(spark, sf_dir, "labels"), TARGETS, **RATES)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
