@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from checks.queries import AS_OF
 from registra.plans import synth
+from registra.plans.ontology import BANK as BANK_ONTOLOGY
+from registra.plans.ontology import declarations
 from registra.plans.triples import BANK_IRI, SKILLS_IRI, TYPE, XSD
 
 # --- stand-in tables -----------------------------------------------------------------
@@ -300,7 +302,7 @@ def _refresh(v1: bool) -> str:
         cells.append(f"CASE WHEN {when} THEN n.{c} ELSE o.{c} END AS {c}")
     cells += [f"CASE WHEN n.student_id IS NOT NULL THEN n.{c} ELSE o.{c} END AS {c}" for c in derived]
     return f"""
-early AS (SELECT * FROM logs WHERE num_week <= 26), late AS (SELECT * FROM logs WHERE num_week > 26),
+early AS (SELECT * FROM logs WHERE coalesce(num_week <= 26, TRUE)), late AS (SELECT * FROM logs WHERE num_week > 26),
 {_stages('o', 'early', v1)}, {_new_mart('o')}, {_stages('n', 'late', v1)},
 merged AS (SELECT coalesce(o.student_id, n.student_id) AS student_id, coalesce(o.course_id, n.course_id) AS course_id,
         {', '.join(cells)}, n.student_id IS NOT NULL AS in_logs, n.total_weeks, n.active_weeks,
@@ -344,11 +346,11 @@ _add(
 SELECT *, {CATEGORY} AS activity_category FROM (
         SELECT {PAIR}, total_events, CAST(ntile(4) OVER (ORDER BY total_events, {PAIR}) AS INTEGER) AS quartile FROM n_graded)""",
     m_analytics_student=_small_mart("mart", "TRUE") + "\n--\nSELECT * FROM mart",
-    u_upsert_all=_small_mart("o", "num_week <= 26")
+    u_upsert_all=_small_mart("o", "coalesce(num_week <= 26, TRUE)")
     + ","
     + _small_mart("n", "num_week > 26")
     + "\n--\nSELECT * FROM n UNION ALL SELECT * FROM o ANTI JOIN n USING (student_id, course_id)",
-    u_upsert_counters=_first_stage("o", "num_week <= 26")
+    u_upsert_counters=_first_stage("o", "coalesce(num_week <= 26, TRUE)")
     + ","
     + _first_stage("n", "num_week > 26")
     + f"\n--\nSELECT student_id, course_id, {_OLD_BASICS}, {_NEW_COUNTERS} FROM o FULL JOIN n USING (student_id, course_id)",
@@ -458,7 +460,7 @@ _NAME = "last_name || ' ' || first_name || ' ' || patronymic"
 
 def _report(chosen: str) -> str:
     return f"""{_FIRST_3}, chosen AS ({chosen}), owned AS (SELECT * FROM accounts SEMI JOIN chosen USING (client_id)),
-report AS (
+sections AS (
   SELECT client_id, 'client' AS section, NULL::BIGINT AS account_id, NULL::BIGINT AS item_id, NULL::INTEGER AS place, {_NAME} AS title,
          NULL::VARCHAR AS kind, NULL::VARCHAR AS day, NULL::DOUBLE AS amount, NULL::VARCHAR AS currency, NULL::DOUBLE AS rate,
          NULL::DOUBLE AS payment FROM chosen
@@ -472,7 +474,11 @@ report AS (
   UNION ALL SELECT client_id, 'credit', NULL, credit_id, NULL, NULL, NULL, NULL, CAST(amount AS DOUBLE), NULL, interest_rate, monthly_payment
          FROM credits SEMI JOIN chosen USING (client_id)
   UNION ALL SELECT client_id, 'no_credits', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM chosen ANTI JOIN credits USING (client_id)
-)
+  UNION ALL SELECT client_id, 'transactions', account_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM owned SEMI JOIN transactions USING (account_id)
+  UNION ALL SELECT client_id, 'credits', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM chosen SEMI JOIN credits USING (client_id)
+),
+report AS (SELECT *, CASE WHEN section = 'client' THEN 0 WHEN section IN ('credits', 'credit', 'no_credits') THEN 2 ELSE 1 END AS block,
+  CASE WHEN section IN ('account', 'credits') THEN 0 WHEN section = 'transactions' THEN 1 ELSE 2 END AS step FROM sections)
 --
 """
 
@@ -516,6 +522,7 @@ _BANK_FACTS = "facts AS (\n  " + "\n  UNION ALL ".join(
         "SELECT source_kind || '_' || source_id, predicate, target_kind || '_' || target_id, true, NULL FROM edges",
     ]
 ) + ")"
+_DECLARED = ", ".join(f"('<{s}> <{p}> <{o}> .')" for s, p, o in declarations(BANK_ONTOLOGY))
 _BANK_TRIPLES = f"{_EDGES}, {_BANK_FACTS}, {_triples(BANK_IRI, 'kind')}\n--\n"
 
 _add(
@@ -529,7 +536,8 @@ _add(
     + "\n--\nSELECT * REPLACE (strftime(transaction_date, '%Y-%m-%d') AS transaction_date, CAST(amount AS DOUBLE) AS amount) FROM first_3",
     b_client_report_flat=_report("SELECT * FROM clients") + "SELECT * FROM report",
     b_client_report=_report("SELECT * FROM clients ORDER BY client_id LIMIT 5")
-    + """SELECT client_id, account_id, item_id, CASE section
+    + """SELECT client_id, block, account_id, step, item_id, CASE section
+          WHEN 'transactions' THEN '    Транзакции (показаны первые 3):' WHEN 'credits' THEN '  Кредиты:'
           WHEN 'client' THEN 'Клиент: ' || title WHEN 'no_accounts' THEN '  Счета: нет'
           WHEN 'account' THEN printf('  Счет: %s (%s) | Остаток: %.2f %s', title, kind, amount, currency)
           WHEN 'transaction' THEN printf('      - %s | %s: %.2f %s', day, kind, amount, currency)
@@ -541,6 +549,18 @@ _add(
     ),
     o_bank_edges=_EDGES + "\n--\nSELECT * FROM edges",
     o_bank_triples=_BANK_TRIPLES + "SELECT * FROM triples",
+    o_bank_graph=_BANK_TRIPLES
+    + f"""SELECT '<' || subject || '> <' || predicate || '> '
+        || CASE object_kind WHEN 'iri' THEN '<' || object || '>' ELSE '"' || replace(object, chr(10), '\\n') || '"^^<' || datatype || '>' END || ' .' AS value
+        FROM triples
+        UNION ALL SELECT v FROM (VALUES {_DECLARED}) t(v)""",
+    o_declared_class_graph=f"""counts AS (
+        SELECT 'Клиент' AS c, count(*) AS n FROM clients UNION ALL SELECT 'Счет', count(*) FROM accounts
+        UNION ALL SELECT 'Транзакция', count(*) FROM transactions UNION ALL SELECT 'Кредит', count(*) FROM credits)
+--
+SELECT '{BANK_IRI}' || s AS source, '{BANK_IRI}' || t AS target, '{BANK_IRI}' || l AS label, n AS n_rows
+        FROM (VALUES ('Клиент', 'Счет', 'владеет_счетом'), ('Клиент', 'Кредит', 'имеет_кредит'),
+            ('Транзакция', 'Счет', 'относится_к_счету'), ('Счет', NULL, NULL), ('Кредит', NULL, NULL)) g(s, t, l) JOIN counts ON s = c""",
     o_class_graph=_EDGES
     + f"""
 --
@@ -686,3 +706,21 @@ chosen AS (SELECT credit_id, client_id, {_between('credit.amount', 'client_id',
 SELECT *, round(amount * ((interest_rate / 12 / 100) * pow(1 + interest_rate / 12 / 100, term_months)
     / (pow(1 + interest_rate / 12 / 100, term_months) - 1)), 2) AS monthly_payment FROM chosen""",
 }
+for _name in ("m_analytics_student", "u_upsert_all", "m_student_performance", "m_performance_arrivals", "m_student_performance_v1",
+              "m_performance_refresh", "m_performance_refresh_v1"):
+    ORACLES[_name] = f"SELECT *, '2024-01-01 00:00:00' AS last_update FROM ({ORACLES[_name]})"
+
+_NOTED = {
+    "departments": ("g_hr_departments", "department_id", "name"),
+    "positions": ("g_hr_positions", "position_id", "name"),
+    "employees": ("g_hr_employees", "employee_id", "address"),
+    "salary_history": ("g_salary_history", "history_id", "new_salary"),
+    "clients": ("g_clients", "client_id", "passport_issued_by"),
+    "accounts": ("g_accounts", "account_id", "account_number"),
+    "transactions": ("g_transactions", "transaction_id", "transaction_type"),
+    "credits": ("g_credits", "credit_id", "term_months"),
+}
+ORACLES["s_csv_generated"] = " UNION ALL ".join(
+    f"""SELECT '{table}' AS table_name, CAST({key} AS BIGINT) AS id, '  ' || {text} || chr(10) || ' "x" ' AS note FROM ({ORACLES[query]})"""
+    for table, (query, key, text) in _NOTED.items()
+)

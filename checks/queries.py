@@ -15,7 +15,7 @@ from registra import schemas, standin
 from registra.functions import labels, numbers
 from registra.operators import quality, ranking
 from registra.operators.upsert import upsert
-from registra.plans import bank, jobs, marts, portal, skills, synth, triples
+from registra.plans import bank, jobs, marts, ontology, portal, skills, synth, triples
 from registra.sources import rdf, shared, sinks, tables
 
 AS_OF = date(2024, 1, 1)
@@ -32,6 +32,8 @@ def plain(df: DataFrame) -> DataFrame:
             return column.cast("double").alias(field.name)
         if isinstance(field.dataType, T.DateType):
             return F.date_format(column, "yyyy-MM-dd").alias(field.name)
+        if isinstance(field.dataType, T.TimestampType):
+            return F.date_format(column, "yyyy-MM-dd HH:mm:ss").alias(field.name)
         return column
 
     return df.select(*[cell(f) for f in df.schema.fields])
@@ -130,9 +132,15 @@ over_logs_and_departments(c_fk_orphans=lambda logs, deps: quality.orphans(logs,
 
 # --- projections, filters, scalar functions ------------------------------------------
 
+
+def _ordered(df: DataFrame) -> DataFrame:
+    """A preview shows any rows; a check needs the same ones every time."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in df.columns])
+
+
 over_logs(
-    q_preview10=portal.preview,
-    q_decimal_fix_preview=lambda logs: portal.preview(portal.decimal_comma_fixed(logs)),
+    q_preview10=lambda logs: portal.preview(_ordered(logs)),
+    q_decimal_fix_preview=lambda logs: portal.preview(portal.decimal_comma_fixed(_ordered(logs))),
     t_random_sample=portal.random_rows,
     f_numeric_grade=lambda logs: logs.filter(numbers.digits_only(F.col("namer_level"))).select(
         "userid", "courseid", "num_week", "namer_level"
@@ -188,10 +196,6 @@ over_logs_and_departments(
 # --- marts ---------------------------------------------------------------------------
 
 
-def _without_time(mart: DataFrame) -> DataFrame:
-    return mart.drop("last_update")
-
-
 def _activity(logs: DataFrame, **options) -> DataFrame:
     return marts.pair_activity(logs, marts.graded_2_to_5(F.col("namer_level")), **options)
 
@@ -205,7 +209,8 @@ def _quartiles(logs: DataFrame) -> DataFrame:
 
 
 def _early(logs: DataFrame) -> DataFrame:
-    return logs.filter("num_week <= 26")
+    """The weeks up to 26, and rows without a week."""
+    return logs.filter("coalesce(num_week <= 26, TRUE)")
 
 
 def _late(logs: DataFrame) -> DataFrame:
@@ -228,9 +233,9 @@ over_logs(
     w_peak_week_v1=lambda logs: _activity(logs, null_activity_first=True).select("userid", "courseid", "peak_activity_week"),
     w_latest_attributes=portal.latest_attributes,
     w_engagement_quartile=_quartiles,
-    m_analytics_student=lambda logs: _without_time(marts.analytics_student(logs, as_of=RUN_TIME)),
-    u_upsert_all=lambda logs: _without_time(
-        marts.analytics_student(_late(logs), marts.analytics_student(_early(logs), as_of=RUN_TIME), RUN_TIME)
+    m_analytics_student=lambda logs: marts.analytics_student(logs, as_of=RUN_TIME),
+    u_upsert_all=lambda logs: marts.analytics_student(
+        _late(logs), marts.analytics_student(_early(logs), as_of=RUN_TIME), RUN_TIME
     ),
     u_upsert_counters=lambda logs: upsert(
         _first_stage(_early(logs)), _first_stage(_late(logs)), marts.KEY, list(marts.COUNTERS)
@@ -239,7 +244,7 @@ over_logs(
 
 
 def _performance(logs, deps, variant="v2", existing=None):
-    return _without_time(marts.student_performance(logs, deps, existing, RUN_TIME, variant))
+    return marts.student_performance(logs, deps, existing, RUN_TIME, variant)
 
 
 def _refreshed(logs, deps, variant):
@@ -248,8 +253,11 @@ def _refreshed(logs, deps, variant):
 
 
 def _after_arrivals(logs, deps):
-    before = marts.student_performance(_early(logs), deps, None, RUN_TIME)
-    return _without_time(jobs.performance_after_arrivals(logs, _late(logs), deps, before, RUN_TIME))
+    spark = logs.sparkSession
+    state = shared.new_path(spark, "state")
+    for batch, arrived in enumerate((_early(logs), _late(logs), _late(logs))):
+        jobs.add_batch(arrived, state, min(batch, 1))  # the second batch comes twice
+    return marts.performance_of_state(jobs.read_state(spark, state), deps, None, RUN_TIME)
 
 
 over_logs_and_departments(
@@ -373,10 +381,30 @@ over_bank(
     o_bank_edges=lambda b: triples.bank_edges(*_bank_parts(b)),
     o_bank_triples=lambda b: triples.bank_triples(*_bank_parts(b)),
     o_class_graph=lambda b: triples.class_graph_rows(
-        *triples.observed_schema(triples.bank_triples(*_bank_parts(b), literals=False))
+        *triples.schema_of_edges(triples.bank_edges(*_bank_parts(b)), triples.bank_classes(*_bank_parts(b)))
     ),
 )
 
+
+@query
+def o_bank_graph(spark, folder):
+    """Declarations and individuals as one file of lines."""
+    path = shared.new_path(spark, "graph")
+    individuals = triples.bank_triples(*_bank_parts(standin.bank_tables(spark, folder)))
+    rdf.write_ntriples(ontology.schema_triples(spark, ontology.BANK).unionByName(individuals), path)
+    return spark.read.text(path)
+
+
+@query
+def o_declared_class_graph(spark, folder):
+    """The class graph of an OWL file, and how many individuals its classes have."""
+    path = shared.new_path(spark, "owl")
+    ontology.write_schema(spark, ontology.BANK, path)
+    graph = triples.class_graph_rows(*rdf.read_class_schema(spark, f"{path}/*", triples.BANK_IRI))
+    parts = zip(("Клиент", "Счет", "Транзакция", "Кредит"), _bank_parts(standin.bank_tables(spark, folder)), strict=True)
+    counts = tables.row_counts({triples.BANK_IRI + cls: df for cls, df in parts})
+    return graph.join(counts.withColumnRenamed("table_name", "source"), "source")
+
 # --- generators, one row of ids per row of a given table -----------------------------
 
 
@@ -432,3 +460,27 @@ def g_transactions(spark, folder):
 @query
 def g_credits(spark, folder):
     return synth.bank_credits(_clients(spark, folder), AS_OF)
+
+
+@query
+def s_csv_generated(spark, folder):
+    """All eight generated tables through CSV, each with a text that has blanks at its ends and a line break."""
+    clients = _clients(spark, folder)
+    accounts = synth.bank_accounts(clients, AS_OF)
+    made = {
+        "departments": (g_hr_departments(spark, folder), "department_id", "name"),
+        "positions": (g_hr_positions(spark, folder), "position_id", "name"),
+        "employees": (_staff(spark, folder), "employee_id", "address"),
+        "salary_history": (g_salary_history(spark, folder), "history_id", "new_salary"),
+        "clients": (clients, "client_id", "passport_issued_by"),
+        "accounts": (accounts, "account_id", "account_number"),
+        "transactions": (synth.bank_transactions(accounts, AS_OF), "transaction_id", "transaction_type"),
+        "credits": (synth.bank_credits(clients, AS_OF), "credit_id", "term_months"),
+    }
+    path, read = shared.new_path(spark, "csv"), []
+    for name, (df, key, text) in made.items():
+        odd = df.withColumn("note", F.concat(F.lit("  "), F.col(text).cast("string"), F.lit('\n "x" ')))
+        sinks.write_csv(odd, f"{path}/{name}")
+        back = tables.read_csv_table(spark, f"{path}/{name}", odd.schema, multi_line=True)
+        read.append(back.select(F.lit(name).alias("table_name"), F.col(key).cast("bigint").alias("id"), "note"))
+    return reduce(DataFrame.unionByName, read)

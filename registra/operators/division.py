@@ -1,4 +1,9 @@
-"""Relational division: who holds everything that something requires."""
+"""Relational division: who holds everything that something requires, and who lacks what.
+
+A requirement is a (goal, item) without NULL; rows that hold one name nothing and are left out, in
+both functions and before anything else. Nothing here depends on the size of a table but the
+number of parts that rows are dealt over.
+"""
 
 from __future__ import annotations
 
@@ -6,10 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from registra.sources.shared import written
 
-# A catalogue of at most this many values is sent to every task.
-BROADCAST_VALUES = 100_000
-# Parts that the rows of one key are spread over when it is larger.
+# Parts that the rows of one key are spread over.
 SALTS = 64
 
 
@@ -23,31 +27,26 @@ def _every(parts: int) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint")))
 
 
-def matched_with(held: DataFrame, needs: DataFrame, item: str, values: int) -> DataFrame:
-    """Held items with the requirements that name them.
-
-    Much of the people may hold one item, so past broadcast size its rows are spread over
-    salts and the requirements are copied to each.
-    """
-    if values <= BROADCAST_VALUES:
-        return held.join(F.broadcast(needs), item)
-    left, right = held.withColumn("_salt", _part(held, SALTS)), needs.withColumn("_salt", _every(SALTS))
-    return left.join(right, [item, "_salt"]).drop("_salt")
+def valid_requirements(required: DataFrame, goal: str, item: str) -> DataFrame:
+    return required.select(goal, item).dropna().distinct()
 
 
 def paired_with(people: DataFrame, catalogue: DataFrame, values: int, per_block: int = 1000) -> DataFrame:
     """Every person with every catalogue row, for results defined on all of these pairs.
 
-    `values` is the counted size of the catalogue. A small catalogue is broadcast. A
-    larger one is cut into blocks that people are copied to, and joined on (block, salt):
-    no key then holds more than one block and a 1/salts part of the people.
+    The catalogue's `values` rows are gathered in blocks of about `per_block`, each a list in one row. People are
+    copied to the blocks and joined on (block, salt): no key holds more than one block and a
+    part of the people, and Spark broadcasts the blocks where they are small.
     """
-    small = values <= BROADCAST_VALUES
-    blocks, salts = (1, 1) if small else (-(-values // per_block), SALTS)
-    left = people.withColumn("_block", _every(blocks)).withColumn("_salt", _part(people, salts))
-    right = catalogue.withColumn("_salt", _every(salts)).withColumn("_block", _part(catalogue, blocks))
-    right = F.broadcast(right) if small else right
-    return left.join(right, ["_block", "_salt"]).drop("_block", "_salt")
+    blocks = max(1, -(-values // per_block))
+    listed = (
+        catalogue.select(F.struct(*catalogue.columns).alias("_row"), _part(catalogue, blocks).alias("_block"))
+        .groupBy("_block")
+        .agg(F.collect_list("_row").alias("_rows"))
+        .withColumn("_salt", _every(SALTS))
+    )
+    left = people.withColumn("_salt", _part(people, SALTS)).withColumn("_block", _every(blocks))
+    return left.join(listed, ["_block", "_salt"]).select(*people.columns, F.explode("_rows").alias("_row")).select(*people.columns, "_row.*")
 
 
 def qualified(
@@ -57,48 +56,53 @@ def qualified(
 
     `held` holds distinct (person, item) of these people. A goal without requirements goes
     to everybody. The count of matched requirements is compared with the count of
-    requirements, so only equal items are ever joined.
+    requirements, so only equal items are ever joined; much of the people may hold one item, and Spark
+    splits such a key of held rows.
     """
-    known = goals.select(goal).distinct()
-    needs = required.select(goal, item).distinct().join(known, goal, "left_semi")
+    known = goals.select(goal).dropna().distinct()
+    needs = valid_requirements(required, goal, item).join(known, goal, "left_semi")
     per_goal = needs.groupBy(goal).agg(F.count(F.lit(1)).alias("_needed"))
-    sizes = known.join(per_goal, goal, "left").withColumn("_needed", F.coalesce("_needed", F.lit(0)))
-    total = sizes.agg(F.sum("_needed").alias("needs"), F.count_if(F.col("_needed") == 0).alias("free")).first()
+    sizes = written(known.join(per_goal, goal, "left").withColumn("_needed", F.coalesce("_needed", F.lit(0))), "goals")
     earned = (
-        matched_with(held, needs.join(sizes, goal), item, total["needs"] or 0)
+        held.join(needs.join(sizes, goal), item)
         .groupBy(person, goal)
         .agg(F.count(F.lit(1)).alias("_matched"), F.max("_needed").alias("_needed"))
         .filter("_matched = _needed")
         .select(person, goal)
     )
-    if not total["free"]:
-        return earned
     free = sizes.filter("_needed = 0").select(goal)
-    return earned.unionByName(paired_with(people.select(person).distinct(), free, total["free"]))
+    n_free = free.count()
+    if not n_free:
+        return earned
+    return earned.unionByName(paired_with(people.select(person).distinct(), free, n_free).select(person, goal))
 
 
 def missing(
-    people: DataFrame, held: DataFrame, required: DataFrame, person: str, goal: str, item: str
+    people: DataFrame, held: DataFrame, required: DataFrame, person: str, goal: str, item: str, per_salt: int = 100_000
 ) -> DataFrame:
     """One row (person, goal, item) per required item a person lacks.
 
-    With a catalogue small enough to broadcast, a person's held items are cut down to the
-    required ones and kept as a list, which the catalogue bounds; nothing but these lists is
-    shuffled. With a larger one, all required items of all people are matched by equality.
+    People are first reduced to their distinct sets of held required items, which the
+    catalogue bounds. Gaps are worked out once per (set, goal), and only then listed for the
+    people of a set; a set that very many hold is dealt over salts of `per_salt` people.
     """
-    needs = required.select(goal, item).distinct()
-    everyone = people.select(person).distinct()
-    n_needs = needs.count()
-    if n_needs > BROADCAST_VALUES:
-        return paired_with(everyone, needs, n_needs).join(held.select(person, item), [person, item], "left_anti").select(
-            person, goal, item
-        )
+    needs = written(valid_requirements(required, goal, item), "needs")
     relevant = held.select(person, item).join(needs.select(item).distinct(), item, "left_semi")
+    sets = relevant.groupBy(person).agg(F.array_sort(F.collect_set(item)).alias("_held"))
     empty = F.array().cast(T.ArrayType(needs.schema[item].dataType))
-    listed = everyone.join(
-        relevant.groupBy(person).agg(F.collect_set(item).alias("_held")), person, "left"
-    ).withColumn("_held", F.coalesce("_held", empty))
+    listed = people.select(person).distinct().join(sets, person, "left").withColumn("_held", F.coalesce("_held", empty))
+    listed = written(listed.withColumn("_set", F.sha2(F.to_json("_held"), 256)), "held-sets")
+    distinct = listed.groupBy("_set").agg(F.first("_held").alias("_held"), F.count(F.lit(1)).alias("_people"))
     goals = needs.groupBy(goal).agg(F.collect_set(item).alias("_needed"))
-    return paired_with(listed, goals, n_needs).select(
-        person, goal, F.explode(F.array_except("_needed", "_held")).alias(item)
+    lacking = paired_with(distinct, goals, goals.count()).withColumn("_lacks", F.array_except("_needed", "_held"))
+    lacking = lacking.filter(F.size("_lacks") > 0).select("_set", "_people", goal, "_lacks")
+    salts = F.ceil(F.col("_people") / per_salt).cast("bigint")
+    gaps = lacking.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
+    spread = listed.join(distinct.select("_set", "_people"), "_set").withColumn(
+        "_salt", F.pmod(F.xxhash64(person), salts)
+    )
+    return (
+        spread.select(person, "_set", "_salt")
+        .join(gaps.drop("_people"), ["_set", "_salt"])
+        .select(person, goal, F.explode("_lacks").alias(item))
     )

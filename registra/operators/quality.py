@@ -33,6 +33,11 @@ def outside_domain(df: DataFrame, column: str, allowed: list) -> DataFrame:
     return df.filter(~F.col(column).isin(allowed))
 
 
+def outside_range(df: DataFrame, columns: list[str], low: int, high: int) -> DataFrame:
+    """Rows with a value below `low` or above `high`; NULL passes."""
+    return df.filter(reduce(or_, [~F.col(c).between(low, high) for c in columns]))
+
+
 def with_defaults(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
     """Column defaults for rows in which the value is missing."""
     return df.withColumns({name: F.coalesce(F.col(name), value) for name, value in defaults.items()})

@@ -13,8 +13,7 @@ from registra.sources.shared import written
 from registra.sources.tables import row_counts
 
 
-# One whole number each.
-ACCOUNTS_TO_SEND = 1_000_000
+PRINT_ORDER = ["client_id", "block", "account_id", "step", "item_id"]
 
 
 def annuities(credits: DataFrame) -> DataFrame:
@@ -55,10 +54,11 @@ def first_clients(clients: DataFrame, n: int) -> DataFrame:
 def report_rows(
     clients: DataFrame, accounts: DataFrame, transactions: DataFrame, credits: DataFrame
 ) -> DataFrame:
-    """The client report as rows (client_id, section, account_id, item_id, place, and the values shown).
+    """The client report as rows (client_id, block, account_id, step, item_id, section, place, and the values shown).
 
-    Sections: client, account, transaction (first 3 per account, in the currency of the
-    account), credit; no_accounts, no_transactions and no_credits say that there are none.
+    Sections: client, account, transactions (a heading), transaction (first 3 per account, in the currency of the
+    account), credits (a heading), credit; no_accounts, no_transactions and no_credits say that there are none.
+    In the order of client_id, block, account_id, step and item_id the rows stand as on paper.
     A client may own any number of accounts, and an account any number of transactions, so
     nothing is gathered per client, transactions are cut to three per account before any
     join, and whoever has none is found by distinct ids.
@@ -79,10 +79,18 @@ def report_rows(
                   "day": "string", "amount": "double", "currency": "string", "rate": "double", "payment": "double"}
         given = {c: F.col(v) if isinstance(v, str) else v for c, v in values.items()}
         cells = [given.get(c, F.lit(None)).cast(t).alias(c) for c, t in shapes.items()]
-        return df.select("client_id", (F.lit(section) if isinstance(section, str) else section).alias("section"), *cells)
+        named = (F.lit(section) if isinstance(section, str) else section).alias("section")
+        return df.select("client_id", named, *cells).withColumns(
+            {
+                "block": F.when(F.col("section") == "client", 0).when(F.col("section").isin("credits", "credit", "no_credits"), 2).otherwise(1),
+                "step": F.when(F.col("section").isin("account", "credits"), 0).when(F.col("section") == "transactions", 1).otherwise(2),
+            }
+        )
 
     booked = F.col("transaction_id").isNotNull()
     parts = [
+        rows(with_transactions.filter("place = 1"), "transactions", account_id="account_id"),
+        rows(lent.select("client_id").distinct(), "credits"),
         rows(chosen, "client", title="name"),
         rows(owned, "account", account_id="account_id", title="account_number", kind="account_type", amount="balance",
              currency="currency"),
@@ -100,20 +108,16 @@ def report_rows(
 def first_clients_report(
     clients: DataFrame, accounts: DataFrame, transactions: DataFrame, credits: DataFrame, n: int = 5
 ) -> DataFrame:
-    """The report lines of the first n clients.
-
-    If they own few accounts, the account ids are sent to every task, which then keep these
-    accounts' transactions only.
-    """
+    """The report lines of the first n clients, in the order of a print-out."""
     chosen = written(first_clients(clients, n), "clients")
     owned = written(accounts.join(chosen.select("client_id"), "client_id", "left_semi"), "accounts")
-    if owned.count() <= ACCOUNTS_TO_SEND:
-        transactions = transactions.join(F.broadcast(owned.select("account_id")), "account_id", "left_semi")
-    return report_lines(report_rows(chosen, owned, transactions, credits))
+    # Few accounts are sent to every task; Spark decides by their size.
+    booked = transactions.join(owned.select("account_id"), "account_id", "left_semi")
+    return report_lines(report_rows(chosen, owned, booked, credits)).orderBy(*PRINT_ORDER)
 
 
 def report_lines(report: DataFrame) -> DataFrame:
-    """The report as text: (client_id, account_id, item_id, line), one printed line per row."""
+    """The report as text: its order (client_id, block, account_id, step, item_id) and the line."""
     money = F.format_string("%.2f", "amount")
     # The wording of the report.
     line = (
@@ -127,7 +131,9 @@ def report_lines(report: DataFrame) -> DataFrame:
             F.col("section") == "transaction",
             F.concat(F.lit("      - "), "day", F.lit(" | "), "kind", F.lit(": "), money, F.lit(" "), "currency"),
         )
+        .when(F.col("section") == "transactions", F.lit("    Транзакции (показаны первые 3):"))
         .when(F.col("section") == "no_transactions", F.lit("    Транзакции: нет"))
+        .when(F.col("section") == "credits", F.lit("  Кредиты:"))
         .when(
             F.col("section") == "credit",
             F.concat(
@@ -137,4 +143,4 @@ def report_lines(report: DataFrame) -> DataFrame:
         )
         .otherwise(F.lit("  Кредиты: нет"))
     )
-    return report.select("client_id", "account_id", "item_id", line.alias("line"))
+    return report.select(*PRINT_ORDER, line.alias("line"))

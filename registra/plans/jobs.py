@@ -7,17 +7,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from registra.plans import marts
-from registra.sources.shared import written
 from registra.sources.sinks import current_mart, publish
 
 SMALL_MART = "dmr.analytics_student"
 PERFORMANCE_MART = "dmr.analytics_student_performance"
-# Two whole numbers each.
-TOUCHED_PAIRS_TO_SEND = 1_000_000
 
 
 def run_small_mart(logs: DataFrame, folder: str, as_of: datetime | None = None, name: str = SMALL_MART) -> int:
@@ -41,23 +37,34 @@ def run_performance_mart(
     return publish(rows, name, folder, marts.mart_checks())
 
 
-def performance_after_arrivals(
-    logs: DataFrame,
+def add_batch(logs: DataFrame, state: str, batch: int, variant: str = "v2") -> None:
+    """Add a batch of logs to the state of the performance mart, a folder with one part per batch.
+
+    A batch that comes again replaces its part, so it counts once.
+    """
+    marts.week_blocks(logs, variant).write.mode("overwrite").parquet(f"{state}/batch={batch}")
+
+
+def read_state(spark: SparkSession, state: str) -> DataFrame:
+    return spark.read.parquet(state).drop("batch")
+
+
+def run_arrivals(
     arrived: DataFrame,
+    batch: int,
+    state: str,
     departments: DataFrame,
-    existing: DataFrame,
+    folder: str,
     as_of: datetime | None = None,
     variant: str = "v2",
-) -> DataFrame:
-    """The performance mart once `arrived` rows have joined the logs.
-
-    Only pairs that occur in the arrivals are worked out again, from all their logs; this
-    gives the same mart as a run over everything, as the other pairs have not changed. Few
-    pairs are sent to every task, which then keep the rows they need without a shuffle. With
-    many pairs the run goes over everything: joining raw rows would gather those of a large
-    pair in one task.
+    name: str = PERFORMANCE_MART,
+) -> int:
+    """Refresh the performance mart once a batch of logs has arrived; returns its number of rows.
+
+    Only the arrived rows are read as logs; those before are in the state, reduced to a row
+    per pair and block of weeks. Rows of an older mart that the state knows nothing of stay.
     """
-    touched = written(arrived.select(*marts.PAIR).distinct(), "touched")
-    if touched.count() <= TOUCHED_PAIRS_TO_SEND:
-        logs = logs.join(F.broadcast(touched), marts.PAIR, "left_semi")
-    return marts.student_performance(logs, departments, existing, as_of, variant)
+    add_batch(arrived, state, batch, variant)
+    spark = arrived.sparkSession
+    rows = marts.performance_of_state(read_state(spark, state), departments, current_mart(spark, name), as_of, variant)
+    return publish(rows, name, folder, marts.mart_checks())

@@ -88,6 +88,33 @@ def _week_blocks(logs: DataFrame, graded: Column, null_activity_first: bool) ->
     )
 
 
+def _merged_blocks(blocks: DataFrame) -> DataFrame:
+    """One row per (userid, courseid, block) from the blocks of any number of batches of logs."""
+    largest = [*BASICS, "peak", "latest"]
+    return blocks.groupBy(*PAIR, "block").agg(
+        *[F.sum(c).alias(c) for c in ("graded_rows", *COUNTERS)],
+        *[F.max(c).alias(c) for c in largest],
+        *[F.bit_or(c).alias(c) for c in ("weeks", "active_weeks")],
+    )
+
+
+def week_blocks(logs: DataFrame, variant: str = "v2") -> DataFrame:
+    """What a batch of logs adds to the state of the performance mart.
+
+    Sums, maxima and sets of weeks only, so the blocks of several batches merge to those of
+    all their logs, in any order.
+    """
+    return _week_blocks(logs, *_rules(variant))
+
+
+def _rules(variant: str) -> tuple[Column, bool]:
+    """Which rows are graded, and whether a NULL activity wins the peak week."""
+    if variant not in ("v1", "v2"):
+        raise ValueError(f"unknown variant {variant!r}")
+    graded = graded_digits if variant == "v1" else graded_2_to_5
+    return graded(F.col("namer_level")), variant == "v1"
+
+
 def pair_activity(logs: DataFrame, graded: Column, null_activity_first: bool = False) -> DataFrame:
     """Everything the performance mart knows about a (userid, courseid).
 
@@ -95,7 +122,10 @@ def pair_activity(logs: DataFrame, graded: Column, null_activity_first: bool = F
     peak week and the latest attributes use all rows of the pair. s_all is documented as
     a running count, yet the mart adds it up.
     """
-    blocks = _week_blocks(logs, graded, null_activity_first)
+    return _pairs(_week_blocks(logs, graded, null_activity_first))
+
+
+def _pairs(blocks: DataFrame) -> DataFrame:
     block_start = F.shiftleft(F.col("block").cast("bigint"), _BLOCK_BITS)
     peak_week = (block_start + (_BLOCK - 1) - F.col("peak").bitwiseAND(_BLOCK - 1)).cast("int")
     peak_activity = F.shiftright("peak", _BLOCK_BITS)
@@ -128,12 +158,12 @@ def pair_activity(logs: DataFrame, graded: Column, null_activity_first: bool = F
     )
 
 
-def _performance_batch(logs: DataFrame, departments: DataFrame, graded: Column, null_activity_first: bool) -> DataFrame:
-    """pair_activity with labels, named like the mart. The department name is that of the
+def _performance_batch(blocks: DataFrame, departments: DataFrame) -> DataFrame:
+    """Pairs with labels, named like the mart. The department name is that of the
     latest row, while department_id is the maximum: the two can differ."""
     names = departments.select(F.col("id").alias("latest_depart"), F.col("name").alias("department_name"))
     return (
-        pair_activity(logs, graded, null_activity_first)
+        _pairs(blocks)
         .join(names, "latest_depart", "left")
         .select(
             F.col("userid").alias("student_id"),
@@ -215,11 +245,25 @@ def student_performance(
     and the earliest week. v1: any all-digit grade, a known pair refreshes its counters
     only, a NULL s_all wins the peak week.
     """
-    if variant not in ("v1", "v2"):
-        raise ValueError(f"unknown variant {variant!r}")
+    return _performance(week_blocks(logs, variant), departments, existing, as_of, variant)
+
+
+def performance_of_state(
+    state: DataFrame,
+    departments: DataFrame,
+    existing: DataFrame | None = None,
+    as_of: datetime | None = None,
+    variant: str = "v2",
+) -> DataFrame:
+    """The performance mart from the week blocks of all batches so far, as from all their logs."""
+    return _performance(_merged_blocks(state), departments, existing, as_of, variant)
+
+
+def _performance(
+    blocks: DataFrame, departments: DataFrame, existing: DataFrame | None, as_of: datetime | None, variant: str
+) -> DataFrame:
     first = variant == "v1"
-    graded = (graded_digits if first else graded_2_to_5)(F.col("namer_level"))
-    batch = _performance_batch(logs, departments, graded, null_activity_first=first)
+    batch = _performance_batch(blocks, departments)
     now = _run_time(as_of)
     if existing is None:
         rows = batch.filter("graded_rows > 0").withColumns({**_averages(F.col("total_events")), "last_update": now})
@@ -276,8 +320,11 @@ def analytics_student(logs: DataFrame, existing: DataFrame | None = None, as_of:
 
 
 def mart_checks(grades: list[int] | None = None) -> dict:
-    """Constraints of the mart tables, for `sinks.publish`."""
+    """Constraints of the mart tables, for `sinks.publish`: of the small mart with its `grades`, else of
+    the performance mart, whose counters are declared as 32-bit numbers."""
     checks = {"primary key": lambda df: quality.key_violations(df, KEY)}
-    if grades is not None:
+    if grades is None:
+        checks["counter width"] = lambda df: quality.outside_range(df, list(COUNTERS), -_INT_END, _INT_END - 1)
+    else:
         checks["grade domain"] = lambda df: quality.outside_domain(df, "final_grade", grades)
     return checks

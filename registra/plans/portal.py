@@ -37,8 +37,8 @@ def averages_as_numbers(logs: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def preview(df: DataFrame, n: int = 10) -> DataFrame:
-    """n rows; the first ones in column order, so that every run shows the same."""
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in df.columns]).limit(n)
+    """Any n rows: only as much is read as they need."""
+    return df.limit(n)
 
 
 def random_rows(df: DataFrame, n: int = 5, seed: int = 42) -> DataFrame:
@@ -178,7 +178,8 @@ def peak_week_by_basis(logs: DataFrame) -> DataFrame:
     """The same averages, only for the week with the highest overall average.
 
     One pass: the overall average of a week is put together from the sums of its payment
-    types, and the rank filter leaves one week per task before the rows meet.
+    types, and the rank filter leaves one week per task before the rows meet. One row per week and
+    payment type then meets in one place: as many as there are weeks, not logs.
     """
     sums = logs.filter("num_week IS NOT NULL").groupBy(
         labels.payment_type(F.col("name_osno")).alias("payment_type"), F.col("num_week").alias("week_num")

@@ -86,40 +86,42 @@ def require_known_links(base: SkillBase) -> None:
         raise ValueError("requirement tables name unknown ids")
 
 
-def competencies_of(base: SkillBase, held: DataFrame | None = None) -> DataFrame:
+def competencies_of(base: SkillBase, held: DataFrame | None = None, everybody: DataFrame | None = None) -> DataFrame:
     """(employee_id, competency_id): the person holds all knowledge the competency requires."""
     held = held_knowledge(base) if held is None else held
     return division.qualified(
-        people(base), held, base.competencies, base.competency_knowledge,
+        people(base) if everybody is None else everybody, held, base.competencies, base.competency_knowledge,
         "employee_id", "competency_id", "knowledge_id",
     )
 
 
-def positions_of(base: SkillBase, granted: DataFrame | None = None) -> DataFrame:
+def positions_of(base: SkillBase, granted: DataFrame | None = None, everybody: DataFrame | None = None) -> DataFrame:
     """(employee_id, position_id): the person holds all competencies the position requires."""
     granted = competencies_of(base) if granted is None else granted
     return division.qualified(
-        people(base), granted, base.positions, base.position_competency,
+        people(base) if everybody is None else everybody, granted, base.positions, base.position_competency,
         "employee_id", "position_id", "competency_id",
     )
 
 
 @dataclass(frozen=True)
 class Inference:
-    """What people hold and what follows from it; `base` has every skill row once."""
+    """What people hold and what follows from it; everybody has employee_id and full_name."""
 
-    base: SkillBase
+    everybody: DataFrame
     held: DataFrame
     competencies: DataFrame
     positions: DataFrame
 
 
 def infer(base: SkillBase) -> Inference:
-    """Skills and competencies are written once, since later steps read them more than once."""
-    base = replace(base, skills=written(distinct_skills(base), "skills"))
-    held = held_knowledge(base)
-    granted = written(competencies_of(base, held), "competencies")
-    return Inference(base, held, granted, positions_of(base, granted))
+    """Fails if a requirement names an unknown id. People, what they hold and competencies
+    are narrow tables that later steps read more than once, so they are written once."""
+    require_known_links(base)
+    everybody = written(people(base), "people")
+    held = written(held_knowledge(base), "held")
+    granted = written(competencies_of(base, held, everybody), "competencies")
+    return Inference(everybody, held, granted, positions_of(base, granted, everybody))
 
 
 def position_violations(held_positions: DataFrame, granted: DataFrame, position_competency: DataFrame) -> DataFrame:
@@ -169,8 +171,25 @@ def requirements(base: SkillBase) -> DataFrame:
 
 
 def individual(entity: str) -> Column:
-    """Technical name of a knowledge, competency, position or employee."""
-    return F.concat(F.lit(f"{INDIVIDUALS[entity]}_"), F.col(f"{entity}_id").cast("string"))
+    """Technical name of a knowledge, competency, position or employee.
+
+    Ids may be text; what may not stand in an IRI is percent-encoded, and the percent sign too, so that
+    different ids keep different names.
+    """
+    safe = F.replace(F.col(f"{entity}_id").cast("string"), F.lit("%"), F.lit("%25"))
+    return F.concat(F.lit(f"{INDIVIDUALS[entity]}_"), iri_safe(safe))
+
+
+# Characters below 128 that may not stand in an IRI.
+NOT_IN_IRI = [*map(chr, range(33)), *'<>"{}|^`\\']
+
+
+def iri_safe(text: Column) -> Column:
+    """Text with the characters that no IRI may hold percent-encoded."""
+    encoded = text
+    for ch in NOT_IN_IRI:
+        encoded = F.replace(encoded, F.lit(ch), F.lit(f"%{ord(ch):02X}"))
+    return F.when(text.rlike(r'[\x00-\x20<>"{}|^`\\]'), encoded).otherwise(text)
 
 
 def _title(entity: str) -> Column:
@@ -212,7 +231,7 @@ def full_profile(base: SkillBase) -> DataFrame:
             for links, table, kind in parts
         ],
     )
-    return people(found.base).join(listing, "employee_id", "left").select("employee_id", "full_name", "kind", "name")
+    return found.everybody.join(listing, "employee_id", "left").select("employee_id", "full_name", "kind", "name")
 
 
 def with_requirements(base: SkillBase, extra: DataFrame) -> SkillBase:
@@ -227,6 +246,7 @@ def positions_after(base: SkillBase, extra: DataFrame, mode: str = "keep", grant
     are inferred once, or given."""
     if mode not in ("keep", "recompute"):
         raise ValueError(f"unknown mode {mode!r}")
+    require_known_links(with_requirements(base, extra))
     if granted is None:
         granted = written(competencies_of(base), "competencies")
     now = positions_of(with_requirements(base, extra), granted)

@@ -74,7 +74,7 @@ def skill_triples(base: S.SkillBase, iri: str = SKILLS_IRI) -> DataFrame:
         named(base.knowledge, "Знание", knows, "название", "knowledge_name"),
         named(base.competencies, "Компетенция", masters, "название", "competency_name"),
         named(base.positions, "Должность", fills, "название", "position_name"),
-        named(S.people(found.base), "Специалист", who, "имя_сотрудника", "full_name"),
+        named(found.everybody, "Специалист", who, "имя_сотрудника", "full_name"),
         _edge(base.competency_knowledge.distinct(), iri, "требует_знание", masters, knows),
         _edge(base.position_competency.distinct(), iri, "требует_компетенцию", fills, masters),
         _edge(found.held, iri, "обладает_знанием", who, knows),
@@ -222,6 +222,26 @@ def observed_schema(triples: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
     return stored.select("class").distinct(), of_kind("domain").withColumn("declared", F.lit(0)), of_kind("range")
 
 
+def schema_of_edges(edges: DataFrame, classes: DataFrame, iri: str = BANK_IRI) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Classes, property domains and property ranges from links that carry the kinds of their ends.
+
+    A few kinds are left of all links within each task. `classes` (class) names further ones.
+    """
+    kinds = edges.select("source_kind", "predicate", "target_kind").distinct()
+    kinds = written(kinds.select(*[F.concat(F.lit(iri), c).alias(c) for c in kinds.columns]), "kinds")
+    ends = kinds.select(F.col("source_kind").alias("class")).union(kinds.select("target_kind"))
+    domains = kinds.select(F.col("predicate").alias("property"), F.col("source_kind").alias("class"), F.lit(0).alias("declared"))
+    ranges = kinds.select(F.col("predicate").alias("property"), F.col("target_kind").alias("class"))
+    known = classes.select(F.concat(F.lit(iri), "class").alias("class"))
+    return ends.union(known).distinct(), domains.distinct(), ranges.distinct()
+
+
+def bank_classes(clients: DataFrame, accounts: DataFrame, transactions: DataFrame, credits: DataFrame) -> DataFrame:
+    """The classes that have an individual: one row of each table is looked at."""
+    named = {"Клиент": clients, "Счет": accounts, "Транзакция": transactions, "Кредит": credits}
+    return reduce(DataFrame.unionByName, [df.limit(1).select(F.lit(cls).alias("class")) for cls, df in named.items()])
+
+
 def class_graph_rows(classes: DataFrame, domains: DataFrame, ranges: DataFrame) -> DataFrame:
     """The class graph as one listing: every edge, and a row without target per class that starts none."""
     nodes, edges = class_graph(classes, domains, ranges)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
@@ -11,8 +12,18 @@ from registra.sources.tables import list_tables
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header and no index column; text is quoted where needed."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """CSV with a header and no index column; text is quoted where needed and keeps its blanks.
+
+    Text with line breaks has to be read with `multi_line`.
+    """
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def write_jdbc(df: DataFrame, page_size: int = 1000, **options) -> None:
@@ -20,8 +31,15 @@ def write_jdbc(df: DataFrame, page_size: int = 1000, **options) -> None:
     df.write.format("jdbc").mode("append").options(batchsize=page_size, **options).save()
 
 
-def ensure_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+def ensure_database(spark: SparkSession, name: str, folder: str | None = None) -> None:
+    """A database; a new one keeps its tables in `folder`, if given."""
+    place = f" LOCATION '{folder}'" if folder else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
+
+
+def versions(spark: SparkSession, database: str, table: str) -> list[str]:
+    """The written versions of a mart, oldest first."""
+    return [name for name in list_tables(spark, database) if name.startswith(f"{table}__")]
 
 
 def publish(
@@ -29,30 +47,36 @@ def publish(
     name: str,
     folder: str,
     checks: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
+    keep: int = 2,
 ) -> int:
     """Write a complete new version of a mart, check it, then point `name` at it.
 
     `name` is database.table; readers see the old version or the new one, never a part.
-    Each check returns the rows that break it; any such row stops the switch. Returns
-    the number of rows of the new version.
+    Each check returns the rows that break it; any such row stops the switch and removes the new version. After
+    it the last `keep` versions stay, older ones go with their files. `folder` is where a database that is
+    not there yet keeps its tables. Returns the number of rows of the new version.
     """
     spark = df.sparkSession
     database, table = name.split(".")
-    ensure_database(spark, database)
-    version = f"{table}__{uuid.uuid4().hex}"
-    df.write.option("path", f"{folder}/{version}").saveAsTable(f"{database}.{version}")
+    ensure_database(spark, database, folder)
+    version = f"{table}__{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+    df.write.saveAsTable(f"{database}.{version}")
     fresh = spark.table(f"{database}.{version}")
     for label, broken_rows in (checks or {}).items():
         if not broken_rows(fresh).isEmpty():
             spark.sql(f"DROP TABLE {database}.{version}")
             raise ValueError(f"{name}: check '{label}' failed, the old version stays")
     spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS SELECT * FROM {database}.{version}")
-    return fresh.count()
+    rows = fresh.count()
+    for old in versions(spark, database, table)[: -max(1, keep)]:
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{old}")
+    return rows
 
 
 def current_mart(spark: SparkSession, name: str) -> DataFrame | None:
     """The published version, or None before the first run."""
     database, table = name.split(".")
-    if not spark.catalog.databaseExists(database) or table not in list_tables(spark, database):
+    if not spark.catalog.databaseExists(database):
         return None
-    return spark.table(name)
+    held = {t.name for t in spark.catalog.listTables(database) if not t.isTemporary}
+    return spark.table(name) if table in held else None

@@ -45,12 +45,12 @@ def load_csv(
     )
 
 
-def read_csv_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return load_csv(spark.read, path, schema)
+def read_csv_table(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
+    return load_csv(spark.read, path, schema, multi_line)
 
 
-def read_user_logs(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv_table(spark, path, schemas.USER_LOGS)
+def read_user_logs(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return read_csv_table(spark, path, schemas.USER_LOGS, multi_line)
 
 
 def read_departments(spark: SparkSession, path: str) -> DataFrame:

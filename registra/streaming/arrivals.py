@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from registra import schemas
-from registra.plans import jobs, marts
-from registra.sources.sinks import current_mart, publish
-from registra.sources.tables import load_csv, read_user_logs
+from registra.plans import jobs
+from registra.sources.tables import load_csv
 
 
 def follow_logs(
@@ -21,20 +20,17 @@ def follow_logs(
     checkpoint: str,
     name: str = jobs.PERFORMANCE_MART,
     as_of: datetime | None = None,
+    state: str | None = None,
 ) -> StreamingQuery:
     """One mart run per group of new CSV files, until all present files are done.
 
-    A run replaces whole rows of the mart, so a group that is run again after a failure
-    changes nothing.
+    What a group adds is kept in `state`, by default a folder beside the mart's, under the number the
+    stream gives the group; a group that is run again after a failure replaces its own part and changes nothing.
     """
+    state = state or f"{mart_folder}/{name}.state"
 
-    def refresh(arrived: DataFrame, _: int) -> None:
-        logs, before = read_user_logs(spark, logs_folder), current_mart(spark, name)
-        if before is None:
-            jobs.run_performance_mart(logs, departments, mart_folder, as_of, name=name)
-            return
-        rows = jobs.performance_after_arrivals(logs, arrived, departments, before, as_of)
-        publish(rows, name, mart_folder, marts.mart_checks())
+    def refresh(arrived: DataFrame, batch: int) -> None:
+        jobs.run_arrivals(arrived, batch, state, departments, mart_folder, as_of, name=name)
 
     return (
         load_csv(spark.readStream, logs_folder, schemas.USER_LOGS)

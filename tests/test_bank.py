@@ -23,21 +23,35 @@ def tables_of(spark):
 
 
 def test_report(spark):
-    lines = bank.first_clients_report(*tables_of(spark)).collect()
-    one = sorted(r.line for r in lines if r.client_id == 1)
-    assert one == sorted([
+    lines = [(r.client_id, r.line) for r in bank.first_clients_report(*tables_of(spark)).collect()]
+    assert [line for client, line in lines if client == 1] == [
         "Клиент: Громов Глеб Глебович",
         "  Счет: n10 (дебетовый) | Остаток: 5.50 USD",
+        "    Транзакции (показаны первые 3):",
         "      - 2021-01-02 | Списание: 2.00 USD",
         "      - 2021-01-04 | Списание: 4.00 USD",
         "      - 2021-01-05 | Списание: 5.00 USD",
         "  Счет: n11 (кредитный) | Остаток: 0.00 RUB",
         "    Транзакции: нет",
+        "  Кредиты:",
         "    - Сумма: 1000.00 руб. | Ставка: 12.0% | Платеж: 88.85 руб./мес.",
-    ])
-    assert sorted(r.line for r in lines if r.client_id == 2) == sorted(
-        ["Клиент: Громов Глеб Глебович", "  Счета: нет", "  Кредиты: нет"]
-    )
+    ]
+    assert [line for client, line in lines if client == 2] == ["Клиент: Громов Глеб Глебович", "  Счета: нет", "  Кредиты: нет"]
+
+
+def test_class_graph_of_edges(spark):
+    parts = tables_of(spark)
+    rows = triples.class_graph_rows(*triples.schema_of_edges(triples.bank_edges(*parts), triples.bank_classes(*parts))).collect()
+    short = lambda v: v and v.removeprefix(triples.BANK_IRI)
+    assert {tuple(map(short, r)) for r in rows} == {
+        ("Клиент", "Счет", "владеет_счетом"),
+        ("Клиент", "Кредит", "имеет_кредит"),
+        ("Транзакция", "Счет", "относится_к_счету"),
+        ("Счет", None, None),
+        ("Кредит", None, None),
+    }
+    observed = triples.observed_schema(triples.bank_triples(*parts, literals=False))
+    assert sorted(map(str, triples.class_graph_rows(*observed).collect())) == sorted(map(str, rows))
 
 
 def test_edges_skip_missing_parents(spark):

@@ -139,15 +139,22 @@ def test_running_twice_changes_nothing(spark, deps):
     assert mart(spark, deps, *entries, existing=once) == {r.student_id: r for r in once.collect()}
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_arrivals_give_the_mart_of_all_logs(spark, deps, few, monkeypatch):
-    monkeypatch.setattr(jobs, "TOUCHED_PAIRS_TO_SEND", 100 if few else 0)
-    early = [log(u, 1, "4", u, depart=3) for u in range(1, 7)]
+def test_arrivals_give_the_mart_of_all_logs(spark, deps, tmp_path):
+    early = [log(u, w, "4", u, depart=3) for u in range(1, 7) for w in (1, 70)]
     late = [log(1, 2, "5", 9, depart=9), log(2, 2, None, 3), log(8, 2, "3", 1)]
-    before = marts.student_performance(logs_of(spark, *early), deps, None, T0)
     complete = logs_of(spark, *early, *late)
-    after = jobs.performance_after_arrivals(complete, logs_of(spark, *late), deps, before, T0)
-    assert sorted(after.collect()) == sorted(marts.student_performance(complete, deps, None, T0).collect())
+    for variant in ("v1", "v2"):
+        state = str(tmp_path / variant)
+        jobs.add_batch(logs_of(spark, *early), state, 0, variant)
+        for _ in range(2):  # a batch that comes again counts once
+            jobs.add_batch(logs_of(spark, *late), state, 1, variant)
+        after = marts.performance_of_state(jobs.read_state(spark, state), deps, None, T0, variant)
+        assert sorted(after.collect()) == sorted(marts.student_performance(complete, deps, None, T0, variant).collect())
+
+
+def test_state_holds_no_logs(spark, deps, tmp_path):
+    jobs.add_batch(logs_of(spark, *[log(1, w, "4", 1) for w in range(1, 60)]), str(tmp_path / "s"), 0)
+    assert jobs.read_state(spark, str(tmp_path / "s")).count() == 1
 
 
 def test_hot_pair(spark, deps):
@@ -190,3 +197,30 @@ def test_jobs_publish_whole_checked_versions(spark, deps, tmp_path):
         sinks.publish(twice, "dmr_test.small", folder, marts.mart_checks())
     assert sinks.current_mart(spark, "dmr_test.small").count() == 3
     assert sinks.current_mart(spark, "dmr_test.nothing") is None
+
+
+def test_old_and_refused_versions_go_with_their_files(spark, deps, tmp_path):
+    first = logs_of(spark, log(1, 1, "4"), log(2, 1, "5"))
+    for _ in range(4):
+        jobs.run_small_mart(first, str(tmp_path), T0, name="dmr_kept.small")
+    assert len(sinks.versions(spark, "dmr_kept", "small")) == 2
+    assert len([p for p in tmp_path.iterdir() if p.name.startswith("small__")]) == 2
+    twice = sinks.current_mart(spark, "dmr_kept.small").unionAll(sinks.current_mart(spark, "dmr_kept.small"))
+    with pytest.raises(ValueError, match="primary key"):
+        sinks.publish(twice, "dmr_kept.small", str(tmp_path), marts.mart_checks(grades=[2, 3, 4, 5]))
+    assert len([p for p in tmp_path.iterdir() if p.name.startswith("small__")]) == 2
+    assert sinks.current_mart(spark, "dmr_kept.small").count() == 2
+
+
+def test_a_view_of_the_session_is_no_mart(spark):
+    spark.range(3).createOrReplaceTempView("just_a_view")
+    assert sinks.current_mart(spark, "default.just_a_view") is None
+
+
+def test_counters_beyond_32_bits_stop_the_publish(spark, deps, tmp_path):
+    # Two rows of one week: the average passes its width, the sum does not.
+    wide = logs_of(spark, *[log(1, w, "4", 90_000_000) for w in range(1, 31)])
+    assert jobs.run_performance_mart(logs_of(spark, log(1, 1, "4")), deps, str(tmp_path), T0, name="dmr_wide.performance") == 1
+    with pytest.raises(ValueError, match="counter width"):
+        jobs.run_performance_mart(wide, deps, str(tmp_path), T0, name="dmr_wide.performance")
+    assert sinks.current_mart(spark, "dmr_wide.performance").first().total_events != 90_000_000 * 30

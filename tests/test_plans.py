@@ -1,5 +1,7 @@
 """What the physical plans must and must not hold."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,3 +45,19 @@ def test_no_cross_joins_and_no_python(spark, name):
     text = plan(QUERIES[name](spark, FOLDER))
     for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval"):
         assert banned not in text
+    # A join on constants alone is a cross join: its keys would be literals or columns made of one.
+    constants = {name for name in re.findall(r"(?<![\w.])-?\d+ AS (\w+#\d+)", text)}
+    for left, right in re.findall(r"(?:HashJoin|SortMergeJoin(?:\(skew=true\))?) \[([^\]]*)\], \[([^\]]*)\]", text):
+        for keys in (left, right):
+            named = [key.strip().removesuffix("L") for key in keys.split(", ")]
+            assert not all(key in constants or re.fullmatch(r"-?\d+", key) for key in named), (left, right)
+
+
+def test_class_graph_joins_no_individuals(spark):
+    text = plan(QUERIES["o_class_graph"](spark, FOLDER))
+    assert "orders.parquet" not in text.split("Join")[0] and "lineitem.parquet" not in text
+
+
+def test_arrivals_read_no_old_logs(spark):
+    text = plan(QUERIES["m_performance_arrivals"](spark, FOLDER))
+    assert "lineitem.parquet" not in text

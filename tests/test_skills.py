@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from registra import schemas
+from registra.operators import division
 from registra.plans import skills, triples
 from registra.plans.skills import SkillBase
 
@@ -82,16 +83,47 @@ def test_goal_without_requirements_goes_to_everybody(base, rows):
     assert set(got) == set(range(1, 8)) and all(9 in got[p] for p in got)
 
 
-def test_large_catalogues_take_the_salted_path(base, rows, monkeypatch):
-    from registra.operators import division
-
-    monkeypatch.setattr(division, "BROADCAST_VALUES", 0)
-    assert skills.missing_knowledge(base).count() == 79
+def test_gaps_do_not_depend_on_any_size(base, rows):
+    """NULL, repeated and unrelated links; blocks of one goal and salts of one person against the defaults."""
+    links = "employee_id int, item int"
+    held = rows([(1, 1), (1, 2), (2, 2), (2, 2), (3, 9), (4, None)], links)
+    people = rows([(i,) for i in range(1, 6)], "employee_id int")
+    required = rows([(1, 1), (1, 2), (1, 2), (2, 2), (3, 7), (4, None), (None, 1)], "goal int, item int")
+    goals = rows([(1,), (2,), (3,), (4,), (5,), (None,)], "goal int")
+    wanted = {(1, 3, 7), (2, 1, 1), (2, 3, 7)} | {(p, g, i) for p in (3, 4, 5) for g, i in ((1, 1), (1, 2), (2, 2), (3, 7))}
+    for per_salt in (1, 2, 100_000):
+        found = division.missing(people, held, required, "employee_id", "goal", "item", per_salt=per_salt).collect()
+        assert sorted(map(tuple, found)) == sorted(wanted)
+    # goals 4 and 5 require nothing that has a name
+    distinct = held.dropna().distinct()
+    earned = {(1, 1), (1, 2), (2, 2)} | {(p, g) for p in range(1, 6) for g in (4, 5)}
+    found = division.qualified(people, distinct, goals, required, "employee_id", "goal", "item").collect()
+    assert sorted(map(tuple, found)) == sorted(earned)
+    for per_block in (1, 3, 1000):
+        pairs = division.paired_with(people, goals.dropna(), 5, per_block).collect()
+        assert sorted(map(tuple, pairs)) == [(p, g) for p in range(1, 6) for g in range(1, 6)]
+
+
+def test_goals_without_requirements_beside_others(base, rows):
     free = replace(base, competencies=base.competencies.union(rows([(9, "c9")], schemas.COMPETENCIES)))
     assert skills.competencies_of(free).filter("competency_id = 9").count() == 7
     assert skills.competencies_of(base).count() == 13 and skills.positions_of(base).count() == 10
 
 
+def test_inference_refuses_unknown_requirements(base, rows, extra):
+    broken = replace(base, competency_knowledge=base.competency_knowledge.union(rows([(1, 99)], schemas.COMPETENCY_KNOWLEDGE)))
+    with pytest.raises(ValueError, match="unknown ids"):
+        skills.infer(broken)
+    with pytest.raises(ValueError, match="unknown ids"):
+        skills.positions_after(base, rows([(1, 99)], schemas.POSITION_COMPETENCY))
+
+
+def test_text_ids_make_valid_names(spark):
+    frame = spark.createDataFrame([("A B>%",), ("A_B",)], "position_id string")
+    names = [r[0] for r in frame.select(skills.individual("position")).collect()]
+    assert names == ["должность_A%20B%3E%25", "должность_A_B"]
+
+
 def test_unknown_ids(base, rows):
     odd = replace(base, skills=base.skills.union(rows([(7, "person 7", 99)], schemas.EMPLOYEE_SKILLS)))
     assert grouped(skills.competencies_of(odd)) == grouped(skills.competencies_of(base))

@@ -3,7 +3,7 @@ from types import SimpleNamespace
 import pytest
 
 from registra import schemas
-from registra.plans import triples
+from registra.plans import ontology, triples
 from registra.sources import rdf, shared, sinks, tables
 
 
@@ -135,3 +135,38 @@ def test_ntriples_escapes(spark):
         '<s> <p> "a \\"b\\"\\\\\\nc"^^<t> .',
         "<s> <p> <o> .",
     ]
+
+
+def test_blanks_and_line_breaks_survive_csv(spark, tmp_path):
+    rows = [(1, "  a  "), (2, " "), (3, "two\nlines, \"quoted\" "), (4, None), (5, "")]
+    sinks.write_csv(spark.createDataFrame(rows, schemas.DEPARTMENTS), str(tmp_path / "out"))
+    read = tables.read_csv_table(spark, str(tmp_path / "out"), schemas.DEPARTMENTS, multi_line=True)
+    assert sorted(map(tuple, read.collect())) == rows
+
+
+def test_unlisted_predicates_are_refused(spark, owl, tmp_path):
+    facts = rdf.read_rdf_xml(spark, owl, IRI, ["имеет"], ["фио"])
+    for links, values in ((["имеет"], []), ([], ["фио"]), (["фио"], ["имеет"])):
+        with pytest.raises(Exception, match="no place for the predicate"):
+            rdf.write_rdf_xml(facts, str(tmp_path / "refused"), IRI, links, values)
+    with pytest.raises(ValueError, match="no place for the element фио"):
+        rdf.read_rdf_xml(spark, owl, IRI, ["имеет"], [])
+
+
+def test_lines_hold_no_invalid_names(spark):
+    facts = spark.createDataFrame([("s A>", "p", "o\tB", "iri", None)], "subject string, predicate string, object string, object_kind string, datatype string")
+    assert [r.value for r in rdf.ntriples_lines(facts).collect()] == ["<s%20A%3E> <p> <o%09B> ."]
+
+
+def test_declarations_come_back_from_their_file(spark, tmp_path):
+    for declared in (ontology.SKILLS, ontology.BANK):
+        path = str(tmp_path / declared.classes[0])
+        ontology.write_schema(spark, declared, path)
+        classes, domains, ranges = rdf.read_class_schema(spark, f"{path}/*", declared.iri)
+        assert {r[0] for r in classes.collect()} == {declared.iri + c for c in declared.classes}
+        assert {(r["property"], r["class"]) for r in domains.collect()} == {(declared.iri + p, declared.iri + d) for p, d, _ in declared.links}
+        assert {(r["property"], r["class"]) for r in ranges.collect()} == {(declared.iri + p, declared.iri + t) for p, _, t in declared.links}
+        order = [r["property"] for r in domains.orderBy("declared").collect()]
+        assert order == [declared.iri + p for p, _, _ in declared.links]
+        facts = ontology.schema_triples(spark, declared)
+        assert facts.count() == len(declared.classes) + 3 * (len(declared.links) + len(declared.values))
