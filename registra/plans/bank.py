@@ -87,18 +87,24 @@ def report_rows(
             }
         )
 
-    booked = F.col("transaction_id").isNotNull()
+    # The heading comes with the first transaction of an account, from the same scan.
+    headed = F.array(F.lit("transactions"), F.lit("transaction"))
+    sections = (
+        F.when(F.col("place").isNull(), F.array(F.lit("no_transactions")))
+        .when(F.col("place") == 1, headed)
+        .otherwise(F.array(F.lit("transaction")))
+    )
+    listed = with_transactions.withColumn("section", F.explode(sections))
+    shown = lambda value: F.when(F.col("section") == "transaction", value)
     parts = [
-        rows(with_transactions.filter("place = 1"), "transactions", account_id="account_id"),
-        rows(lent.select("client_id").distinct(), "credits"),
         rows(chosen, "client", title="name"),
         rows(owned, "account", account_id="account_id", title="account_number", kind="account_type", amount="balance",
              currency="currency"),
         rows(without(accounts), "no_accounts"),
-        rows(with_transactions, F.when(booked, "transaction").otherwise("no_transactions"), account_id="account_id",
-             item_id="transaction_id", place="place", kind=labels.capitalize(F.col("transaction_type")),
-             day=F.date_format("transaction_date", "yyyy-MM-dd"), amount="amount",
-             currency=F.when(booked, F.col("currency"))),
+        rows(listed, F.col("section"), account_id="account_id", item_id=shown(F.col("transaction_id")), place=shown(F.col("place")),
+             kind=shown(labels.capitalize(F.col("transaction_type"))), day=shown(F.date_format("transaction_date", "yyyy-MM-dd")),
+             amount=shown(F.col("amount")), currency=shown(F.col("currency"))),
+        rows(lent.select("client_id").distinct(), "credits"),
         rows(lent, "credit", item_id="credit_id", amount="amount", rate="interest_rate", payment="monthly_payment"),
         rows(without(credits), "no_credits"),
     ]

@@ -233,7 +233,7 @@ def schema_of_edges(edges: DataFrame, classes: DataFrame, iri: str = BANK_IRI) -
     domains = kinds.select(F.col("predicate").alias("property"), F.col("source_kind").alias("class"), F.lit(0).alias("declared"))
     ranges = kinds.select(F.col("predicate").alias("property"), F.col("target_kind").alias("class"))
     known = classes.select(F.concat(F.lit(iri), "class").alias("class"))
-    return ends.union(known).distinct(), domains.distinct(), ranges.distinct()
+    return written(ends.union(known).distinct(), "classes"), domains.distinct(), ranges.distinct()
 
 
 def bank_classes(clients: DataFrame, accounts: DataFrame, transactions: DataFrame, credits: DataFrame) -> DataFrame:

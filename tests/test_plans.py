@@ -46,7 +46,7 @@ def test_no_cross_joins_and_no_python(spark, name):
     for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval"):
         assert banned not in text
     # A join on constants alone is a cross join: its keys would be literals or columns made of one.
-    constants = {name for name in re.findall(r"(?<![\w.])-?\d+ AS (\w+#\d+)", text)}
+    constants = {name for name in re.findall(r"(?<![\w.#])-?\d+ AS (\w+#\d+)", text)}
     for left, right in re.findall(r"(?:HashJoin|SortMergeJoin(?:\(skew=true\))?) \[([^\]]*)\], \[([^\]]*)\]", text):
         for keys in (left, right):
             named = [key.strip().removesuffix("L") for key in keys.split(", ")]
@@ -55,7 +55,7 @@ def test_no_cross_joins_and_no_python(spark, name):
 
 def test_class_graph_joins_no_individuals(spark):
     text = plan(QUERIES["o_class_graph"](spark, FOLDER))
-    assert "orders.parquet" not in text.split("Join")[0] and "lineitem.parquet" not in text
+    assert "_id#" not in text and "individual" not in text
 
 
 def test_arrivals_read_no_old_logs(spark):
