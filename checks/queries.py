@@ -413,8 +413,7 @@ def _ids(spark, folder, name, key) -> DataFrame:
 
 
 def _staff(spark, folder) -> DataFrame:
-    departments = _ids(spark, folder, "supplier", "s_suppkey").count()
-    positions = _ids(spark, folder, "part", "p_partkey").count()
+    departments, positions = _ids(spark, folder, "supplier", "s_suppkey"), _ids(spark, folder, "part", "p_partkey")
     return synth.hr_employees(_ids(spark, folder, "customer", "c_custkey"), departments, positions, AS_OF)
 
 

@@ -101,9 +101,15 @@ def hr_positions(ids: DataFrame, seed: int = SEED) -> DataFrame:
     )
 
 
-def hr_employees(ids: DataFrame, n_departments: int, n_positions: int, as_of: date, seed: int = SEED) -> DataFrame:
+def _one_of(ids: DataFrame, drawn: Column) -> Column:
+    """One of the ids, in ascending order; a short list that a table of few rows bounds."""
+    listed = ids.agg(F.array_sort(F.collect_list(F.col("id").cast("int"))).alias("ids")).scalar()
+    return F.element_at(listed, between(drawn, F.lit(1), F.size(listed)).cast("int"))
+
+
+def hr_employees(ids: DataFrame, departments: DataFrame, positions: DataFrame, as_of: date, seed: int = SEED) -> DataFrame:
     """Staff aged 18 to 70, hired between coming of age and as_of; departments and positions
-    are 1..n."""
+    are among the given ones (id), whatever their ids."""
     key = F.col("id")
     born = ids.select(
         key,
@@ -123,8 +129,8 @@ def hr_employees(ids: DataFrame, n_departments: int, n_positions: int, as_of: da
         "email",
         day_between(draw(seed, "employee.hire", key), F.date_add("birth_date", DAYS_TO_18), F.lit(as_of)).alias("hire_date"),
         pick_weighted(draw(seed, "employee.status", key), STATUSES, STATUS_CHANCES).alias("status"),
-        between(draw(seed, "employee.department", key), 1, n_departments).cast("int").alias("department_id"),
-        between(draw(seed, "employee.position", key), 1, n_positions).cast("int").alias("position_id"),
+        _one_of(departments, draw(seed, "employee.department", key)).alias("department_id"),
+        _one_of(positions, draw(seed, "employee.position", key)).alias("position_id"),
         between(draw(seed, "employee.salary", key), 40_000, 150_000).cast("int").alias("salary"),
     )
 

@@ -65,7 +65,7 @@ def test_staff(spark):
     positions = synth.hr_positions(synth.ids_up_to(spark, 20))
     assert departments.select("name").distinct().count() == 30
     assert bad(positions, "min_salary BETWEEN 30000 AND 60000 AND max_salary - min_salary BETWEEN 20000 AND 80000") == 0
-    staff = synth.hr_employees(synth.ids_up_to(spark, 500), 30, 20, TODAY)
+    staff = synth.hr_employees(synth.ids_up_to(spark, 500), synth.ids_up_to(spark, 30), synth.ids_up_to(spark, 20), TODAY)
     assert bad(staff, "hire_date BETWEEN date_add(birth_date, 6570) AND date'2024-01-01' AND salary BETWEEN 40000 AND 150000") == 0
     assert bad(staff, "department_id BETWEEN 1 AND 30 AND position_id BETWEEN 1 AND 20") == 0
     history = synth.salary_history(staff, TODAY)
@@ -88,3 +88,11 @@ def test_same_rows_for_any_partitioning(spark, bank):
     assert synth.bank_credits(clients, TODAY).exceptAll(credits).isEmpty()
     other = synth.bank_accounts(synth.bank_clients(synth.ids_up_to(spark, 50), TODAY, seed=1), TODAY, seed=1)
     assert not other.exceptAll(accounts).isEmpty()
+
+
+def test_staff_belongs_to_given_ids(spark):
+    given = [7, 19, 400], [3, 1000]
+    departments, positions = (spark.createDataFrame([(i,) for i in ids], "id bigint") for ids in given)
+    staff = synth.hr_employees(synth.ids_up_to(spark, 300), departments, positions, TODAY)
+    found = staff.agg(F.array_sort(F.collect_set("department_id")), F.array_sort(F.collect_set("position_id"))).first()
+    assert (found[0], found[1]) == given
