@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Callable, Iterable, Iterator
+from string import punctuation
 from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -18,6 +20,7 @@ __all__ = [
     "WordEncoder",
     "by_hot_key",
     "encoder",
+    "hash_sample",
     "map_texts",
     "mix64",
     "new_path",
@@ -61,6 +64,20 @@ def by_hot_key(rows: DataFrame, classes: DataFrame, key: str, size: str, total:
     return rows.join(F.broadcast(hot), key).unionByName(cold_rows.join(rest, key))
 
 
+def hash_sample(rows: DataFrame, among: int, sample: int, spread: int = 64) -> DataFrame:
+    """At most `sample` rows, those with the smallest content hash: the same at any order and partitioning.
+
+    `among` is the number of rows before any filter. Only hashes below a bound that leaves about
+    `spread` times the sample are compared, so a task sends few of them; the rows themselves are fetched
+    by the hashes found. Where filters leave under one in `spread` rows the sample is smaller.
+    """
+    key = F.xxhash64(*rows.columns)
+    share = min(1.0, spread * sample / max(1, among))
+    bound = min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))
+    found = rows.select(key.alias("key")).filter(F.col("key") <= bound).distinct().orderBy("key").limit(sample)
+    return rows.filter(key.isin([row["key"] for row in found.collect()])).limit(sample)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64 on unsigned 64-bit numbers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -111,8 +128,8 @@ class WordEncoder(dict):
 
     For lower-casing tokenizers (`lower`) texts are lower-cased first where that changes no id:
     where text and lower case are both in normal form C and no capital sigma stands in it, whose
-    lower case depends on its place. A mark after an ASCII letter or digit is a token of its
-    own there, and set apart. A word of Latin letters passes such a tokenizer's normaliser and splitter as
+    lower case depends on its place. Marks at the end of a piece, after a Latin letter or a digit, are split off by
+    such a tokenizer too. A word of Latin letters passes such a tokenizer's normaliser and splitter as
     it is, so its byte-level form goes straight to the library's model, which takes a third of the time.
     """
 
@@ -132,8 +149,10 @@ class WordEncoder(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            if self.lower and len(piece) > 1 and piece[-1] in ".,!?;:" and piece[-2].isascii() and piece[-2].isalnum():
-                ids = self[piece[:-1]] + self[piece[-1]]
+            stem = piece.rstrip(punctuation) if self.lower else piece
+            last = stem[-1:].lower()  # may be two characters, of which the second is no letter
+            if len(stem) < len(piece) and len(last) == 1 and last < "\u0180" and last.isalnum():
+                ids = self[stem] + self[piece[len(stem) :]]
             else:
                 ids = self.ask(piece)
         if len(self) >= self.half:
@@ -150,12 +169,30 @@ class WordEncoder(dict):
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def encode(self, text: str) -> bytes:
+    def prepared(self, text: str) -> str:
+        """The text with blanks alone between its pieces, in lower case where that changes no id."""
         if self.lower:
             low = text.lower()
             if text.isascii() or ("\u03a3" not in text and is_normalized("NFC", text) and is_normalized("NFC", low)):
                 text = low
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        return text.replace("\n", " ")
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. Arrow cuts the texts and numbers their distinct pieces, which are then looked
+        up once each; numpy puts the ids in place."""
+        if not texts:
+            return []
+        words = pc.split_pattern(pa.array([self.prepared(t) for t in texts], pa.large_string()), " ")
+        coded = words.flatten().dictionary_encode()
+        known = [self[piece] for piece in coded.dictionary.to_pylist()]
+        lengths = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+        flat, starts = np.frombuffer(b"".join(known), dtype="<u4"), np.cumsum(lengths) - lengths
+        at = coded.indices.to_numpy()
+        each = lengths[at]
+        ends = np.cumsum(each)
+        ids = flat[np.repeat(starts[at] - (ends - each), each) + np.arange(ends[-1])]
+        bounds = np.concatenate([[0], ends])[words.offsets.to_numpy()]
+        return [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 _encoders: dict[str, WordEncoder] = {}

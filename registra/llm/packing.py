@@ -78,10 +78,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> D
         encode = encoder(tokenizer).encode
         next_id = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for part in parts(batch, 1, 4_000_000):
+            for part in parts(batch, 1, 8_000_000):
                 rows = []
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    ids = encode(text) + tail
+                for doc_id, own in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist()), strict=True):
+                    ids = own + tail
                     total = len(ids) // 4
                     for start in range(0, total, window):
                         piece = ids[4 * start : 4 * (start + window)]

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from registra.llm.common import encoder, map_texts, new_path, parts, whole_text, written
+from registra.llm.common import encoder, hash_sample, map_texts, whole_text, written
 
 MAGIC = b"RTOK1"
 FOOT_BYTES = 4 * 8 + 1  # per document
@@ -48,14 +48,14 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, width: int, s
     or partitions. Their arrays are cut into slices of 16 kB for training, in one task. Tables too
     small to train on give an empty dictionary; frames then stand alone.
     """
-    texts = docs.select(whole_text(docs).alias("text"))
-    sample = texts.orderBy(F.xxhash64("text"), "text").limit(sample_docs)
+    texts = docs.select("doc_id", whole_text(docs).alias("text"))
+    sample = hash_sample(texts, docs.count(), sample_docs).select("text").orderBy("text")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, slices = encoder(tokenizer).encode, []
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                data = _serialised(encode(text), end_id, width)
+            for ids in encode(batch.column(0).to_pylist()):
+                data = _serialised(ids, end_id, width)
                 slices += [data[i : i + 16384] for i in range(0, len(data), 16384)]
         try:
             trained = zstandard.train_dictionary(size, slices).as_bytes()
@@ -63,7 +63,8 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, width: int, s
             trained = b""
         yield pa.RecordBatch.from_pydict({"dictionary": pa.array([trained], pa.binary())})
 
-    return bytes(sample.coalesce(1).mapInArrow(train, "dictionary binary").first()["dictionary"])
+    row = sample.coalesce(1).mapInArrow(train, "dictionary binary").first()  # none without partitions
+    return bytes(row["dictionary"]) if row else b""
 
 
 def write_token_files(
@@ -95,8 +96,8 @@ def write_token_files(
         encode = encoder(tokenizer).encode
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         pack = zstandard.ZstdCompressor(level=level, dict_data=shared).compress
-        for text in texts:
-            data = _serialised(encode(text), end_id, width)
+        for ids in encode(texts):
+            data = _serialised(ids, end_id, width)
             frame = pack(data)
             yield len(data) // width, len(frame), frame
 
@@ -106,6 +107,7 @@ def write_token_files(
             compress,
             [("n_tokens", pa.int64()), ("frame_bytes", pa.int64()), ("frame", pa.binary())],
             "n_tokens bigint, frame_bytes bigint, frame binary",
+            chars=8_000_000,
         ),
         "frames",
     )

@@ -31,8 +31,9 @@ def ids_of(tokenizer, text, end_id):
 def test_pieces_between_blanks_give_the_ids_of_whole_texts(tokenizer):
     rng, small = random.Random(5), WordEncoder(PATH, limit=20)
     texts = ["".join(rng.choices(ALPHABET, k=rng.randint(0, 16))) for _ in range(5000)] + [LONG, ""]
-    for text in texts:
-        assert small.encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes(), text
+    for text, ids in zip(texts, small.encode(texts), strict=True):
+        assert ids == np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes(), text
+    assert small.encode([]) == [] and small.encode([""]) == [b""]
 
 
 @pytest.mark.parametrize("clashing", [False, True])
