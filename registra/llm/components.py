@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,20 +13,23 @@ from registra.llm.common import written
 def components(links: DataFrame) -> DataFrame:
     """id, label for every end of a link; the label is the smallest id of the component.
 
-    `links` has columns a and b. Labels fall to the smallest of a node's neighbours, then to the label of the
-    label, until nothing changes: a number of rounds that grows with the logarithm of the
-    longest path. Every round is a written table; the driver sees one count.
+    `links` has columns a and b. Labels fall to the smallest of a node's and its neighbours' until nothing
+    changes. Stars, the common case, take two rounds; from the third on a label also falls to the label
+    of the label, so that long paths take a number of rounds that grows with the logarithm of their length.
+    Every round is a written table; the driver sees one flag.
     """
-    both = written(
-        links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links"
-    )
-    labels = written(both.groupBy("a").agg(F.min("b").alias("near")).select(F.col("a").alias("id"), F.least("a", "near").alias("label")), "labels")
-    while True:
-        reached = both.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        lower = labels.join(reached.withColumnRenamed("a", "id"), "id").select("id", "label", F.least("label", "near").alias("low"))
-        of_label = labels.select(F.col("id").alias("low"), F.col("label").alias("lowest"))
-        stepped = written(lower.join(of_label, "low").select("id", "label", F.least("low", "lowest").alias("next")), "labels")
-        changed = not stepped.filter("next < label").isEmpty()
-        labels = stepped.select("id", F.col("next").alias("label"))
-        if not changed:
+    ends = F.explode(F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in ("ab", "ba", "aa", "bb")]))
+    both = written(links.select(ends.alias("end")).select("end.*").distinct(), "links")
+    labels = written(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("label")), "labels")
+    for number in itertools.count(1):
+        near = both.join(labels.select(F.col("id").alias("b"), "label"), "b")
+        own = F.max(F.when(F.col("a") == F.col("b"), F.col("label")))
+        lower = near.groupBy(F.col("a").alias("id")).agg(F.min("label").alias("low"), own.alias("label"))
+        if number > 2:
+            lower = written(lower, "lower")  # read twice
+            of_label = lower.select(F.col("id").alias("low"), F.col("low").alias("lowest"))
+            lower = lower.join(of_label, "low").select("id", F.least("low", "lowest").alias("low"), "label")
+        stepped = written(lower, "labels")
+        labels = stepped.select("id", F.col("low").alias("label"))
+        if stepped.filter("low < label").isEmpty():
             return labels

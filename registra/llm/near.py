@@ -1,22 +1,26 @@
 """Near duplicates: ProbMinHash signatures of weighted word shingles, banding, verification.
 
-A document is the set of its shingles of five words (fewer words: one shingle of all), each
-weighted 1 + ln(times it occurs). Likeness of two documents is the probability Jaccard
-similarity of these weights,
-
-    J = sum over common shingles d of 1 / sum over all shingles e of max(a_e / a_d, b_e / b_d),
-
-the plain Jaccard similarity where no shingle repeats. Documents of one word sequence are one
-node from the start. Two nodes that share a band of their signatures are a candidate pair; pairs
-of likeness 0.8 or more are links, and classes are the components of the links.
-With 32 bands of 4 a pair at 0.8 shares none with probability 5e-8.
-
-Not all pairs of a bucket are compared. Its members are compared with one of them, the centre; what
-ends in one component needs no more comparison. Where a bucket still holds several components, a
-centre is taken from those left over, and in the end the pairs that could still be links are
-compared one by one: 1 - J is a metric, so a pair whose distances to the first centre differ by
-more than 0.2 is none. So every candidate pair is decided or its ends are known to be
-in one class.
+A document is the set of its shingles of five words (fewer words: one shingle of all). A shingle's weight is
+the share of distinct words in it, so runs of one word count less. Likeness of two documents
+is the probability Jaccard similarity of their weights,
+
+    J = sum over common shingles d of 1 / sum over all shingles e of max(a_e / a_d, b_e / b_d).
+
+Since a shingle weighs the same wherever it stands, this is the common weight over the weight of
+the union. Documents of one word sequence are one node from the start. Two nodes that share a
+band of their signatures are a candidate pair; pairs of likeness 0.8 or more are links, and
+classes are the components of the links. With 32 bands of 4 a pair at 0.8 shares none
+with probability 5e-8.
+
+Not all pairs of a bucket are compared, and none is lost. A shingle that no other node of a crowded
+bucket has cannot be common, so with s the weight of a node's other shingles and t all its weight
+
+    J <= m / (t + t' - m), m = min(s, s').
+
+Nodes for which no member of their bucket can reach 0.8 leave it. The rest are compared with a
+centre, the member that shares most; what ends in one component needs no more comparison.
+In buckets that still hold several components, the pairs that the bound allows are compared within tasks, in
+blocks of about 256 by 256 members, each pair in its first common bucket, and only links leave the task.
 """
 
 from __future__ import annotations
@@ -24,9 +28,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from registra.llm.common import by_hot_key, map_texts, mix64, parts, unused, whole_text, written
@@ -36,7 +41,7 @@ WORDS = 5
 THRESHOLD = 0.8
 REGISTERS, ROWS = 128, 4
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-PER_SALT = 256
+PER_SALT = BLOCK = 256
 _ODD = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
 
@@ -56,20 +61,26 @@ _hashes = _WordHashes()
 
 
 def shingles(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of a text in ascending order, and how often each occurs."""
+    """Distinct shingle hashes of a text in ascending order, and their numbers of distinct words."""
     if not words:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint8)
     hashes = np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
     width = min(WORDS, len(words))
     n = len(words) - width + 1
-    total = np.zeros(n, dtype=np.uint64)
+    total, distinct = np.zeros(n, dtype=np.uint64), np.ones(n, dtype=np.uint8)
     for i in range(width):
         total += mix64(hashes[i : i + n]) * _ODD[i]
-    return np.unique(mix64(total), return_counts=True)
+        if i:
+            seen = np.zeros(n, dtype=bool)
+            for j in range(i):
+                seen |= hashes[j : j + n] == hashes[i : i + n]
+            distinct += ~seen
+    found, first = np.unique(mix64(total), return_index=True)
+    return found, distinct[first]
 
 
-def weights(counts: np.ndarray) -> np.ndarray:
-    return 1.0 + np.log(counts)
+def weights(distinct: np.ndarray) -> np.ndarray:
+    return distinct / WORDS
 
 
 def signatures(elements: np.ndarray, doc: np.ndarray, weight: np.ndarray, docs: int) -> np.ndarray:
@@ -112,41 +123,27 @@ def bands(signature: np.ndarray) -> np.ndarray:
 
 
 def likeness(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
-    """Probability Jaccard similarity of two weighted sets (ascending distinct elements).
-
-    For a common element of ratio r = wa / wb, elements of ratio r or more count by wa and the
-    others by wb; sorted by ratio, both sums are prefixes.
-    """
+    """Likeness of two sets of shingles (ascending, distinct) and their weights; 1 for two empty sets."""
     if not len(a) or not len(b):
         return 1.0 if len(a) == len(b) else 0.0
-    _, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    if not len(ia):
-        return 0.0
-    only_a = wa.sum() - wa[ia].sum()
-    only_b = wb.sum() - wb[ib].sum()
-    xa, xb = wa[ia], wb[ib]
-    ratio = xa / xb
-    order = np.argsort(ratio, kind="stable")
-    xa, xb, ratio = xa[order], xb[order], ratio[order]
-    first = np.searchsorted(ratio, ratio, "left")
-    above = only_a + xa.sum() - np.concatenate([[0.0], np.cumsum(xa)])[first]
-    below = only_b + np.concatenate([[0.0], np.cumsum(xb)])[first]
-    return float((1.0 / (above / xa + below / xb)).sum())
+    _, common, _ = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    shared = wa[common].sum()
+    return float(shared / (wa.sum() + wb.sum() - shared))
 
 
 def sign(docs: DataFrame) -> DataFrame:
     """doc_id, node (a 128-bit hash of the word sequence), bands (none for a text without words)."""
 
     def work(texts: list[str]) -> Iterator[tuple]:
-        nodes, elements, counts = [], [], []
+        nodes, elements, heavy = [], [], []
         for text in texts:
             words = text.split()
             nodes.append(xxhash.xxh3_128_digest(" ".join(words).encode()))
-            found, times = shingles(words)
+            found, distinct = shingles(words)
             elements.append(found)
-            counts.append(times)
+            heavy.append(weights(distinct))
         doc = np.repeat(np.arange(len(texts)), [len(x) for x in elements])
-        keys = bands(signatures(np.concatenate(elements), doc, weights(np.concatenate(counts)), len(texts)))
+        keys = bands(signatures(np.concatenate(elements), doc, np.concatenate(heavy), len(texts)))
         for node, found, key in zip(nodes, elements, keys, strict=True):
             yield node, key.tolist() if len(found) else []
 
@@ -159,25 +156,46 @@ def sign(docs: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """id, hashes, counts of the texts that stand for `nodes` (id, node, rep: a doc_id)."""
+    """id, hashes, distinct, total (all weight) and bands of the texts that stand for `nodes` (id, node, rep: a doc_id, bands)."""
     texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), whole_text(docs).alias("text"))
-    rows = texts.join(nodes, texts["doc_id"].eqNullSafe(nodes["rep"])).select("id", "node", "text")
+    rows = texts.join(nodes, texts["doc_id"].eqNullSafe(nodes["rep"])).select("id", "node", "bands", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.float64(), pa.binary())
         for batch in batches:
-            for part in parts(batch, 2, 4_000_000):
+            for part in parts(batch, 3, 4_000_000):
                 made = []
-                for key, node, text in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
+                for key, node, keys, text in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
                     words = text.split()
                     if xxhash.xxh3_128_digest(" ".join(words).encode()) == node:  # rows may share a doc_id
-                        hashes, counts = shingles(words)
-                        made.append((key, hashes.tobytes(), counts.astype("<u4").tobytes()))
+                        hashes, distinct = shingles(words)
+                        own = np.array(keys, dtype=np.int64).tobytes()
+                        made.append((key, hashes.tobytes(), distinct.tobytes(), float(weights(distinct).sum()), own))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[i] for x in made], kind) for i, kind in enumerate((pa.int64(), pa.binary(), pa.binary()))],
-                    names=["id", "hashes", "counts"],
+                    [pa.array([x[i] for x in made], kind) for i, kind in enumerate(kinds)], names=["id", "hashes", "distinct", "total", "bands"]
                 )
 
-    return rows.mapInArrow(work, "id bigint, hashes binary, counts binary").dropDuplicates(["id"])
+    return rows.mapInArrow(work, "id bigint, hashes binary, distinct binary, total double, bands binary").dropDuplicates(["id"])
+
+
+def own_weight(sets: DataFrame) -> DataFrame:
+    """id, own: the weight of the shingles that no other of the sets has."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in parts(batch, 1, 2_000_000):
+                hashes = [np.frombuffer(x, dtype=np.int64) for x in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "shingle": pa.array(np.concatenate(hashes)),
+                        "id": pa.array(np.repeat(part.column(0).to_numpy(), [len(x) for x in hashes])),
+                        "words": pa.array(np.concatenate([np.frombuffer(x, dtype=np.uint8) for x in part.column(2).to_pylist()]).astype(np.int32)),
+                    }
+                )
+
+    each = sets.select("id", "hashes", "distinct").mapInArrow(work, "shingle bigint, id bigint, words int")
+    alone = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("id"), F.max("words").alias("words"))
+    return alone.filter("n = 1").groupBy("id").agg((F.sum("words") / WORDS).alias("own"))
 
 
 def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -187,33 +205,33 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     n, and the centre's shingles are copied to each of them.
     """
     salts = lambda n: F.ceil(F.col(n) / PER_SALT).cast("bigint")
+    sets = sets.select("id", "hashes", "distinct")
     own = pairs.withColumn("salt", F.pmod(F.xxhash64("id"), salts("n"))).join(sets, "id")
     centers = pairs.groupBy("center").agg(F.max("n").alias("most"))
     copies = (
-        sets.select(F.col("id").alias("center"), F.col("hashes").alias("c_hashes"), F.col("counts").alias("c_counts"))
+        sets.select(F.col("id").alias("center"), F.col("hashes").alias("c_hashes"), F.col("distinct").alias("c_distinct"))
         .join(centers, "center")
         .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts("most") - 1)))
         .drop("most")
     )
-    both = own.join(copies, ["center", "salt"]).select("center", "id", "hashes", "counts", "c_hashes", "c_counts")
+    both = own.join(copies, ["center", "salt"]).select("center", "id", "hashes", "distinct", "c_hashes", "c_distinct")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        as_set = lambda h, c: (np.frombuffer(h, dtype=np.uint64), weights(np.frombuffer(c, dtype="<u4")))
+        as_set = lambda h, d: (np.frombuffer(h, dtype=np.uint64), weights(np.frombuffer(d, dtype=np.uint8)))
         for batch in batches:
             rows = zip(*(batch.column(i) for i in range(2, 6)), strict=True)
-            found = [likeness(*as_set(h.as_py(), c.as_py()), *as_set(ch.as_py(), cc.as_py())) for h, c, ch, cc in rows]
+            found = [likeness(*as_set(h.as_py(), d.as_py()), *as_set(ch.as_py(), cd.as_py())) for h, d, ch, cd in rows]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["center", "id", "likeness"])
 
     return written(both.mapInArrow(work, "center bigint, id bigint, likeness double"), "compared")
 
 
-def classify(docs: DataFrame, star_rounds: int = 6) -> DataFrame:
+def classify(docs: DataFrame) -> DataFrame:
     """A row per document: doc_id, class_id, class_size, kept.
 
     class_id is the smallest doc_id of the class and that document is kept. Texts without
     words are one class. NULL text counts as empty; NULL doc_ids are only a class's id if it has no other;
     rows that repeat a doc_id and text are all marked kept. Other columns are not looked at.
-    `star_rounds` bounds the rounds with further centres, not the result.
     """
     signed = written(sign(docs), "signatures")
     total = signed.count()
@@ -223,7 +241,7 @@ def classify(docs: DataFrame, star_rounds: int = 6) -> DataFrame:
         .withColumn("id", F.monotonically_increasing_id()),
         "nodes",
     )
-    labels = _labels(docs, nodes, star_rounds)
+    labels = _labels(docs, nodes)
     named = nodes.select("id", "node", "rep", "copies").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     groups = named.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"))
     classes = written(by_hot_key(named, written(groups.join(named.groupBy("label").agg(F.count(F.lit(1)).alias("n_nodes")), "label"), "classes"), "label", "n_nodes", nodes.count()).select("node", "copies", "class_id", "class_size"), "node-classes")
@@ -231,68 +249,88 @@ def classify(docs: DataFrame, star_rounds: int = 6) -> DataFrame:
     return rows.select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
-def _labels(docs: DataFrame, nodes: DataFrame, star_rounds: int) -> DataFrame:
-    spark = docs.sparkSession
+def _reachable(s: Column, t: Column, other: Column) -> Column:
+    """Whether a node of weights s and t can be 0.8 like one of weight `other`, or more."""
+    return s >= (THRESHOLD - 1e-9) * (t + other - s)
+
+
+def _labels(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     members = nodes.select("id", F.explode("bands").alias("bucket"))
-    buckets = members.groupBy("bucket").agg(F.min("id").alias("center"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    buckets = written(buckets, "buckets")
+    buckets = written(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
     size = nodes.agg(F.sum(F.size("bands")).alias("n")).first()["n"] or 0
     shared = written(by_hot_key(members, buckets, "bucket", "n", size), "bucket-members")
-    pairs = written(shared.filter("id <> center").groupBy("center", "id").agg(F.max("n").alias("n")), "pairs")
-    if pairs.isEmpty():
-        return spark.createDataFrame([], "id bigint, label bigint")
-    wanted = pairs.select("id").unionByName(pairs.select(F.col("center").alias("id"))).distinct()
-    sets = written(shingle_sets(docs, nodes.select("id", "node", "rep").join(wanted, "id")), "shingles")
-    compared = compare(pairs, sets)
-    links = compared.filter(F.col("likeness") >= THRESHOLD)
-    labels = components(links.select(F.col("center").alias("a"), F.col("id").alias("b")))
-    # Distances to the first centre rule out pairs later on.
-    spread = shared.join(compared, ["center", "id"], "left").select(
-        "bucket", "id", "n", F.when(F.col("id") == F.col("center"), 0.0).otherwise(1 - F.col("likeness")).alias("far")
-    )
-    spread = written(spread.filter("n > 2"), "spread")
-    for _ in range(star_rounds):
-        mixed, work, stars = _mixed(spread, labels)
-        if work is None:
-            return labels
-        if work <= 4 * stars:
-            break
-        # A centre among those that are not with the bucket's smallest label.
-        further = mixed.filter("label > low").groupBy("bucket").agg(F.max("id").alias("center"))
-        of_center = mixed.select("bucket", F.col("id").alias("center"), F.col("label").alias("c_label"), F.col("far").alias("c_far"))
-        chosen = written(further.join(of_center, ["bucket", "center"]), "further")
-        star = mixed.join(chosen, "bucket").filter("label <> c_label").filter(F.abs(F.col("far") - F.col("c_far")) <= 1 - THRESHOLD)
-        asked = star.groupBy("center", "id").agg(F.max("n").alias("n"))
-        labels, links, compared = _joined(labels, links, asked, compared, sets)
-    left, work, _ = _mixed(spread, labels)
-    if work is None:
+    wanted = shared.groupBy("id").agg(F.max("n").alias("most"))
+    sets = written(shingle_sets(docs, nodes.select("id", "node", "rep", "bands").join(wanted, "id")), "shingles")
+    crowded = sets.join(wanted.filter("most > 2").select("id"), "id", "left_semi")
+    shares = (F.col("total") - F.coalesce("own", F.lit(0.0))).alias("common")
+    profile = sets.select("id", "total").join(own_weight(crowded), "id", "left").select("id", "total", shares)
+    # Only members of crowded buckets have been searched for common shingles.
+    spread = shared.join(profile, "id").withColumn("common", F.when(F.col("n") > 2, F.col("common")).otherwise(F.col("total")))
+    spread = written(spread, "spread")
+    lows = spread.groupBy("bucket").agg(F.min("total").alias("low"), F.count(F.lit(1)).alias("n"))
+    kept = by_hot_key(spread.drop("n"), written(lows, "least"), "bucket", "n", size)
+    spread = written(kept.filter(_reachable(F.col("common"), F.col("total"), F.col("low"))).drop("low"), "spread")
+    # The centre of a bucket is the member that shares most of its weight.
+    centers = spread.groupBy("bucket").agg(F.max_by("id", F.col("common") / F.col("total")).alias("center"))
+    of_center = spread.select("bucket", F.col("id").alias("center"), F.col("total").alias("c_total"), F.col("common").alias("c_common"))
+    chosen = written(centers.join(of_center, ["bucket", "center"]), "centers")
+    fits = _reachable(F.least("common", "c_common"), F.col("total"), F.col("c_total"))
+    asked = spread.join(chosen, "bucket").filter(F.col("id") != F.col("center")).filter(fits)
+    links = compare(written(asked.groupBy("center", "id").agg(F.max("n").alias("n")), "pairs"), sets).filter(F.col("likeness") >= THRESHOLD)
+    links = links.select(F.col("center").alias("a"), F.col("id").alias("b"))
+    labels = components(links)
+    mixed = _mixed(spread, labels)
+    if mixed.isEmpty():
         return labels
-    other = left.filter("label > low").select("bucket", F.col("id").alias("center"), F.col("label").alias("c_label"), F.col("far").alias("c_far"))
-    rest = left.join(other, "bucket").filter("label < c_label").filter(F.abs(F.col("far") - F.col("c_far")) <= 1 - THRESHOLD)
-    return _joined(labels, links, rest.groupBy("center", "id").agg(F.max("n").alias("n")), compared, sets)[0]
+    more = written(_rest(mixed, sets), "more-links")
+    return labels if more.isEmpty() else components(links.unionByName(more))
 
 
-def _mixed(spread: DataFrame, labels: DataFrame) -> tuple[DataFrame, int | None, int]:
-    """Members of the buckets that still hold several components, with the smallest label; how many pairs
-    are left in them at most (None: no such bucket), and how many members."""
-    labelled = spread.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+def _mixed(spread: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the buckets that still hold several components: low is the bucket's smallest label, n its
+    members, strays those of another label."""
+    labelled = spread.drop("n").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     labelled = written(labelled, "labelled")
-    lows = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size")).filter("low < high")
-    lows = written(lows.select("bucket", "low", "size"), "mixed-buckets")
-    mixed = written(by_hot_key(labelled, lows, "bucket", "size", max(1, labelled.count())), "mixed")
-    sums = mixed.agg(F.sum(F.when(F.col("label") > F.col("low"), F.col("size")).otherwise(0)).alias("work"), F.count(F.lit(1)).alias("n")).first()
-    return mixed, sums["work"], sums["n"]
-
-
-def _joined(labels: DataFrame, links: DataFrame, pairs: DataFrame, compared: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Labels, links and comparisons after `pairs` that were not compared before."""
-    fresh = written(pairs.join(compared.select("center", "id"), ["center", "id"], "left_anti"), "pairs")
-    found = compare(fresh, sets)
-    more = found.filter(F.col("likeness") >= THRESHOLD)
-    links, compared = links.unionByName(more), compared.unionByName(found)
-    if not more.isEmpty():
-        labels = components(links.select(F.col("center").alias("a"), F.col("id").alias("b")))
-    return labels, links, compared
+    lows = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
+    # Of two members one was the centre, so their pair has been decided.
+    lows = written(lows.filter("low < high AND n > 2").select("bucket", "low", "n"), "mixed-buckets")
+    mixed = written(by_hot_key(labelled, lows, "bucket", "n", max(1, labelled.count())), "mixed")
+    strays = mixed.groupBy("bucket").agg(F.count_if(F.col("label") > F.col("low")).alias("strays"), F.count(F.lit(1)).alias("n"))
+    return written(by_hot_key(mixed.drop("n"), written(strays, "strays"), "bucket", "n", max(1, mixed.count())), "mixed")
+
+
+def _rest(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between members of different components of a bucket.
+
+    Strays are dealt over rows of blocks and all members over columns; a block meets in one task.
+    """
+    rows, columns = (F.ceil(F.col(c) / BLOCK).cast("bigint") for c in ("strays", "n"))
+    part = lambda count: F.pmod(F.xxhash64("id"), count)
+    every = lambda count: F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1))
+    strays = mixed.filter("label > low").withColumn("stray", F.lit(True)).withColumn("i", part(rows)).withColumn("j", every(columns))
+    others = mixed.withColumn("stray", F.lit(False)).withColumn("j", part(columns)).withColumn("i", every(rows))
+    placed = strays.unionByName(others).select("bucket", "i", "j", "stray", "id", "label", "common").join(sets, "id")
+
+    def search(block: pd.DataFrame) -> pd.DataFrame:
+        keys = np.frombuffer(b"".join(block["bands"]), dtype=np.int64).reshape(len(block), -1)
+        here = int(np.flatnonzero(keys[0] == block["bucket"].iloc[0])[0])
+        found = []
+        stray = block["stray"].to_numpy(dtype=bool)
+        members = np.flatnonzero(~stray)
+        label, common, total = (block[c].to_numpy() for c in ("label", "common", "total"))
+        as_set = [
+            (np.frombuffer(h, dtype=np.uint64), weights(np.frombuffer(d, dtype=np.uint8))) for h, d in zip(block["hashes"], block["distinct"], strict=True)
+        ]
+        for x in np.flatnonzero(stray):
+            least = np.minimum(common[x], common[members])
+            asked = (label[members] < label[x]) & (least >= (THRESHOLD - 1e-9) * (total[x] + total[members] - least))
+            asked &= ~(keys[members][:, :here] == keys[x, :here]).any(axis=1)  # not met in an earlier band
+            for y in members[asked]:
+                if likeness(*as_set[x], *as_set[y]) >= THRESHOLD:
+                    found.append((block["id"].iloc[x], block["id"].iloc[y]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return placed.groupBy("bucket", "i", "j").applyInPandas(search, "a bigint, b bigint")
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
