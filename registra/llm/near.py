@@ -257,8 +257,8 @@ def _reachable(s: Column, t: Column, other: Column) -> Column:
 def _labels(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     members = nodes.select("id", F.explode("bands").alias("bucket"))
     buckets = written(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
-    size = nodes.agg(F.sum(F.size("bands")).alias("n")).first()["n"] or 0
-    shared = written(by_hot_key(members, buckets, "bucket", "n", size), "bucket-members")
+    # Most members are alone in their bucket and drop out here; Spark splits the rows of a large bucket.
+    shared = written(members.join(buckets, "bucket"), "bucket-members")
     wanted = shared.groupBy("id").agg(F.max("n").alias("most"))
     sets = written(shingle_sets(docs, nodes.select("id", "node", "rep", "bands").join(wanted, "id")), "shingles")
     crowded = sets.join(wanted.filter("most > 2").select("id"), "id", "left_semi")
@@ -268,7 +268,7 @@ def _labels(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     spread = shared.join(profile, "id").withColumn("common", F.when(F.col("n") > 2, F.col("common")).otherwise(F.col("total")))
     spread = written(spread, "spread")
     lows = spread.groupBy("bucket").agg(F.min("total").alias("low"), F.count(F.lit(1)).alias("n"))
-    kept = by_hot_key(spread.drop("n"), written(lows, "least"), "bucket", "n", size)
+    kept = by_hot_key(spread.drop("n"), written(lows, "least"), "bucket", "n", max(1, spread.count()))
     spread = written(kept.filter(_reachable(F.col("common"), F.col("total"), F.col("low"))).drop("low"), "spread")
     # The centre of a bucket is the member that shares most of its weight.
     centers = spread.groupBy("bucket").agg(F.max_by("id", F.col("common") / F.col("total")).alias("center"))
