@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registra.llm.common import map_texts, whole_text
+from registra.llm.common import hash_sample, map_texts, whole_text
 
 KINDS = ("email", "ip", "card", "phone")
 # The patterns.
@@ -280,9 +280,9 @@ def train(samples: list[str], rounds: int = 12, rate: float = 0.3, ridge: float
 def fit(docs: DataFrame, sample: int = 200, most_chars: int = 4000) -> SpanModel:
     """The model learnt from at most `sample` documents of at most `most_chars` characters that hold an
     at sign, a plus sign before a digit, or four digits in a row: those whose content hash is smallest."""
-    texts = docs.select(whole_text(docs).alias("text"))
+    texts = docs.select("doc_id", whole_text(docs).alias("text"))
     hinted = texts.filter((F.length("text") <= most_chars) & F.col("text").rlike(r"@|\+[0-9]|[0-9]{4}"))
-    chosen = hinted.orderBy(F.xxhash64("text"), "text").limit(sample).collect()
+    chosen = hash_sample(hinted, docs.count(), sample).collect()
     return train(sorted(row["text"] for row in chosen))
 
 
