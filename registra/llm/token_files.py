@@ -73,7 +73,7 @@ def write_token_files(
     tokenizer: str,
     end_id: int,
     vocabulary: int = 1 << 16,
-    file_mb: float = 32,
+    file_mb: float = 16,
     level: int = 3,
     sample_docs: int = 1024,
     dictionary_bytes: int = 112_640,
@@ -147,11 +147,12 @@ def read_dictionary(spark: SparkSession, path: str) -> bytes:
     return bytes(row["content"])[:-1] if row else b""
 
 
-def parse_file(content: bytes) -> tuple[dict, dict[str, np.ndarray]]:
-    """Head and index of one data file."""
-    if content[: len(MAGIC)] != MAGIC or content[-len(MAGIC) - 1 : -1] != MAGIC:
+def parse_file(content: memoryview) -> tuple[dict, dict[str, np.ndarray]]:
+    """Head and index of one data file, without a copy of it."""
+    if bytes(content[: len(MAGIC)]) != MAGIC or bytes(content[-len(MAGIC) - 1 : -1]) != MAGIC:
         raise ValueError("not a token file, or cut off")
-    head = json.loads(content[len(MAGIC) : content.index(b"\n")])
+    first = bytes(content[len(MAGIC) : 4096])
+    head = json.loads(first[: first.index(b"\n")])
     stop = len(content) - 1 - len(MAGIC) - 8
     n = int.from_bytes(content[stop : stop + 8], "little")
     at, index = stop - n * FOOT_BYTES, {}
@@ -179,7 +180,7 @@ def read_token_files(spark: SparkSession, path: str, doc_ids: list[int] | None =
         for batch in batches:
             for i in range(batch.num_rows):
                 content = batch.column(0)[i].as_buffer()
-                head, index = parse_file(content.to_pybytes())
+                head, index = parse_file(memoryview(content))
                 if head["dictionary"] != digest:
                     raise ValueError("the files were written with another dictionary")
                 starts = np.cumsum(index["n_tokens"]) - index["n_tokens"]
