@@ -1,21 +1,24 @@
 """Near duplicates: ProbMinHash signatures of weighted word shingles, banding, verification.
 
-A document is the set of its shingles of five words (fewer words: one shingle of all). A shingle's weight is
-the share of distinct words in it, so runs of one word count less. Likeness of two documents
-is the probability Jaccard similarity of their weights,
+A document is the set of its shingles of five words (fewer words: one shingle of all), each
+weighted 1 + ln(times it occurs). Likeness of two documents is the probability Jaccard
+similarity of these weights,
 
-    J = sum over common shingles d of 1 / sum over all shingles e of max(a_e / a_d, b_e / b_d).
+    J = sum over common shingles d of 1 / sum over all shingles e of max(a_e / a_d, b_e / b_d),
 
-Since a shingle weighs the same wherever it stands, this is the common weight over the weight of
-the union. Documents of one word sequence are one node from the start. Two nodes that share a
-band of their signatures are a candidate pair; pairs of likeness 0.8 or more are links, and
-classes are the components of the links. With 32 bands of 4 a pair at 0.8 shares none
-with probability 5e-8.
+the plain Jaccard similarity where no shingle repeats. Documents of one word sequence are one
+node from the start. Two nodes that share a band of their signatures are a candidate pair; pairs
+of likeness 0.8 or more are links, and classes are the components of the links.
+With 32 bands of 4 a pair at 0.8 shares none with probability 5e-8.
 
-Not all pairs of a bucket are compared, and none is lost. A shingle that no other node of a crowded
-bucket has cannot be common, so with s the weight of a node's other shingles and t all its weight
+Not all pairs of a bucket are compared, and none is lost. Let a and b weigh t and t', and their common shingles
+u in a and v in b. The sum below a common d is at least (t - u) / a_d + t' / b_d, so its term is at most
+a_d b_d / ((t - u) b_d + t' a_d), which is concave and homogeneous: the terms add up to no more than the same of u and v,
 
-    J <= m / (t + t' - m), m = min(s, s').
+    J <= 1 / (t / u + t' / v - 1).
+
+A shingle that no other node of a crowded bucket has cannot be common. With k the number of a node's other
+shingles and x what these weigh beyond 1 each, u <= min(k, k') + x and v <= min(k, k') + x'.
 
 Nodes for which no member of their bucket can reach 0.8 leave it. The rest are compared with a
 centre, the member that shares most; what ends in one component needs no more comparison.
@@ -61,26 +64,20 @@ _hashes = _WordHashes()
 
 
 def shingles(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of a text in ascending order, and their numbers of distinct words."""
+    """Distinct shingle hashes of a text in ascending order, and how often each occurs."""
     if not words:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint8)
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
     hashes = np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
     width = min(WORDS, len(words))
     n = len(words) - width + 1
-    total, distinct = np.zeros(n, dtype=np.uint64), np.ones(n, dtype=np.uint8)
+    total = np.zeros(n, dtype=np.uint64)
     for i in range(width):
         total += mix64(hashes[i : i + n]) * _ODD[i]
-        if i:
-            seen = np.zeros(n, dtype=bool)
-            for j in range(i):
-                seen |= hashes[j : j + n] == hashes[i : i + n]
-            distinct += ~seen
-    found, first = np.unique(mix64(total), return_index=True)
-    return found, distinct[first]
+    return np.unique(mix64(total), return_counts=True)
 
 
-def weights(distinct: np.ndarray) -> np.ndarray:
-    return distinct / WORDS
+def weights(counts: np.ndarray) -> np.ndarray:
+    return 1.0 + np.log(counts)
 
 
 def signatures(elements: np.ndarray, doc: np.ndarray, weight: np.ndarray, docs: int) -> np.ndarray:
@@ -123,12 +120,30 @@ def bands(signature: np.ndarray) -> np.ndarray:
 
 
 def likeness(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
-    """Likeness of two sets of shingles (ascending, distinct) and their weights; 1 for two empty sets."""
+    """Probability Jaccard similarity of two weighted sets (ascending distinct elements); 1 for two empty sets.
+
+    For a common element of ratio r = wa / wb, elements of ratio r or more count by wa and the
+    others by wb; sorted by ratio, both sums are prefixes. Where all common elements weigh the same
+    in both, this is the common weight over the weight of the union.
+    """
     if not len(a) or not len(b):
         return 1.0 if len(a) == len(b) else 0.0
-    _, common, _ = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    shared = wa[common].sum()
-    return float(shared / (wa.sum() + wb.sum() - shared))
+    _, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    if not len(ia):
+        return 0.0
+    xa, xb = wa[ia], wb[ib]
+    if (xa == xb).all():
+        shared = xa.sum()
+        return float(shared / (wa.sum() + wb.sum() - shared))
+    only_a = wa.sum() - xa.sum()
+    only_b = wb.sum() - xb.sum()
+    ratio = xa / xb
+    order = np.argsort(ratio, kind="stable")
+    xa, xb, ratio = xa[order], xb[order], ratio[order]
+    first = np.searchsorted(ratio, ratio, "left")
+    above = only_a + xa.sum() - np.concatenate([[0.0], np.cumsum(xa)])[first]
+    below = only_b + np.concatenate([[0.0], np.cumsum(xb)])[first]
+    return float((1.0 / (above / xa + below / xb)).sum())
 
 
 def sign(docs: DataFrame) -> DataFrame:
@@ -139,9 +154,9 @@ def sign(docs: DataFrame) -> DataFrame:
         for text in texts:
             words = text.split()
             nodes.append(xxhash.xxh3_128_digest(" ".join(words).encode()))
-            found, distinct = shingles(words)
+            found, counts = shingles(words)
             elements.append(found)
-            heavy.append(weights(distinct))
+            heavy.append(weights(counts))
         doc = np.repeat(np.arange(len(texts)), [len(x) for x in elements])
         keys = bands(signatures(np.concatenate(elements), doc, np.concatenate(heavy), len(texts)))
         for node, found, key in zip(nodes, elements, keys, strict=True):
@@ -156,30 +171,30 @@ def sign(docs: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """id, hashes, distinct, total (all weight) and bands of the texts that stand for `nodes` (id, node, rep: a doc_id, bands)."""
+    """id, hashes, counts, size (number of shingles), total (all weight) and bands of the texts that stand for `nodes` (id, node, rep: a doc_id, bands)."""
     texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), whole_text(docs).alias("text"))
     rows = texts.join(nodes, texts["doc_id"].eqNullSafe(nodes["rep"])).select("id", "node", "bands", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.float64(), pa.binary())
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.float64(), pa.binary())
         for batch in batches:
             for part in parts(batch, 3, 4_000_000):
                 made = []
                 for key, node, keys, text in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
                     words = text.split()
                     if xxhash.xxh3_128_digest(" ".join(words).encode()) == node:  # rows may share a doc_id
-                        hashes, distinct = shingles(words)
+                        hashes, counts = shingles(words)
                         own = np.array(keys, dtype=np.int64).tobytes()
-                        made.append((key, hashes.tobytes(), distinct.tobytes(), float(weights(distinct).sum()), own))
+                        made.append((key, hashes.tobytes(), counts.astype("<u4").tobytes(), len(hashes), float(weights(counts).sum()), own))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[i] for x in made], kind) for i, kind in enumerate(kinds)], names=["id", "hashes", "distinct", "total", "bands"]
+                    [pa.array([x[i] for x in made], kind) for i, kind in enumerate(kinds)], names=["id", "hashes", "counts", "size", "total", "bands"]
                 )
 
-    return rows.mapInArrow(work, "id bigint, hashes binary, distinct binary, total double, bands binary").dropDuplicates(["id"])
+    return rows.mapInArrow(work, "id bigint, hashes binary, counts binary, size bigint, total double, bands binary").dropDuplicates(["id"])
 
 
 def own_weight(sets: DataFrame) -> DataFrame:
-    """id, own: the weight of the shingles that no other of the sets has."""
+    """id, own and own_more: the number of the shingles that no other of the sets has, and what they weigh beyond 1 each."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,13 +204,13 @@ def own_weight(sets: DataFrame) -> DataFrame:
                     {
                         "shingle": pa.array(np.concatenate(hashes)),
                         "id": pa.array(np.repeat(part.column(0).to_numpy(), [len(x) for x in hashes])),
-                        "words": pa.array(np.concatenate([np.frombuffer(x, dtype=np.uint8) for x in part.column(2).to_pylist()]).astype(np.int32)),
+                        "times": pa.array(np.concatenate([np.frombuffer(x, dtype="<u4") for x in part.column(2).to_pylist()]).astype(np.int64)),
                     }
                 )
 
-    each = sets.select("id", "hashes", "distinct").mapInArrow(work, "shingle bigint, id bigint, words int")
-    alone = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("id"), F.max("words").alias("words"))
-    return alone.filter("n = 1").groupBy("id").agg((F.sum("words") / WORDS).alias("own"))
+    each = sets.select("id", "hashes", "counts").mapInArrow(work, "shingle bigint, id bigint, times bigint")
+    alone = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("id"), F.max("times").alias("times"))
+    return alone.filter("n = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own"), F.sum(F.ln("times")).alias("own_more"))
 
 
 def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -205,22 +220,22 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     n, and the centre's shingles are copied to each of them.
     """
     salts = lambda n: F.ceil(F.col(n) / PER_SALT).cast("bigint")
-    sets = sets.select("id", "hashes", "distinct")
+    sets = sets.select("id", "hashes", "counts")
     own = pairs.withColumn("salt", F.pmod(F.xxhash64("id"), salts("n"))).join(sets, "id")
     centers = pairs.groupBy("center").agg(F.max("n").alias("most"))
     copies = (
-        sets.select(F.col("id").alias("center"), F.col("hashes").alias("c_hashes"), F.col("distinct").alias("c_distinct"))
+        sets.select(F.col("id").alias("center"), F.col("hashes").alias("c_hashes"), F.col("counts").alias("c_counts"))
         .join(centers, "center")
         .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts("most") - 1)))
         .drop("most")
     )
-    both = own.join(copies, ["center", "salt"]).select("center", "id", "hashes", "distinct", "c_hashes", "c_distinct")
+    both = own.join(copies, ["center", "salt"]).select("center", "id", "hashes", "counts", "c_hashes", "c_counts")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        as_set = lambda h, d: (np.frombuffer(h, dtype=np.uint64), weights(np.frombuffer(d, dtype=np.uint8)))
+        as_set = lambda h, c: (np.frombuffer(h, dtype=np.uint64), weights(np.frombuffer(c, dtype="<u4")))
         for batch in batches:
             rows = zip(*(batch.column(i) for i in range(2, 6)), strict=True)
-            found = [likeness(*as_set(h.as_py(), d.as_py()), *as_set(ch.as_py(), cd.as_py())) for h, d, ch, cd in rows]
+            found = [likeness(*as_set(h.as_py(), c.as_py()), *as_set(ch.as_py(), cc.as_py())) for h, c, ch, cc in rows]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["center", "id", "likeness"])
 
     return written(both.mapInArrow(work, "center bigint, id bigint, likeness double"), "compared")
@@ -249,9 +264,14 @@ def classify(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
-def _reachable(s: Column, t: Column, other: Column) -> Column:
-    """Whether a node of weights s and t can be 0.8 like one of weight `other`, or more."""
-    return s >= (THRESHOLD - 1e-9) * (t + other - s)
+def _reachable(t, u, other_t, v):
+    """Whether sets of weights t and other_t, of which u and v at most are common, can be 0.8 alike or more."""
+    return (u > 0) & (u * v >= (THRESHOLD - 1e-9) * (t * v + other_t * u - u * v))
+
+
+def _most(common: str, other: str, more: str) -> Column:
+    """The most that the shingles common to two nodes can weigh in the one with `more`."""
+    return F.least(common, other) + F.col(more)
 
 
 def _labels(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -262,19 +282,28 @@ def _labels(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     wanted = shared.groupBy("id").agg(F.max("n").alias("most"))
     sets = written(shingle_sets(docs, nodes.select("id", "node", "rep", "bands").join(wanted, "id")), "shingles")
     crowded = sets.join(wanted.filter("most > 2").select("id"), "id", "left_semi")
-    shares = (F.col("total") - F.coalesce("own", F.lit(0.0))).alias("common")
-    profile = sets.select("id", "total").join(own_weight(crowded), "id", "left").select("id", "total", shares)
+    profile = sets.select("id", "size", "total").join(own_weight(crowded), "id", "left").na.fill(0, ["own", "own_more"])
     # Only members of crowded buckets have been searched for common shingles.
-    spread = shared.join(profile, "id").withColumn("common", F.when(F.col("n") > 2, F.col("common")).otherwise(F.col("total")))
+    searched = F.col("n") > 2
+    spread = shared.join(profile, "id").select(
+        "id",
+        "bucket",
+        "n",
+        "total",
+        F.when(searched, F.col("size") - F.col("own")).otherwise(F.col("size")).alias("common"),
+        (F.col("total") - F.col("size") - F.when(searched, F.col("own_more")).otherwise(0.0)).alias("more"),
+    )
     spread = written(spread, "spread")
-    lows = spread.groupBy("bucket").agg(F.min("total").alias("low"), F.count(F.lit(1)).alias("n"))
+    # t' / v is least for the member that weighs least without x', given the greatest x', and is never under 1.
+    lows = spread.groupBy("bucket").agg(F.min(F.col("total") - F.col("more")).alias("low"), F.max("more").alias("high"), F.count(F.lit(1)).alias("n"))
     kept = by_hot_key(spread.drop("n"), written(lows, "least"), "bucket", "n", max(1, spread.count()))
-    spread = written(kept.filter(_reachable(F.col("common"), F.col("total"), F.col("low"))).drop("low"), "spread")
+    top = F.col("common") + F.col("high")
+    spread = written(kept.filter(_reachable(F.col("total"), _most("common", "common", "more"), F.greatest(F.col("low") + F.col("high"), top), top)).drop("low", "high"), "spread")
     # The centre of a bucket is the member that shares most of its weight.
-    centers = spread.groupBy("bucket").agg(F.max_by("id", F.col("common") / F.col("total")).alias("center"))
-    of_center = spread.select("bucket", F.col("id").alias("center"), F.col("total").alias("c_total"), F.col("common").alias("c_common"))
+    centers = spread.groupBy("bucket").agg(F.max_by("id", _most("common", "common", "more") / F.col("total")).alias("center"))
+    of_center = spread.select("bucket", F.col("id").alias("center"), F.col("total").alias("c_total"), F.col("common").alias("c_common"), F.col("more").alias("c_more"))
     chosen = written(centers.join(of_center, ["bucket", "center"]), "centers")
-    fits = _reachable(F.least("common", "c_common"), F.col("total"), F.col("c_total"))
+    fits = _reachable(F.col("total"), _most("common", "c_common", "more"), F.col("c_total"), _most("common", "c_common", "c_more"))
     asked = spread.join(chosen, "bucket").filter(F.col("id") != F.col("center")).filter(fits)
     links = compare(written(asked.groupBy("center", "id").agg(F.max("n").alias("n")), "pairs"), sets).filter(F.col("likeness") >= THRESHOLD)
     links = links.select(F.col("center").alias("a"), F.col("id").alias("b"))
@@ -309,7 +338,7 @@ def _rest(mixed: DataFrame, sets: DataFrame) -> DataFrame:
     every = lambda count: F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1))
     strays = mixed.filter("label > low").withColumn("stray", F.lit(True)).withColumn("i", part(rows)).withColumn("j", every(columns))
     others = mixed.withColumn("stray", F.lit(False)).withColumn("j", part(columns)).withColumn("i", every(rows))
-    placed = strays.unionByName(others).select("bucket", "i", "j", "stray", "id", "label", "common").join(sets, "id")
+    placed = strays.unionByName(others).select("bucket", "i", "j", "stray", "id", "label", "common", "more").join(sets, "id")
 
     def search(block: pd.DataFrame) -> pd.DataFrame:
         keys = np.frombuffer(b"".join(block["bands"]), dtype=np.int64).reshape(len(block), -1)
@@ -317,13 +346,13 @@ def _rest(mixed: DataFrame, sets: DataFrame) -> DataFrame:
         found = []
         stray = block["stray"].to_numpy(dtype=bool)
         members = np.flatnonzero(~stray)
-        label, common, total = (block[c].to_numpy() for c in ("label", "common", "total"))
+        label, common, more, total = (block[c].to_numpy() for c in ("label", "common", "more", "total"))
         as_set = [
-            (np.frombuffer(h, dtype=np.uint64), weights(np.frombuffer(d, dtype=np.uint8))) for h, d in zip(block["hashes"], block["distinct"], strict=True)
+            (np.frombuffer(h, dtype=np.uint64), weights(np.frombuffer(c, dtype="<u4"))) for h, c in zip(block["hashes"], block["counts"], strict=True)
         ]
         for x in np.flatnonzero(stray):
             least = np.minimum(common[x], common[members])
-            asked = (label[members] < label[x]) & (least >= (THRESHOLD - 1e-9) * (total[x] + total[members] - least))
+            asked = (label[members] < label[x]) & _reachable(total[x], least + more[x], total[members], least + more[members])
             asked &= ~(keys[members][:, :here] == keys[x, :here]).any(axis=1)  # not met in an earlier band
             for y in members[asked]:
                 if likeness(*as_set[x], *as_set[y]) >= THRESHOLD:

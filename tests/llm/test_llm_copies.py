@@ -86,9 +86,14 @@ def test_components_of_paths_stars_and_rings(spark):
 
 def weighted(text):
     words = text.split()
+    if not words:
+        return {}
     width = min(5, len(words))
-    each = [tuple(words[i : i + width]) for i in range(len(words) - width + 1)] if words else []
-    return {shingle: len(set(shingle)) / 5 for shingle in each}
+    counts = {}
+    for i in range(len(words) - width + 1):
+        key = tuple(words[i : i + width])
+        counts[key] = counts.get(key, 0) + 1
+    return {k: 1 + np.log(v) for k, v in counts.items()}
 
 
 def plain_likeness(a, b):
@@ -104,10 +109,8 @@ def test_likeness_equals_its_definition():
         x = [rng.choice("abc") for _ in range(rng.randint(1, 30))]
         y = x[: rng.randint(0, len(x))] + [rng.choice("abc") for _ in range(rng.randint(1, 12))]
         a, b = " ".join(x), " ".join(y)
-        (ea, da), (eb, db) = near.shingles(x), near.shingles(y)
-        found = near.likeness(ea, near.weights(da), eb, near.weights(db))
-        assert found == pytest.approx(plain_likeness(weighted(a), weighted(b)))
-        assert found == pytest.approx(common_share(weighted(a), weighted(b)))
+        (ea, ca), (eb, cb) = near.shingles(x), near.shingles(y)
+        assert near.likeness(ea, near.weights(ca), eb, near.weights(cb)) == pytest.approx(plain_likeness(weighted(a), weighted(b)))
 
 
 def test_registers_agree_as_often_as_the_likeness_says():
@@ -116,7 +119,7 @@ def test_registers_agree_as_often_as_the_likeness_says():
     for _ in range(40):
         shared = rng.integers(1, 2**63, 60).astype(np.uint64)
         a, b = np.unique(np.append(shared, rng.integers(1, 2**63, 15).astype(np.uint64))), np.unique(np.append(shared, rng.integers(1, 2**63, 10).astype(np.uint64)))
-        wa, wb = (0.2 + x % np.uint64(5) / 5 for x in (a, b))  # a shingle weighs the same wherever it stands
+        wa, wb = rng.uniform(1, 4, len(a)), rng.uniform(1, 4, len(b))
         both = near.signatures(np.append(a, b), np.repeat([0, 1], [len(a), len(b)]), np.append(wa, wb), 2)
         agreed.append((both[0] == both[1]).mean())
         wanted.append(near.likeness(a, wa, b, wb))
@@ -124,12 +127,10 @@ def test_registers_agree_as_often_as_the_likeness_says():
     assert np.corrcoef(agreed, wanted)[0, 1] > 0.5
 
 
-def common_share(a, b):
-    """The likeness of sets whose common shingles weigh the same, as they do in texts."""
-    if not a or not b:
-        return float(not a and not b)
-    common = sum(w for d, w in a.items() if d in b)
-    return common / (sum(a.values()) + sum(b.values()) - common)
+def at_most(a, b):
+    """A quick upper bound of the likeness: a term is no more than either share of its shingle."""
+    every, other = sum(a.values()), sum(b.values())
+    return sum(min(w / every, b[d] / other) for d, w in a.items() if d in b) if a and b else 1.0
 
 
 def brute_classes(rows):
@@ -137,7 +138,7 @@ def brute_classes(rows):
     sets = [weighted(r[1] or "") for r in rows]
     label = list(range(len(rows)))
     for i, j in combinations(range(len(rows)), 2):
-        if label[i] != label[j] and common_share(sets[i], sets[j]) >= 0.8:
+        if label[i] != label[j] and at_most(sets[i], sets[j]) >= 0.79 and plain_likeness(sets[i], sets[j]) >= 0.8:
             old, new = label[j], label[i]
             label = [new if x == old else x for x in label]
     smallest, size = {}, {}
@@ -190,6 +191,44 @@ def test_crowded_buckets_lose_no_link(spark):
     assert sorted((tuple(r) for r in near.classify(documents(spark, rows=rows)).collect()), key=str) == brute_classes(rows)
 
 
+def repeated_rows():
+    """Texts of one set of shingles, or nearly, that differ in how often a part of them occurs."""
+    rng, rows = random.Random(50), []
+    for n in range(6):
+        first, second = ([f"{c}{n}x{i}" for i in range(rng.randint(12, 30))] for c in "pq")
+        for _ in range(14):
+            words = first * rng.choice([1, 2, 3, 8, 20, 60]) + second * rng.choice([1, 2, 3, 8, 20, 60])
+            for _ in range(rng.randint(0, 2)):
+                words[rng.randrange(len(words))] = f"x{rng.randint(0, 10**6)}"
+            rows.append((len(rows), " ".join(words), "en", "s", 0))
+    return rows
+
+
+def test_how_often_a_shingle_occurs_counts(spark):
+    base, more = [f"a{i}" for i in range(30)], [f"b{i}" for i in range(30)]
+    rows = [(0, " ".join(base + more), "en", "s", 0), (1, " ".join(base * 40 + more), "en", "s", 0), (2, " ".join(base * 41 + more), "en", "s", 0)]
+    found = {r["doc_id"]: r["class_id"] for r in near.classify(documents(spark, rows=rows)).collect()}
+    assert found == {0: 0, 1: 1, 2: 1}
+
+
+def test_repeated_shingles_equal_brute_force(spark):
+    rows = repeated_rows()
+    wanted = brute_classes(rows)
+    assert 12 < len({r[1] for r in wanted}) < 70
+    assert sorted((tuple(r) for r in near.classify(documents(spark, rows=rows)).collect()), key=str) == wanted
+
+
+def test_bound_holds_for_unequal_weights():
+    rng = np.random.default_rng(3)
+    for _ in range(2000):
+        a, b = (np.flatnonzero(rng.random(12) < rng.uniform(0.6, 1)).astype(np.uint64) for _ in range(2))
+        wa, wb = (near.weights(np.ceil(rng.exponential(rng.choice([0.5, 3, 30]), len(x)))) for x in (a, b))
+        k = len(np.intersect1d(a, b))
+        more = [(w[np.isin(x, y)] - 1).sum() for x, w, y in ((a, wa, b), (b, wb, a))]
+        if near.likeness(a, wa, b, wb) >= 0.8:
+            assert near._reachable(wa.sum(), k + more[0], wb.sum(), k + more[1])
+
+
 @pytest.mark.parametrize("clashing", [False, True])
 def test_awkward_documents(spark, clashing):
     docs = documents(spark, clashing)
