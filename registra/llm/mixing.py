@@ -3,12 +3,15 @@
 A naive Bayes classifier, learnt from the documents of the labelled table, gives each document a
 probability for every domain. Document i then gives r_i * n_i * p_id expected tokens to domain d, at
 a rate r_i >= 0 of copies. The rates minimise the weighted squares of (expected tokens - target) over all domains
-by projected gradient steps; a step is one aggregation that brings two sums per
-domain to the driver. Everything else stays in DataFrame expressions.
+and, of those that do, differ least from 1. Such rates are a bounded linear function of a document's chances, with one
+number per domain, which Newton steps find; a step is an aggregation or two that bring a few sums per
+pair of domains to the driver. Everything else stays in DataFrame expressions. Every result tells the shares its rates
+give and whether they meet the targets; if not, there is a warning too.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
@@ -21,6 +24,10 @@ from registra.llm.common import unused, whole_text, written
 
 # At most so many words of a document count as evidence; the mean of all stands for them.
 EVIDENCE = 8
+# Weight of (rate - 1)^2 against the squares of the domains' gaps.
+EASE = 1e-7
+# Targets are met if no domain's expected share is further off.
+CLOSE = 1e-3
 
 
 def words(text: Column) -> Column:
@@ -104,16 +111,19 @@ def fit_rates(
     tolerance: float = 1e-6,
     most_steps: int = 60,
 ) -> DataFrame:
-    """`chances` (a written table with n_rows, n_words, p_0, ...) and a column `rate`.
+    """`chances` (a written table with n_rows, n_words, p_0, ...) and the columns `rate`, share_0, ... and `met`.
 
     `targets` are the domains' shares, in order of name. `tokens` is the expected total; by
     default a twentieth over the least for which no domain has to shrink. Rates stay between
     `least` and `most`; with `least` = 1 no document is lost. Domains without any
-    token are left out of the targets. Steps are scaled by the documents' lengths, so long and short documents of
-    a kind get the same rate; their size is one over the largest eigenvalue of the small matrix of
-    domains, and each starts from a point ahead in the direction of the last one, or from
-    the rates themselves after a step that made things worse. They end when every domain is within `tolerance` of the
-    total, or ten steps have gained next to nothing. No tokens at all leave every rate at `least` or 1.
+    token are left out of the targets. With gaps weighted by D^-1, D the diagonal of the domains' matrix, the rates
+    are r = start + p . y between the bounds, where y minimises the convex
+    sum of n_i H(start + p_i . y) - goal . y + EASE / 2 * y . D y, H the integral of the bounded rate. Newton steps on it
+    are halved until they gain; they end when its slope is within `tolerance` of the total in
+    every domain. No tokens at all leave every rate at `least` or 1.
+
+    share_0, ... are the domains' parts of the expected tokens at these rates, and `met` says whether all are within
+    0.001 of the targets (of the domains that have tokens) and so is their total, by part; without tokens all are NULL.
     """
     d = range(len(targets))
     weight = F.col("n_rows") * F.col("n_words")
@@ -123,37 +133,66 @@ def fit_rates(
     ).first()
     held = np.array([gram[f"s_{i}"] or 0.0 for i in d])
     start = max(1.0, least)
-    state = chances.withColumn("rate", F.lit(start)).withColumn("ahead", F.lit(start))
     live = held > 1e-9 * max(held.sum(), 1e-300)
     wanted = np.where(live, np.array(targets, dtype=float), 0.0)
     if not wanted.sum():
-        return state.drop("ahead")
+        return _told(chances.withColumn("rate", F.lit(start)), [None] * len(targets), None)
     wanted /= wanted.sum()
     total = tokens if tokens is not None else 1.05 * max(held[i] / wanted[i] for i in d if wanted[i] > 0)
     goal = wanted * total
     matrix = np.array([[gram[f"g_{i}_{j}"] or 0.0 for j in d] for i in d])
-    scale = np.where(live, 1 / np.maximum(np.diag(matrix), 1e-300), 0.0)
-    step = 1 / np.linalg.eigvalsh(np.sqrt(scale)[:, None] * matrix * np.sqrt(scale)[None, :]).max()
-    sums = [F.sum(F.col(c) * weight * F.col(f"p_{i}")).alias(f"{c}_{i}") for c in ("rate", "ahead") for i in d]
-    gaps = {"rate": start * held - goal, "ahead": start * held - goal}
-    losses = [float(scale @ gaps["rate"] ** 2)]
-    momentum = 1.0
-    for count in range(1, most_steps + 1):
-        if np.abs(gaps["rate"]).max() <= tolerance * total or (count > 10 and losses[-11] - losses[-1] <= 1e-6 * losses[-1]):
+    spring = EASE * np.where(live, np.diag(matrix), np.diag(matrix).max())
+
+    def bounded(y: np.ndarray) -> tuple[Column, Column]:
+        free = reduce(Column.__add__, [F.col(f"p_{i}") * F.lit(float(y[i])) for i in d], F.lit(start))
+        return free, F.greatest(F.lit(least), free if most is None else F.least(F.lit(most), free))
+
+    def value(y: np.ndarray, name: str) -> Column:
+        free, rate = bounded(y)
+        return F.sum(weight * (rate * free - rate * rate / 2)).alias(name)
+
+    def at(y: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """The function at y, the tokens of each domain and the function's second derivatives."""
+        free, rate = bounded(y)
+        bent = F.when(free == rate, weight).otherwise(0.0)
+        row = chances.agg(
+            value(y, "value"),
+            *[F.sum(weight * rate * F.col(f"p_{i}")).alias(f"t_{i}") for i in d],
+            *[F.sum(bent * F.col(f"p_{i}") * F.col(f"p_{j}")).alias(f"h_{i}_{j}") for i in d for j in d if i <= j],
+        ).first()
+        second = np.array([[row[f"h_{min(i, j)}_{max(i, j)}"] for j in d] for i in d])
+        return whole(row["value"], y), np.array([row[f"t_{i}"] for i in d]), second + np.diag(spring)
+
+    def whole(summed: float, y: np.ndarray) -> float:
+        return summed - goal @ y + spring @ y**2 / 2
+
+    y = np.zeros(len(targets))
+    loss, given, second = at(y)
+    for _ in range(most_steps):
+        slope = given - goal + spring * y
+        if np.abs(slope).max() <= tolerance * total:
             break
-        pull = step * scale * gaps["ahead"]
-        moved = F.col("ahead") - reduce(Column.__add__, [F.col(f"p_{i}") * F.lit(float(pull[i])) for i in d])
-        fresh = F.greatest(F.lit(least), moved if most is None else F.least(F.lit(most), moved))
-        grown = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
-        state = state.withColumn("fresh", fresh).withColumn("ahead", F.col("fresh") + F.lit((momentum - 1) / grown) * (F.col("fresh") - F.col("rate")))
-        state = written(state.drop("rate").withColumnRenamed("fresh", "rate"), "mix-rates")
-        row = state.agg(*sums).first()
-        gaps = {c: np.array([row[f"{c}_{i}"] or 0.0 for i in d]) - goal for c in ("rate", "ahead")}
-        losses.append(float(scale @ gaps["rate"] ** 2))
-        momentum = grown
-        if losses[-1] > losses[-2]:
-            state, gaps["ahead"], momentum = state.withColumn("ahead", F.col("rate")), gaps["rate"], 1.0
-    return state.drop("ahead")
+        move = -np.linalg.solve(second, slope)
+        found = at(y + move)
+        size = 1.0
+        if found[0] > loss + 1e-4 * (slope @ move) and np.abs(found[1] - goal + spring * (y + move)).max() > 0.5 * np.abs(slope).max():
+            sizes = [0.5**k for k in range(1, 31)]
+            row = chances.agg(*[value(y + size * move, f"v_{k}") for k, size in enumerate(sizes)]).first()
+            size = min(zip([whole(row[k], y + size * move) for k, size in enumerate(sizes)], sizes, strict=True))[1]
+            found = at(y + size * move)
+            if found[0] >= loss:  # nothing to gain but rounding
+                break
+        y, (loss, given, second) = y + size * move, found
+    shares = given / given.sum() if given.sum() > 0 else 0 * given
+    met = bool(np.abs(shares - wanted).max() <= CLOSE and abs(given.sum() - total) <= CLOSE * total)
+    if not met:
+        warnings.warn(f"rates miss their targets: expected shares {shares.round(4).tolist()} for {wanted.round(4).tolist()}, {given.sum():.0f} tokens for {total:.0f}", stacklevel=2)
+    return _told(chances.withColumn("rate", bounded(y)[1]), shares.tolist(), met)
+
+
+def _told(state: DataFrame, shares: list[float | None], met: bool | None) -> DataFrame:
+    told = {f"share_{i}": F.lit(share).cast("double") for i, share in enumerate(shares)}
+    return state.withColumns(told | {"met": F.lit(met).cast("boolean")})
 
 
 def copies(rate: Column, key: list[Column], seed: int = 0) -> Column:
@@ -163,16 +202,18 @@ def copies(rate: Column, key: list[Column], seed: int = 0) -> Column:
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: str = "lang", **bounds: float | None) -> DataFrame:
-    """A row per document: doc_id, n_words, p_<domain> for each, rate, copies.
+    """A row per document: doc_id, n_words, p_<domain> for each, rate, copies, share_<domain> for each, met.
 
     NULL text counts as empty, has no words and the priors' chances; NULL domains and doc_ids teach nothing;
     rows that repeat get the same rate and copies each; other columns are not looked at. `bounds` go to
-    `fit_rates`: tokens, least, most.
+    `fit_rates`: tokens, least, most. share_<domain> and met are the same in all rows: the expected shares of
+    the mixture and whether they meet the targets.
     """
     rates = _rates(docs, labels, targets, domain, bounds)
     names = sorted(targets)
     each = rates.withColumn("again", F.explode(F.sequence(F.lit(1).cast("bigint"), "n_rows")))
-    return each.select("doc_id", "n_words", *[F.col(f"p_{i}").alias(f"p_{name}") for i, name in enumerate(names)], "rate", "copies")
+    of = lambda what: [F.col(f"{what}_{i}").alias(f"{what}_{name}") for i, name in enumerate(names)]
+    return each.select("doc_id", "n_words", *of("p"), "rate", "copies", *of("share"), "met")
 
 
 def _rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: str, bounds: dict[str, float | None]) -> DataFrame:

@@ -43,14 +43,14 @@ def test_expected_tokens_meet_the_targets(spark):
     assert np.mean([langs[i] == b for i, b in zip(long["doc_id"], best, strict=True)]) > 0.95
 
 
-def plain_projected_gradient(weight, chances, goal, rate, steps=4000):
+def plain_projected_gradient(weight, chances, goal, rate, steps=4000, least=0):
     """The same objective, minimised by many short steps on plain arrays."""
     gram = (chances * weight[:, None]).T @ chances
     scale = 1 / np.diag(gram)
     step = 0.5 / np.linalg.eigvalsh(np.sqrt(scale)[:, None] * gram * np.sqrt(scale)).max()
     for _ in range(steps):
         gap = (rate * weight) @ chances - goal
-        rate = np.maximum(0, rate - step * chances @ (scale * gap))
+        rate = np.maximum(least, rate - step * chances @ (scale * gap))
     return ((rate * weight) @ chances - goal) @ np.diag(scale) @ ((rate * weight) @ chances - goal)
 
 
@@ -61,14 +61,50 @@ def test_rates_minimise_the_objective(spark, targets):
     n = rng.integers(0, 50, 200)
     frame = spark.createDataFrame([(i, int(n[i]), 1, *map(float, chances[i])) for i in range(200)], "doc_id bigint, n_words bigint, n_rows bigint, p_0 double, p_1 double, p_2 double, p_3 double")
     tokens = float(n.sum())
-    found = mixing.fit_rates(written(frame, "chances-test"), targets, tokens, most_steps=25).orderBy("doc_id").toPandas()
+    found = mixing.fit_rates(written(frame, "chances-test"), targets, tokens).orderBy("doc_id").toPandas()
     rate = found["rate"].to_numpy()
     assert (rate >= 0).all()
     goal = np.array(targets) * tokens
     gram = (chances * n[:, None]).T @ chances
     gap = (rate * n) @ chances - goal
     own = gap @ np.diag(1 / np.diag(gram)) @ gap
-    assert own <= plain_projected_gradient(n.astype(float), chances, goal, np.ones(200)) + 5e-3 * tokens
+    assert own <= plain_projected_gradient(n.astype(float), chances, goal, np.ones(200)) + 1e-3 * tokens
+
+
+def skewed(n=3000, seed=22):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        lang = rng.choices(list(WORDS), weights=[90, 4, 4, 1.5])[0]
+        words = [rng.choice(WORDS[lang if rng.random() < 0.95 else rng.choice(list(WORDS))]) for _ in range(rng.randint(0, 60))]
+        rows.append((i, " ".join(words), lang, "s", 0))
+    return rows
+
+
+def test_a_rare_language_reaches_its_target(spark):
+    rows = skewed()
+    found = mixing.mix(documents(spark, rows=rows), all_labels(spark, rows), TARGETS, **RATES).toPandas()
+    names = sorted(TARGETS)
+    chances, n, rate = found[[f"p_{d}" for d in names]].to_numpy(), found["n_words"].to_numpy(dtype=float), found["rate"].to_numpy()
+    assert 0.01 < (n @ chances / n.sum())[names.index("fr")] < 0.02
+    expected = (rate * n) @ chances
+    assert rate.min() >= 1 and rate.max() > 8
+    assert expected / expected.sum() == pytest.approx([TARGETS[d] for d in names], abs=1e-3)
+    assert found["met"].all()
+    assert found[[f"share_{d}" for d in names]].iloc[0].to_numpy() == pytest.approx(expected / expected.sum(), abs=1e-9)
+    # Brute force with the production bounds does no better.
+    wanted = np.array([TARGETS[d] for d in names])
+    goal = wanted * 1.05 * (n @ chances / wanted).max()
+    scale = 1 / np.diag((chances * n[:, None]).T @ chances)
+    gap, plain = expected - goal, plain_projected_gradient(n, chances, goal, np.ones(len(n)), least=RATES["least"])
+    assert scale @ gap**2 <= plain + 1e-6 * scale @ goal**2
+
+
+def test_missed_targets_are_told(spark):
+    rows = skewed(600)
+    with pytest.warns(UserWarning, match="miss their targets"):
+        found = mixing.mix(documents(spark, rows=rows), all_labels(spark, rows), TARGETS, least=1.0, most=2.0).first()
+    assert found["met"] is False and found["share_fr"] < 0.1
 
 
 def test_copies_have_the_rate_as_mean(spark):
