@@ -101,10 +101,16 @@ def hr_positions(ids: DataFrame, seed: int = SEED) -> DataFrame:
     )
 
 
-def _one_of(ids: DataFrame, drawn: Column) -> Column:
-    """One of the ids, in ascending order; a short list that a table of few rows bounds."""
-    listed = ids.agg(F.array_sort(F.collect_list(F.col("id").cast("int"))).alias("ids")).scalar()
-    return F.element_at(listed, between(drawn, F.lit(1), F.size(listed)).cast("int"))
+def _with_one_of(rows: DataFrame, ids: DataFrame, drawn: Column, out: str) -> DataFrame:
+    """Adds one of the ids (id), by its place in ascending order; NULL where there are none.
+
+    Ids are numbered as a table and met by an equi-join on the place, which Spark splits where few ids have
+    very many rows; only their count goes to all tasks.
+    """
+    key = F.col("id").cast("bigint")
+    numbered = ranking.global_rank(ids.select(key.alias(out)), [F.asc(out)], "_rank").select(out, (F.col("_rank") + 1).alias("_place"))
+    many = F.greatest(ids.agg(F.count(F.lit(1))).scalar(), F.lit(1).cast("bigint"))
+    return rows.withColumn("_place", between(drawn, F.lit(1), many)).join(numbered, "_place", "left").drop("_place")
 
 
 def hr_employees(ids: DataFrame, departments: DataFrame, positions: DataFrame, as_of: date, seed: int = SEED) -> DataFrame:
@@ -117,7 +123,9 @@ def hr_employees(ids: DataFrame, departments: DataFrame, positions: DataFrame, a
         _born(draw(seed, "employee.birth", key), as_of, 18, 70).alias("birth_date"),
         *_contact(seed, "employee", key),
     )
-    return born.select(
+    placed = _with_one_of(born, departments, draw(seed, "employee.department", key), "department_id")
+    placed = _with_one_of(placed, positions, draw(seed, "employee.position", key), "position_id")
+    return placed.select(
         key.cast("int").alias("employee_id"),
         "last_name",
         "first_name",
@@ -129,8 +137,8 @@ def hr_employees(ids: DataFrame, departments: DataFrame, positions: DataFrame, a
         "email",
         day_between(draw(seed, "employee.hire", key), F.date_add("birth_date", DAYS_TO_18), F.lit(as_of)).alias("hire_date"),
         pick_weighted(draw(seed, "employee.status", key), STATUSES, STATUS_CHANCES).alias("status"),
-        _one_of(departments, draw(seed, "employee.department", key)).alias("department_id"),
-        _one_of(positions, draw(seed, "employee.position", key)).alias("position_id"),
+        "department_id",
+        "position_id",
         between(draw(seed, "employee.salary", key), 40_000, 150_000).cast("int").alias("salary"),
     )
 

@@ -96,3 +96,13 @@ def test_staff_belongs_to_given_ids(spark):
     staff = synth.hr_employees(synth.ids_up_to(spark, 300), departments, positions, TODAY)
     found = staff.agg(F.array_sort(F.collect_set("department_id")), F.array_sort(F.collect_set("position_id"))).first()
     assert (found[0], found[1]) == given
+
+
+def test_department_ids_are_joined_and_keep_their_width(spark):
+    given = [2**31 + 5, 2**40, 7], [3 * 2**31, 12]
+    departments, positions = (spark.createDataFrame([(i,) for i in ids], "id bigint") for ids in given)
+    staff = synth.hr_employees(synth.ids_up_to(spark, 300), departments, positions, TODAY)
+    found = staff.agg(F.array_sort(F.collect_set("department_id")), F.array_sort(F.collect_set("position_id"))).first()
+    assert (found[0], found[1]) == tuple(sorted(ids) for ids in given)
+    assert staff.count() == 300
+    assert "collect_list" not in staff._jdf.queryExecution().toString()
