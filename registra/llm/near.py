@@ -146,6 +146,10 @@ def likeness(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> fl
     return float((1.0 / (above / xa + below / xb)).sum())
 
 
+def _node(words: list[str]) -> bytes:
+    return xxhash.xxh3_128_digest(" ".join(words).encode())
+
+
 def sign(docs: DataFrame) -> DataFrame:
     """doc_id, node (a 128-bit hash of the word sequence), bands (none for a text without words)."""
 
@@ -153,7 +157,7 @@ def sign(docs: DataFrame) -> DataFrame:
         nodes, elements, heavy = [], [], []
         for text in texts:
             words = text.split()
-            nodes.append(xxhash.xxh3_128_digest(" ".join(words).encode()))
+            nodes.append(_node(words))
             found, counts = shingles(words)
             elements.append(found)
             heavy.append(weights(counts))
@@ -182,7 +186,7 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 made = []
                 for key, node, keys, text in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
                     words = text.split()
-                    if xxhash.xxh3_128_digest(" ".join(words).encode()) == node:  # rows may share a doc_id
+                    if _node(words) == node:  # rows may share a doc_id
                         hashes, counts = shingles(words)
                         own = np.array(keys, dtype=np.int64).tobytes()
                         made.append((key, hashes.tobytes(), counts.astype("<u4").tobytes(), len(hashes), float(weights(counts).sum()), own))
@@ -248,6 +252,11 @@ def classify(docs: DataFrame) -> DataFrame:
     words are one class. NULL text counts as empty; NULL doc_ids are only a class's id if it has no other;
     rows that repeat a doc_id and text are all marked kept. Other columns are not looked at.
     """
+    return _classified(docs).drop("node")
+
+
+def _classified(docs: DataFrame) -> DataFrame:
+    """What `classify` gives, and the node of each row."""
     signed = written(sign(docs), "signatures")
     total = signed.count()
     nodes = written(
@@ -261,7 +270,7 @@ def classify(docs: DataFrame) -> DataFrame:
     groups = named.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"))
     classes = written(by_hot_key(named, written(groups.join(named.groupBy("label").agg(F.count(F.lit(1)).alias("n_nodes")), "label"), "classes"), "label", "n_nodes", nodes.count()).select("node", "copies", "class_id", "class_size"), "node-classes")
     rows = by_hot_key(signed.select("doc_id", "node"), classes, "node", "copies", total)
-    return rows.select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    return rows.select("doc_id", "node", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
 def _reachable(t, u, other_t, v):
@@ -365,9 +374,16 @@ def _rest(mixed: DataFrame, sets: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, with all their columns, whose document is kept of its class.
 
-    Rows that repeat a doc_id are told apart by nothing but their class, so documents should
-    have distinct doc_ids; exact copies are best dropped before.
+    Rows are told apart by doc_id and word sequence, so rows that share a doc_id, or have none, stay or go each
+    with their own class. Rows that repeat both all stay; exact copies are best dropped before.
     """
-    own = unused(docs, "kept_id")
-    kept = classify(docs).filter("kept").select(F.col("doc_id").alias(own)).distinct()
-    return docs.join(kept, docs["doc_id"].cast("bigint").eqNullSafe(kept[own]), "left_semi")
+    own, node, text = unused(docs, "kept_id"), unused(docs, "kept_node"), unused(docs, "node_text")
+    kept = _classified(docs).filter("kept").select(F.col("doc_id").alias(own), F.col("node").alias(f"{node}_")).distinct()
+    rows = map_texts(
+        docs.select(*[docs[f"`{c}`"] for c in docs.columns], whole_text(docs).alias(text)),
+        lambda texts: [(_node(t.split()),) for t in texts],
+        [(node, pa.binary())],
+        f"`{node}` binary",
+    )
+    same = rows["doc_id"].cast("bigint").eqNullSafe(kept[own]) & (rows[node] == kept[f"{node}_"])
+    return rows.join(kept, same, "left_semi").drop(node)

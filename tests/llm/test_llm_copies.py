@@ -238,5 +238,13 @@ def test_awkward_documents(spark, clashing):
     assert {r["doc_id"] for r in kept.collect()} >= {1, 3, 6, 7, 8, 9, None}
 
 
+def test_rows_of_one_number_or_none_go_with_their_own_class(spark):
+    base = [f"w{i}" for i in range(60)]
+    near_copy = lambda n: " ".join([*base[:-1], f"end{n}"])
+    rows = [(1, " ".join(base)), (None, near_copy(1)), (None, "stands alone without a number"), (5, near_copy(2)), (5, "stands alone under a number used twice")]
+    docs = documents(spark, rows=[(*r, "en", "s", 0) for r in rows])
+    assert {(r["doc_id"], r["text"]) for r in near.drop_near_copies(docs).collect()} == {rows[0], rows[2], rows[4]}
+
+
 def test_no_documents_no_classes(spark):
     assert near.classify(spark.createDataFrame([], SCHEMA)).count() == 0
