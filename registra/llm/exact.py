@@ -181,7 +181,7 @@ def drop_copies(docs: DataFrame) -> DataFrame:
         winners, rows["doc_id"].cast("bigint").eqNullSafe(winners[own]) & (rows[key] == winners[f"{key}_"]), "left_semi"
     )
     again = unused(kept, "copy_number")
-    order = Window.partitionBy("doc_id", key).orderBy(*[F.col(f"`{c}`").cast("string") for c in docs.columns if c not in ("doc_id", "text")])
-    if len(docs.columns) > 2 and not groups.filter("NOT kept AND doc_id <=> keep_id").isEmpty():
+    order = Window.partitionBy("doc_id", key).orderBy(*[F.col(f"`{c}`").cast("string") for c in docs.columns if c not in ("doc_id", "text")], F.col("text").cast("string"))
+    if not groups.filter("NOT kept AND doc_id <=> keep_id").isEmpty():
         kept = kept.withColumn(again, F.row_number().over(order)).filter(F.col(again) == 1)
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -59,6 +59,12 @@ def test_one_row_of_each_group_stays(spark, clashing):
     assert {r["doc_id"] for r in rows} == {1, 3, 5, 6, 7, 8, 9, None}
 
 
+def test_one_row_stays_of_a_table_of_numbers_and_texts(spark):
+    rows = [(1, "same  text"), (1, "same text"), (2, "same text"), (3, "other"), (3, "other"), (None, "none"), (None, "none")]
+    kept = exact.drop_copies(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((str(r["doc_id"]), sha(r["text"])) for r in kept) == [("1", sha("same text")), ("3", sha("other")), ("None", sha("none"))]
+
+
 def test_hot_text_and_random_ids(spark):
     rng = random.Random(4)
     rows = [(rng.randint(-500, 500) if rng.random() < 0.98 else None, rng.choice(["hot", "hot", f"t {rng.randint(0, 200)}"]), "en", "s", 0) for _ in range(3000)]
