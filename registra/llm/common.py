@@ -67,7 +67,7 @@ def by_hot_key(rows: DataFrame, classes: DataFrame, key: str, size: str, total:
 def hash_sample(rows: DataFrame, among: int, sample: int, spread: int = 64) -> DataFrame:
     """At most `sample` rows, those with the smallest content hash: the same at any order and partitioning.
 
-    `among` is the number of rows before any filter. Only hashes below a bound that leaves about
+    `among` is the number of rows, after filters if the sample is to be full. Only hashes below a bound that leaves about
     `spread` times the sample are compared, so a task sends few of them; the rows themselves are fetched
     by the hashes found. Where filters leave under one in `spread` rows the sample is smaller.
     """

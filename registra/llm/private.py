@@ -282,7 +282,7 @@ def fit(docs: DataFrame, sample: int = 200, most_chars: int = 4000) -> SpanModel
     at sign, a plus sign before a digit, or four digits in a row: those whose content hash is smallest."""
     texts = docs.select("doc_id", whole_text(docs).alias("text"))
     hinted = texts.filter((F.length("text") <= most_chars) & F.col("text").rlike(r"@|\+[0-9]|[0-9]{4}"))
-    chosen = hash_sample(hinted, docs.count(), sample).collect()
+    chosen = hash_sample(hinted, hinted.count(), sample).collect()
     return train(sorted(row["text"] for row in chosen))
 
 

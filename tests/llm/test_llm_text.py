@@ -7,6 +7,7 @@ from itertools import product
 import numpy as np
 import pytest
 from edge_tables import LONG, ROWS, documents, labels
+from pyspark.sql import functions as F
 
 from registra.llm import fingerprints, private, quality, secrets
 
@@ -318,3 +319,11 @@ def test_one_document_follows_itself(spark):
     row = fingerprints.with_next(documents(spark, rows=ROWS[:1])).collect()
     assert len(row) == 1 and row[0]["near_next"] == 1.0
     assert fingerprints.with_next(documents(spark, rows=[])).count() == 0
+
+
+def test_rare_hints_in_a_large_table_all_teach(spark, monkeypatch):
+    text = F.when(F.col("id") % 3333 == 0, F.concat(F.lit("call +49 170 1234567 or "), F.col("id").cast("string"))).otherwise("no hint")
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    monkeypatch.setattr(private, "train", lambda texts: texts)
+    assert len(private.fit(docs)) == 13
+    assert len(private.fit(docs, sample=5)) == 5
