@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Callable, Iterable, Iterator
 from string import punctuation
@@ -24,6 +25,7 @@ __all__ = [
     "map_texts",
     "mix64",
     "new_path",
+    "of_text",
     "table",
     "unused",
     "whole_text",
@@ -67,9 +69,8 @@ def by_hot_key(rows: DataFrame, classes: DataFrame, key: str, size: str, total:
 def hash_sample(rows: DataFrame, among: int, sample: int, spread: int = 64) -> DataFrame:
     """At most `sample` rows, those with the smallest content hash: the same at any order and partitioning.
 
-    `among` is the number of rows, after filters if the sample is to be full. Only hashes below a bound that leaves about
-    `spread` times the sample are compared, so a task sends few of them; the rows themselves are fetched
-    by the hashes found. Where filters leave under one in `spread` rows the sample is smaller.
+    `among` is the number of rows. Only hashes below a bound that leaves about `spread` times the
+    sample are compared, so a task sends few of them; the rows themselves are fetched by the hashes found.
     """
     key = F.xxhash64(*rows.columns)
     share = min(1.0, spread * sample / max(1, among))
@@ -109,7 +110,8 @@ def map_texts(
 
 def parts(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about `size` bytes of one text or binary column, a row at least."""
-    ends = np.cumsum(batch.column(column).fill_null("" if pa.types.is_string(batch.column(column).type) else b"").to_pandas().map(len).to_numpy(dtype=np.int64))
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+    ends = np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64)
     first = 0
     while first < batch.num_rows:
         before = ends[first - 1] if first else 0
@@ -118,13 +120,32 @@ def parts(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBa
         first = last
 
 
+def of_text(work: Callable[[list[str]], Iterable], kind: pa.DataType, sql: str, size: int = 4_000_000) -> Callable[[Column], Column]:
+    """A column made of a text column alone, so no other column of the row leaves the JVM.
+
+    `work` gets the texts of about `size` bytes at once and gives a value per text.
+    """
+
+    @F.arrow_udf(sql)
+    def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for array in arrays:
+            batch = pa.RecordBatch.from_arrays([array], names=["text"])
+            made = [value for part in parts(batch, 0, size) for value in work(part.column(0).to_pylist())]
+            yield pa.array(made, kind)
+
+    return run
+
+
 class WordEncoder(dict):
     """Ids of whole texts by the tokenizers library, one call per distinct piece of text.
 
     Only for tokenizers that drop white space and never look across it: a text's ids are
     then those of its pieces between blanks, one after the other. Pieces map to their ids as
-    little-endian unsigned 32-bit numbers. About `limit` pieces are remembered, in two halves: when the
-    newer is full the older goes, and what is asked for again moves to the newer.
+    little-endian unsigned 32-bit numbers. At most `limit` pieces, and about `memory` bytes of them, are remembered, in
+    two halves: when the newer is full the older goes, and what is asked for again moves to the newer.
+
+    As the library does by default, the strings of special tokens are cut out of the raw text first, and are
+    these tokens; what stands between them is encoded on its own.
 
     For lower-casing tokenizers (`lower`) texts are lower-cased first where that changes no id:
     where text and lower case are both in normal form C and no capital sigma stands in it, whose
@@ -138,12 +159,17 @@ class WordEncoder(dict):
     HIDDEN = [b for b in range(256) if not (33 <= b < 127 or 161 <= b < 256 and b != 173)]
     BYTE_NAMES = {b: 256 + i for i, b in enumerate(HIDDEN)}
 
-    def __init__(self, path: str, limit: int = 600_000, lower: bool = True):
+    def __init__(self, path: str, limit: int = 600_000, lower: bool = True, memory: int = 100_000_000):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # A piece holds no special token; one that lower case turns into its string is ordinary text.
+        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        special = {t.content: struct.pack("<I", i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
+        self.special = special
+        self.cuts = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.half, self.lower = limit // 2, lower
+        self.half_bytes, self.used = memory // 2, 0
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
@@ -155,10 +181,12 @@ class WordEncoder(dict):
                 ids = self[stem] + self[piece[len(stem) :]]
             else:
                 ids = self.ask(piece)
-        if len(self) >= self.half:
+        if len(self) >= self.half or self.used >= self.half_bytes:
             self.older = dict(self)
             self.clear()
+            self.used = 0
         self[piece] = ids
+        self.used += 200 + 2 * len(piece) + len(ids)
         return ids
 
     def ask(self, piece: str) -> bytes:
@@ -182,6 +210,15 @@ class WordEncoder(dict):
         up once each; numpy puts the ids in place."""
         if not texts:
             return []
+        held = [i for i, text in enumerate(texts) if self.cuts.search(text)] if self.cuts else []
+        if held:
+            cut = [self.cuts.split(texts[i]) for i in held]  # in turn ordinary text and a special token's string
+            inside = set(held)
+            plain = self.encode(["" if i in inside else t for i, t in enumerate(texts)] + [t for own in cut for t in own[::2]])
+            out, rest = plain[: len(texts)], iter(plain[len(texts) :])
+            for i, own in zip(held, cut, strict=True):
+                out[i] = b"".join(self.special[t] if k % 2 else next(rest) for k, t in enumerate(own))
+            return out
         words = pc.split_pattern(pa.array([self.prepared(t) for t in texts], pa.large_string()), " ")
         coded = words.flatten().dictionary_encode()
         known = [self[piece] for piece in coded.dictionary.to_pylist()]

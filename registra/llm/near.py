@@ -49,14 +49,16 @@ _ODD = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8
 
 
 class _WordHashes(dict):
-    """64-bit hashes of words; past `limit` words the memory starts anew."""
+    """64-bit hashes of words; past about `memory` bytes the memory starts anew."""
 
-    limit = 400_000
+    memory, used = 64_000_000, 0
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= self.limit:
+        if self.used >= self.memory:
             self.clear()
+            self.used = 0
         value = self[word] = xxhash.xxh3_64_intdigest(word.encode())
+        self.used += 180 + len(word)
         return value
 
 
@@ -150,8 +152,12 @@ def _node(words: list[str]) -> bytes:
     return xxhash.xxh3_128_digest(" ".join(words).encode())
 
 
+def _text_key(docs: DataFrame) -> Column:
+    return F.xxhash64(whole_text(docs))
+
+
 def sign(docs: DataFrame) -> DataFrame:
-    """doc_id, node (a 128-bit hash of the word sequence), bands (none for a text without words)."""
+    """doc_id, text_key, node (a 128-bit hash of the word sequence), bands (none for a text without words)."""
 
     def work(texts: list[str]) -> Iterator[tuple]:
         nodes, elements, heavy = [], [], []
@@ -167,7 +173,7 @@ def sign(docs: DataFrame) -> DataFrame:
             yield node, key.tolist() if len(found) else []
 
     return map_texts(
-        docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), whole_text(docs).alias("text")),
+        docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), _text_key(docs).alias("text_key"), whole_text(docs).alias("text")),
         work,
         [("node", pa.binary()), ("bands", pa.list_(pa.int64()))],
         "node binary, bands array<bigint>",
@@ -175,9 +181,14 @@ def sign(docs: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """id, hashes, counts, size (number of shingles), total (all weight) and bands of the texts that stand for `nodes` (id, node, rep: a doc_id, bands)."""
-    texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), whole_text(docs).alias("text"))
-    rows = texts.join(nodes, texts["doc_id"].eqNullSafe(nodes["rep"])).select("id", "node", "bands", "text")
+    """id, hashes, counts, size (number of shingles), total (all weight) and bands of the texts that stand for `nodes`
+    (id, node, rep: the doc_id, and rep_key: the text key of one row, bands).
+
+    Rows that share a doc_id, or have none, meet a node only if their text has its key, so each meets one, but for equal hashes.
+    """
+    texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), _text_key(docs).alias("text_key"), whole_text(docs).alias("text"))
+    same = (texts["text_key"] == nodes["rep_key"]) & texts["doc_id"].eqNullSafe(nodes["rep"])
+    rows = texts.join(nodes, same).select("id", "node", "bands", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.float64(), pa.binary())
@@ -186,7 +197,7 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 made = []
                 for key, node, keys, text in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
                     words = text.split()
-                    if _node(words) == node:  # rows may share a doc_id
+                    if _node(words) == node:  # keys of different texts may be equal
                         hashes, counts = shingles(words)
                         own = np.array(keys, dtype=np.int64).tobytes()
                         made.append((key, hashes.tobytes(), counts.astype("<u4").tobytes(), len(hashes), float(weights(counts).sum()), own))
@@ -252,16 +263,18 @@ def classify(docs: DataFrame) -> DataFrame:
     words are one class. NULL text counts as empty; NULL doc_ids are only a class's id if it has no other;
     rows that repeat a doc_id and text are all marked kept. Other columns are not looked at.
     """
-    return _classified(docs).drop("node")
+    return _classified(docs).drop("text_key")
 
 
 def _classified(docs: DataFrame) -> DataFrame:
-    """What `classify` gives, and the node of each row."""
+    """What `classify` gives, and the text key of each row."""
     signed = written(sign(docs), "signatures")
     total = signed.count()
+    row = F.struct("doc_id", "text_key")  # of the smallest doc_id, if there is one
     nodes = written(
         signed.groupBy("node")
-        .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
+        .agg(F.min_by(row, F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("row"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
+        .select("node", F.col("row.doc_id").alias("rep"), F.col("row.text_key").alias("rep_key"), "copies", "bands")
         .withColumn("id", F.monotonically_increasing_id()),
         "nodes",
     )
@@ -269,8 +282,8 @@ def _classified(docs: DataFrame) -> DataFrame:
     named = nodes.select("id", "node", "rep", "copies").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     groups = named.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"))
     classes = written(by_hot_key(named, written(groups.join(named.groupBy("label").agg(F.count(F.lit(1)).alias("n_nodes")), "label"), "classes"), "label", "n_nodes", nodes.count()).select("node", "copies", "class_id", "class_size"), "node-classes")
-    rows = by_hot_key(signed.select("doc_id", "node"), classes, "node", "copies", total)
-    return rows.select("doc_id", "node", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    rows = by_hot_key(signed.select("doc_id", "text_key", "node"), classes, "node", "copies", total)
+    return rows.select("doc_id", "text_key", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
 def _reachable(t, u, other_t, v):
@@ -289,7 +302,7 @@ def _labels(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     # Most members are alone in their bucket and drop out here; Spark splits the rows of a large bucket.
     shared = written(members.join(buckets, "bucket"), "bucket-members")
     wanted = shared.groupBy("id").agg(F.max("n").alias("most"))
-    sets = written(shingle_sets(docs, nodes.select("id", "node", "rep", "bands").join(wanted, "id")), "shingles")
+    sets = written(shingle_sets(docs, nodes.select("id", "node", "rep", "rep_key", "bands").join(wanted, "id")), "shingles")
     crowded = sets.join(wanted.filter("most > 2").select("id"), "id", "left_semi")
     profile = sets.select("id", "size", "total").join(own_weight(crowded), "id", "left").na.fill(0, ["own", "own_more"])
     # Only members of crowded buckets have been searched for common shingles.
@@ -374,16 +387,11 @@ def _rest(mixed: DataFrame, sets: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, with all their columns, whose document is kept of its class.
 
-    Rows are told apart by doc_id and word sequence, so rows that share a doc_id, or have none, stay or go each
-    with their own class. Rows that repeat both all stay; exact copies are best dropped before.
+    Rows are told apart by doc_id and a hash of the text, so rows that share a doc_id, or have none, stay or go each
+    with their own class. Rows that repeat both all stay; exact copies are best dropped before. NULL and empty texts
+    are one class, as for `classify`; columns may have any names; no rows give no rows.
     """
-    own, node, text = unused(docs, "kept_id"), unused(docs, "kept_node"), unused(docs, "node_text")
-    kept = _classified(docs).filter("kept").select(F.col("doc_id").alias(own), F.col("node").alias(f"{node}_")).distinct()
-    rows = map_texts(
-        docs.select(*[docs[f"`{c}`"] for c in docs.columns], whole_text(docs).alias(text)),
-        lambda texts: [(_node(t.split()),) for t in texts],
-        [(node, pa.binary())],
-        f"`{node}` binary",
-    )
-    same = rows["doc_id"].cast("bigint").eqNullSafe(kept[own]) & (rows[node] == kept[f"{node}_"])
-    return rows.join(kept, same, "left_semi").drop(node)
+    own, key = unused(docs, "kept_id"), unused(docs, "kept_key")
+    kept = _classified(docs).filter("kept").select(F.col("doc_id").alias(own), F.col("text_key").alias(key)).distinct()
+    same = (_text_key(docs) == kept[key]) & docs["doc_id"].cast("bigint").eqNullSafe(kept[own])
+    return docs.join(kept, same, "left_semi")

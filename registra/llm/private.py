@@ -12,8 +12,10 @@ finds spans that look like them as a whole, though no pattern takes them.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -166,7 +168,7 @@ def read_region(text: str, start: int, end: int) -> Region:
         for j in range(i + 1, min(i + MOST_UNITS, len(units)) + 1):
             b = units[j - 1][1]
             digits, signs = counts[j] - counts[i], marks[j] - marks[i]
-            if signs > 1 or digits > 24:
+            if signs > 1:
                 break
             if not text[b - 1].isalnum():
                 continue
@@ -236,12 +238,12 @@ class SpanModel:
         """The patterns' matches, and the field's entities that overlap none of them; by kind, then start."""
         base = base_spans(text)
         taken = sorted((s, e) for _, s, e in base)
+        reach = list(accumulate((e for _, e in taken), max))  # the furthest end so far
         more = []
         for start, end in regions(text):
-            if end - start < 8:
-                continue
             for kind, s, e in self.segment(read_region(text, start, end)):
-                if not any(a < e and s < b for a, b in taken):
+                before = bisect_left(taken, (e,))  # those that start before the entity ends
+                if not before or reach[before - 1] <= s:
                     more.append((kind, s, e))
         return sorted(base + more)
 
@@ -309,7 +311,10 @@ def find(docs: DataFrame, model: SpanModel) -> DataFrame:
 
 
 def report(found: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans (kind:start:end, comma-joined)."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans (kind:start:end, comma-joined).
+
+    A row for each of `found`; a text without findings, also an empty or NULL one, has zeros and empty lists.
+    """
     names = F.array(*[F.lit(k) for k in KINDS])
     of_kind = lambda k: lambda s: s["kind"] == k
     listed = lambda c: F.array_join(

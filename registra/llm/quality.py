@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from registra.llm.common import map_texts, unused, whole_text
+from registra.llm.common import map_texts, of_text, unused, whole_text
 
 OWN = 12  # features of a line itself, without its neighbours'
 FEATURES = 1 + 3 * OWN + 2
@@ -193,18 +193,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 3000, most_lines: int
 
 
 def with_score(docs: DataFrame, model: LineModel, column: str) -> DataFrame:
-    """All columns of `docs`, and the score of the whole text; NULL text counts as empty."""
+    """All columns of `docs`, and the score of the whole text as `column`, which must be none of them.
 
-    def work(texts: list[str]) -> Iterator[tuple]:
-        for score in model.scores(texts):
-            yield (float(score),)
-
-    text = unused(docs, "scored_text")
-    return map_texts(docs.withColumn(text, whole_text(docs)), work, [(column, pa.float64())], f"`{column}` double")
+    NULL text counts as empty, an empty text is one empty line; long texts are scored whole; rows that repeat are
+    scored alike; no rows give no rows. Only texts and scores pass between the JVM and Python.
+    """
+    score = of_text(lambda texts: map(float, model.scores(texts)), pa.float64(), "double")
+    return docs.withColumn(column, score(whole_text(docs)))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """The rows of `docs`, with all their columns, that score `threshold` or more."""
+    """The rows of `docs`, with all their columns, that score `threshold` or more.
+
+    As for `fit` and `with_score`: NULL and empty texts get a score like any other, a score equal to the threshold stays, rows
+    that repeat stay or go together, columns may have any names. Without labels every text scores one half.
+    """
     column = unused(docs, "quality_score")
     scored = with_score(docs, fit(docs, labels), column)
     return scored.filter(F.col(column) >= threshold).drop(column)
