@@ -87,10 +87,14 @@ def distinct_digests(rows: DataFrame) -> DataFrame:
     return rows.groupBy("digest").agg(F.min("doc_id").alias("winner"), F.count(F.lit(1)).alias("n_rows"))
 
 
-def build_history(distinct: DataFrame, per_shard: int = 20_000) -> DataFrame:
-    """The history table of distinct digests (digest, winner, n_rows): about `per_shard` in a row."""
+def build_history(distinct: DataFrame, per_shard: int = 20_000, arrivals: int = 0) -> DataFrame:
+    """The history table of distinct digests (digest, winner, n_rows): about `per_shard` in a row.
+
+    If more digests than these are to be looked up, their number `arrivals` sets the shards, so that a
+    shard meets about `per_shard` of them.
+    """
     distinct = written(distinct, "distinct-digests")
-    shards = max(1, -(-distinct.count() // per_shard))
+    shards = max(1, -(-max(distinct.count(), arrivals) // per_shard))
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         digests = _matrix(group["digest"])
@@ -120,10 +124,12 @@ def look_up(history: DataFrame, distinct: DataFrame) -> DataFrame:
 
     digest, keep_id, group_size, member (the history knows it). Members keep the history's
     winner, whatever their own doc_ids; their rows add to its count. Nonmembers are groups of
-    their own and keep their smallest doc_id.
+    their own and keep their smallest doc_id. Against an empty history all are nonmembers and are not gathered.
     """
     first = history.select("shards").first()
-    shards = first["shards"] if first else 1
+    if first is None:
+        return distinct.select("digest", F.col("winner").alias("keep_id"), F.col("n_rows").alias("group_size"), F.lit(False).alias("member"))
+    shards = first["shards"]
 
     def search(slots: pd.DataFrame, arrived: pd.DataFrame) -> pd.DataFrame:
         asked = _matrix(arrived["digest"])
@@ -160,8 +166,9 @@ def group_rows(docs: DataFrame) -> DataFrame:
     span = rows.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).first()
     cut = ((span["low"] or 0) + (span["high"] or 0)) // 2 + 1
     earlier, later = rows.filter(F.col("doc_id") < cut), rows.filter((F.col("doc_id") >= cut) | F.col("doc_id").isNull())
-    history = build_history(distinct_digests(earlier))
-    classes = written(look_up(history, distinct_digests(later)).drop("member"), "digest-classes")
+    arrived = written(distinct_digests(later), "arrived-digests")
+    history = build_history(distinct_digests(earlier), arrivals=arrived.count())
+    classes = written(look_up(history, arrived).drop("member"), "digest-classes")
     copies = rows.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("copies"))
     of_class = by_hot_key(copies, classes, "digest", "group_size", span["n"])
     each = of_class.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
@@ -171,7 +178,11 @@ def group_rows(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of `docs`, with all their columns, that stay: one of each group of equal texts."""
+    """The rows of `docs`, with all their columns, that stay: one of each group of equal texts.
+
+    As for `group_rows`: NULL and empty texts are one group, of rows that repeat doc_id and text the first in the order
+    of their other columns stays; columns may have any names; no rows give no rows.
+    """
     key, own = unused(docs, "text_digest"), unused(docs, "stays")
     groups = group_rows(docs)
     stays = groups.filter("kept").select(F.col("keep_id").alias(own), F.col("digest").alias(key))
