@@ -160,7 +160,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     last one is followed by the first.
 
     Texts are whole, NULL counts as empty; NULL doc_ids come first, rows of one doc_id in the order of
-    their texts; a single document follows itself; no rows give no rows; other columns are not
+    a hash of their texts, so that they are dealt over many tasks; a single document follows itself; no rows give no rows; other columns are not
     looked at. Texts are moved once, into ranges of doc_id that are read in order. Only the
     first and last document of each range wait for their neighbours in other ranges.
     """
@@ -183,8 +183,10 @@ def with_next(docs: DataFrame) -> DataFrame:
             yield _frame([], [(number, "last", *before)])
 
     walked = written(
-        texts.repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        texts.withColumn("key", F.xxhash64("text"))
+        .repartitionByRange("doc_id", "key")
+        .sortWithinPartitions("doc_id", "key", "text")
+        .select("doc_id", "text")
         .mapInArrow(walk, f"{_SCHEMA}, part bigint, which string, end_id bigint, end_text string, end_mark string"),
         "walked",
     )

@@ -123,8 +123,8 @@ def pack(pieces: DataFrame, window: int, per_group: int = 50_000) -> DataFrame:
 
 def pack_documents(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> DataFrame:
     """Where every id of every document goes: doc_id, start, length, ids_crc32, doc_tokens,
-    sequence_id, offset. Rows that repeat a document are documents of their own; other columns
-    are not looked at."""
+    sequence_id, offset. NULL text counts as empty and gives `end_id` alone; NULL doc_ids stay NULL; rows that
+    repeat a document, or have no doc_id, are documents of their own; other columns are not looked at; no rows give no rows."""
     pieces = token_pieces(docs, tokenizer, window, end_id)
     digests = written(pieces.select("piece_id", "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"), "pieces")
     return pack(digests, window).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

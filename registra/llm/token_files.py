@@ -41,29 +41,37 @@ def _serialised(ids: bytes, end_id: int, width: int) -> bytes:
     return numbers.astype(f"<u{width}").tobytes()
 
 
-def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, width: int, sample_docs: int, size: int) -> bytes:
+def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, width: int, sample_docs: int, size: int, sample_bytes: int = 32 << 20) -> bytes:
     """A zstandard dictionary of at most `size` bytes from the id arrays of `sample_docs` documents.
 
     The sample are the documents whose content hash is smallest, so it does not depend on order
-    or partitions. Their arrays are cut into slices of 16 kB for training, in one task. Tables too
+    or partitions. Tasks encode them and cut their arrays into slices of 16 kB; the slices with the smallest hash, at most
+    `sample_bytes` in all, meet in the one task that trains. Tables too
     small to train on give an empty dictionary; frames then stand alone.
     """
     texts = docs.select("doc_id", whole_text(docs).alias("text"))
-    sample = hash_sample(texts, docs.count(), sample_docs).select("text").orderBy("text")
+    sample = hash_sample(texts, docs.count(), sample_docs).select(F.lit(0).alias("n"), "text")
+    piece = 16384
+
+    def cut(texts: list[str]) -> Iterator[tuple]:
+        for ids in encoder(tokenizer).encode(texts):
+            data = _serialised(ids, end_id, width)
+            yield ([data[i : i + piece] for i in range(0, len(data), piece)],)
+
+    cuts = map_texts(sample, cut, [("slices", pa.list_(pa.binary()))], "slices array<binary>")
+    slices = cuts.select(F.explode("slices").alias("slice")).select("slice", F.xxhash64("slice").alias("key"))
+    # Every slice but a document's last is full, so the number bounds the bytes.
+    slices = slices.orderBy("key", "slice").limit(sample_bytes // piece)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, slices = encoder(tokenizer).encode, []
-        for batch in batches:
-            for ids in encode(batch.column(0).to_pylist()):
-                data = _serialised(ids, end_id, width)
-                slices += [data[i : i + 16384] for i in range(0, len(data), 16384)]
+        given = [slice_ for batch in batches for slice_ in batch.column(0).to_pylist()]
         try:
-            trained = zstandard.train_dictionary(size, slices).as_bytes()
+            trained = zstandard.train_dictionary(size, sorted(given)).as_bytes()
         except (zstandard.ZstdError, ValueError):  # too few samples
             trained = b""
         yield pa.RecordBatch.from_pydict({"dictionary": pa.array([trained], pa.binary())})
 
-    row = sample.coalesce(1).mapInArrow(train, "dictionary binary").first()  # none without partitions
+    row = slices.select("slice").coalesce(1).mapInArrow(train, "dictionary binary").first()  # none without partitions
     return bytes(row["dictionary"]) if row else b""
 
 
@@ -80,7 +88,7 @@ def write_token_files(
 ) -> None:
     """Encode every whole text (NULL: empty), append `end_id`, write the files of this module.
 
-    doc_id NULL comes first; rows with one doc_id stand in the order of their frames. Other
+    doc_id NULL comes first; rows with one doc_id stand in the order of a hash of their frames, maybe in several files. Other
     columns of `docs` are not looked at. The dictionary is learnt from a bounded sample
     (`sample_docs`), which touches the size of the files only. Ids are kept in 2 bytes where the
     `vocabulary` allows it. No rows give a folder without frames.
@@ -133,9 +141,10 @@ def write_token_files(
         yield pa.RecordBatch.from_pydict({"value": pa.array([foot], pa.binary())})
 
     (
-        encoded.select("doc_id", "n_tokens", "frame", "frame_bytes")
-        .repartitionByRange(files, "doc_id")
-        .sortWithinPartitions("doc_id", "frame")
+        encoded.withColumn("key", F.xxhash64("frame"))
+        .repartitionByRange(files, "doc_id", "key")
+        .sortWithinPartitions("doc_id", "key", "frame")
+        .select("doc_id", "n_tokens", "frame", "frame_bytes")
         .mapInArrow(records, "value binary")
         .select(F.col("value").cast("string"))
         .write.text(f"{path}/data")
@@ -167,8 +176,9 @@ def read_token_files(spark: SparkSession, path: str, doc_ids: list[int] | None =
     """Documents from the files: file, doc_id, place (within the file), file_start (ids of the
     file before it), n_tokens, ids (binary, little-endian unsigned 32-bit).
 
-    With `doc_ids` only these documents' frames are opened, by the offset index. A dictionary
-    other than the one the files were written with is refused.
+    With `doc_ids` only these documents' frames are opened, by the offset index; rows that share a doc_id all
+    come, rows without one never. Otherwise NULL doc_ids come too. An empty text is a frame of the end id alone; a folder of no
+    documents gives no rows. A dictionary other than the one the files were written with is refused.
     """
     dictionary = read_dictionary(spark, path)
     digest = hashlib.sha256(dictionary).hexdigest()
