@@ -1,10 +1,11 @@
 """Secret scans over a ledger of blobs.
 
 A text's address is the SHA-256 of its bytes. The ledger is a Parquet folder with a row for each
-(blob, rule_version) ever scanned: blob, rule_version, spans. A snapshot of documents is looked up
-there by address; only blobs that this version of the rules has not seen are read, once each however
+(blob, rule_version) ever scanned: blob, rule_version, spans. Beside it a second folder records every version of
+the documents: which path (doc_id) held which blob in which version. A version is looked up in the ledger
+by address; only blobs that these rules have not seen are read, once each however
 many documents hold them, and added. Findings then go back to every document that has
-the blob, in this snapshot or any older one.
+the blob: `scan` gives those of its own version, `history` those of every version recorded, by any rules.
 """
 
 from __future__ import annotations
@@ -48,26 +49,54 @@ def find(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans, key=lambda s: (s[1], s[0]))
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger's rows; none if nothing was ever written there."""
+PATHS = "doc_id bigint, blob binary, n_rows bigint, version bigint"
+
+
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
-        return spark.read.schema(LEDGER).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], LEDGER)
+        return spark.createDataFrame([], schema)
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger's rows; none if nothing was ever written there."""
+    return _read(spark, path, LEDGER)
+
 
+def read_versions(spark: SparkSession, ledger: str) -> DataFrame:
+    """doc_id, blob, n_rows, version: what every recorded version held; none if there is none."""
+    return _read(spark, f"{ledger.rstrip('/')}.paths", PATHS)
 
-def scan(docs: DataFrame, ledger: str, rule_version: str = RULE_VERSION) -> DataFrame:
+
+def history(spark: SparkSession, ledger: str, rule_version: str = RULE_VERSION) -> DataFrame:
+    """doc_id, version, n_rows, blob, spans: findings of all paths of all versions, old ones too.
+
+    Blobs that these rules have not been run on have NULL spans: their texts may be gone.
+    """
+    held = written(read_versions(spark, ledger), "versions")
+    counts = held.groupBy("blob").agg(F.count(F.lit(1)).alias("n_paths"))
+    known = read_ledger(spark, ledger).filter(F.col("rule_version") == rule_version).dropDuplicates(["blob"])
+    findings = written(counts.join(known, "blob", "left").select("blob", "n_paths", "spans"), "findings")
+    return by_hot_key(held, findings, "blob", "n_paths", max(1, held.count())).select("doc_id", "version", "n_rows", "blob", "spans")
+
+
+def scan(docs: DataFrame, ledger: str, rule_version: str = RULE_VERSION, version: int | None = None) -> DataFrame:
     """A row per document of the snapshot: doc_id, blob, spans. The ledger grows by the unseen blobs.
 
-    NULL text is the empty blob. Rows that repeat share their blob's findings. Other columns are not looked at; an
+    With a number, the snapshot is recorded as that version of the documents; a version that comes again replaces
+    its own record. NULL text is the empty blob. Rows that repeat share their blob's findings. Other columns are not looked at; an
     empty snapshot gives no rows and leaves the ledger as it was.
     """
     spark = docs.sparkSession
     doc_id = docs["doc_id"].cast("bigint").alias("doc_id")
     address = F.unhex(F.sha2(whole_text(docs), 256)).alias("blob")
     paths = written(docs.select(doc_id, address), "paths")
+    if version is not None:
+        held = paths.groupBy("doc_id", "blob").agg(F.count(F.lit(1)).alias("n_rows"))
+        held.write.mode("overwrite").parquet(f"{ledger.rstrip('/')}.paths/version={version}")
     blobs = written(paths.groupBy("blob").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_paths")), "blobs")
     seen = read_ledger(spark, ledger).filter(F.col("rule_version") == rule_version)
     unseen = blobs.join(seen, "blob", "left_anti").select("blob", "rep")
@@ -91,7 +120,10 @@ def scan(docs: DataFrame, ledger: str, rule_version: str = RULE_VERSION) -> Data
 
 
 def report(scanned: DataFrame) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans (kind:start:end, comma-joined)."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans (kind:start:end, comma-joined).
+
+    A row for each of `scanned`; a text without findings, also an empty or NULL one, has zeros and empty lists.
+    """
     names = F.array(*[F.lit(k) for k in KINDS])
     of_kind = lambda k: lambda s: s["kind"] == k
     listed = F.array_join(

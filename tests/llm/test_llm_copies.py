@@ -6,6 +6,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 from edge_tables import ROWS, SCHEMA, documents
+from pyspark.sql import functions as F
 
 from registra.llm import exact, near
 from registra.llm.components import components
@@ -254,3 +255,39 @@ def test_rows_of_one_number_or_none_go_with_their_own_class(spark):
 
 def test_no_documents_no_classes(spark):
     assert near.classify(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("number", [7, None])
+def test_many_rows_of_one_number_meet_once_each(spark, number):
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randint(0, 9999)}" for _ in range(30)) for _ in range(700)]
+    texts += [t.rsplit(" ", 1)[0] + " changed" for t in texts]  # every text has a near copy, so all are looked up
+    rows = [(number, t, "en", "s", 0) for t in texts]
+    docs = documents(spark, rows=rows)
+    signed = near.sign(docs)
+    nodes = signed.select(F.monotonically_increasing_id().alias("id"), "node", F.col("doc_id").alias("rep"), F.col("text_key").alias("rep_key"), F.array().cast("array<bigint>").alias("bands"))
+    sets = near.shingle_sets(docs, nodes)
+    metrics = sets._jdf.queryExecution().executedPlan()
+    assert sets.count() == len(rows) and "NestedLoop" not in metrics.toString()
+    found = near.classify(docs).collect()
+    assert {r["class_size"] for r in found} == {2} and {r["class_id"] for r in found} == {number}
+
+
+def test_shards_follow_the_arrivals_too(spark):
+    """One outlying id leaves nearly all rows to the arrivals."""
+    rows = [(-(10**12), "the outlier", "en", "s", 0)] + [(i, f"text {i % 5000}", "en", "s", 0) for i in range(6000)]
+    found = {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in exact.group_rows(documents(spark, rows=rows)).collect()}
+    assert found == {(-(10**12), -(10**12), 1, True)} | {(i, i % 5000, 1 + (i % 5000 < 1000), i < 5000) for i in range(6000)}
+    history = exact.build_history(exact.distinct_digests(documents(spark, rows=rows[:1]).select("doc_id", exact.digest(documents(spark, rows=rows[:1])).alias("digest"))), per_shard=100, arrivals=5000)
+    assert history.first()["shards"] == 50
+
+
+def test_op4_agrees_with_sql(spark):
+    from checks.compare import normal_form, oracle_rows
+    from registra.llm.queries import ORACLES, op4_exact_dedup
+
+    folder = "/root/testdata/sf0.001"
+    frame = op4_exact_dedup(spark, folder)
+    names, theirs = oracle_rows(folder, ORACLES["op4_exact_dedup"])
+    assert sorted(names) == sorted(frame.columns)
+    assert normal_form(frame.columns, frame.collect()) == normal_form(names, theirs)

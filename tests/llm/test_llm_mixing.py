@@ -107,6 +107,28 @@ def test_missed_targets_are_told(spark):
     assert found["met"] is False and found["share_fr"] < 0.1
 
 
+def test_out_of_reach_nothing_is_mixed(spark):
+    rows = [(i, " ".join(WORDS["en"] * 4) + f" {i}", "en", "s", 0) for i in range(60)]
+    marks = labels(spark, [(i, 1, 0) for i in range(30)])
+    docs = documents(spark, rows=rows)
+    with pytest.warns(UserWarning, match="miss their targets"):
+        found = mixing.mix(docs, marks, TARGETS).collect()
+    assert {(r["rate"], r["copies"], r["met"]) for r in found} == {(1.0, 1, False)} and found[0]["share_en"] > 0.8
+    with pytest.warns(UserWarning, match="miss their targets"):
+        assert sorted(r["doc_id"] for r in mixing.mixed_documents(docs, marks, TARGETS).collect()) == list(range(60))
+
+
+def test_rates_without_a_floor_meet_targets_that_ask_for_less(spark):
+    rows = corpus(300, 5)
+    docs, marks = documents(spark, rows=rows), all_labels(spark, rows)
+    n = sum(len((r[1] or "").split()) for r in rows)
+    found = mixing.mix(docs, marks, TARGETS, tokens=0.5 * n).toPandas()
+    chances, words = found[[f"p_{d}" for d in sorted(TARGETS)]].to_numpy(), found["n_words"].to_numpy(dtype=float)
+    expected = (found["rate"].to_numpy() * words) @ chances
+    assert found["met"].all() and found["rate"].min() >= 0 and found["rate"].min() < 0.5
+    assert expected == pytest.approx([TARGETS[d] * 0.5 * n for d in sorted(TARGETS)], abs=1e-3 * n)
+
+
 def test_copies_have_the_rate_as_mean(spark):
     frame = spark.range(20_000).select(mixing.copies(F.lit(1.3), [F.col("id")]).alias("n"))
     row = frame.agg(F.avg("n").alias("mean"), F.min("n").alias("low"), F.max("n").alias("high")).first()
@@ -160,5 +182,37 @@ def test_pipeline_does_every_stage(spark, tmp_path):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "exact dedup", "near dedup", "mixing", "packing"]
 
 
+def test_pipeline_mixes_to_its_targets(spark, tmp_path, recwarn):
+    rng = random.Random(31)
+    size = {"en": 70, "de": 25, "es": 8, "fr": 12}
+    rows = []
+    for lang, n in size.items():
+        for _ in range(n):
+            words = [rng.choice(WORDS[lang]) if rng.random() < 0.7 else f"w{rng.randint(0, 9999)}" for _ in range(80)]
+            rows.append((len(rows), " ".join(words) + ".", lang, "s", 0))
+    marks = labels(spark, [(r[0], 1, 0) for r in rows])
+    path = folder(spark, tmp_path, rows, marks)
+    result = corpus_pipeline.run(spark, path).collect()
+    assert not [w for w in recwarn if "miss their targets" in str(w.message)]
+    tokens, total = {}, {}
+    for r in result:
+        tokens[r["doc_id"]] = tokens.get(r["doc_id"], 0) + r["length"]
+        total[r["doc_id"]] = r["doc_tokens"]
+    assert set(tokens) == {r[0] for r in rows}
+    docs = documents(spark, rows=rows)
+    mixed = {r["doc_id"]: r for r in mixing.mix(docs, marks, TARGETS, **RATES).collect()}
+    assert {i: tokens[i] / total[i] for i in tokens} == {i: float(r["copies"]) for i, r in mixed.items()}
+    langs = {r[0]: r[2] for r in rows}
+    words = {lang: sum(mixed[i]["copies"] * mixed[i]["n_words"] for i in mixed if langs[i] == lang) for lang in TARGETS}
+    assert all(abs(words[lang] / sum(words.values()) - share) < 0.05 for lang, share in TARGETS.items())
+    assert sum(words.values()) < 3 * 80 * len(rows)
+    used = {}
+    for r in result:
+        used.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for placed in used.values():
+        placed.sort()
+        assert [o for o, _ in placed] == [sum(n for _, n in placed[:k]) for k in range(len(placed))] and sum(n for _, n in placed) <= 2048
+
+
 def test_pipeline_of_nothing(spark, tmp_path):
     assert corpus_pipeline.run(spark, folder(spark, tmp_path, [], labels(spark))).count() == 0

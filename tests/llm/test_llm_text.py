@@ -61,6 +61,30 @@ def test_blobs_are_scanned_once_per_version(spark, tmp_path, monkeypatch):
     assert secrets.read_ledger(spark, path).count() == 7
 
 
+def test_every_version_gets_its_findings(spark, tmp_path):
+    path, rng = str(tmp_path / "ledger"), random.Random(1)
+    versions = {v: [(rng.choice([i, i, None]), rng.choice([*SECRETS, None]), "en", "s", 0) for i in range(20)] for v in (1, 2, 3)}
+    for v, rows in versions.items():
+        for _ in range(v):  # a version that comes again replaces its record
+            secrets.scan(documents(spark, rows=rows), path, version=v)
+    secrets.scan(documents(spark, rows=versions[3]), path, rule_version="other", version=3)
+
+    def plain(seen):
+        held = {}
+        for v, rows in versions.items():
+            for i, text, *_ in rows:
+                key = (i, v, hashlib.sha256((text or "").encode()).hexdigest())
+                held[key] = (held.get(key, (0,))[0] + 1, plain_secrets(text or "") if (text or "") in seen else None)
+        return {(*k, *x) for k, x in held.items()}
+
+    names = list(secrets.KINDS)
+    for rules, seen in ((secrets.RULE_VERSION, {t or "" for rows in versions.values() for _, t, *_ in rows}), ("other", {t or "" for _, t, *_ in versions[3]})):
+        found = secrets.history(spark, path, rules).collect()
+        spans = lambda r: None if r["spans"] is None else ",".join(f"{names[s['kind']]}:{s['start']}:{s['end']}" for s in r["spans"])
+        assert {(r["doc_id"], r["version"], bytes(r["blob"]).hex(), r["n_rows"], spans(r)) for r in found} == plain(seen)
+    assert secrets.history(spark, str(tmp_path / "nothing")).count() == 0
+
+
 def test_no_documents_no_findings(spark, tmp_path):
     assert secrets.scan(documents(spark, rows=[]), str(tmp_path / "ledger")).count() == 0
 

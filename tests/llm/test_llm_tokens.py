@@ -19,9 +19,7 @@ ALPHABET = "öüß aAbB zZ\n\t.,!?'’\"sStT0129éÉêẞİıΣσςÅ̱̊Hh́ \x
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(PATH)
 
 
 def ids_of(tokenizer, text, end_id):
@@ -36,6 +34,16 @@ def test_pieces_between_blanks_give_the_ids_of_whole_texts(tokenizer):
     assert small.encode([]) == [] and small.encode([""]) == [b""]
 
 
+def test_strings_of_special_tokens_are_these_tokens(tokenizer):
+    rng, small = random.Random(6), WordEncoder(PATH, memory=5000)
+    words = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>", "<", " ", "\n", "hi", "Σ", "e", "\u0301", "'s", "x"]
+    texts = ["".join(rng.choices(words, k=rng.randint(0, 9))) for _ in range(4000)]
+    assert tokenizer.encode("hi <|endoftext|> x", add_special_tokens=False).ids == [1883, 49407, 343]
+    for text, ids in zip(texts, small.encode(texts), strict=True):
+        assert ids == np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes(), text
+    assert small.used < 5000
+
+
 @pytest.mark.parametrize("clashing", [False, True])
 def test_token_files_give_back_every_id(spark, tmp_path, tokenizer, clashing):
     docs = documents(spark, clashing)
@@ -67,6 +75,27 @@ def test_many_files_keep_the_order_and_single_documents_are_found(spark, tmp_pat
     assert {r["doc_id"]: bytes(r["ids"]) for r in some} == {i: ids_of(tokenizer, rows[i][1], 2).tobytes() for i in (3, 250)}
 
 
+@pytest.mark.parametrize("number", [5, None])
+def test_rows_of_one_number_are_dealt_over_many_files(spark, tmp_path, tokenizer, number):
+    rng = random.Random(2)
+    rows = [(number, "".join(rng.choices("abc de. ", k=rng.randint(0, 300))), "en", "s", 0) for _ in range(2000)] + [(9, "last", "en", "s", 0)]
+    path = str(tmp_path / "files")
+    token_files.write_token_files(documents(spark, rows=rows).repartition(5), path, PATH, end_id=2, file_mb=0.02, sample_docs=100, dictionary_bytes=2048)
+    sizes = [p.stat().st_size for p in (tmp_path / "files" / "data").glob("part-*")]
+    assert len(sizes) > 4 and max(sizes) < sum(sizes) / 2
+    digests = token_files.read_digests(spark, path).orderBy("start").collect()
+    assert [r["start"] for r in digests] == np.concatenate([[0], np.cumsum([r["n_tokens"] for r in digests])[:-1]]).tolist()
+    assert digests[-1]["doc_id"] == 9
+    assert sorted(r["ids_crc32"] for r in digests) == sorted(zlib.crc32(ids_of(tokenizer, r[1], 2).tobytes()) for r in rows)
+
+
+def test_long_documents_of_the_sample_are_cut_and_bounded(spark):
+    rows = [(i, LONG + str(i), "en", "s", 0) for i in range(12)]
+    whole = token_files.train_dictionary(documents(spark, rows=rows), PATH, 2, 2, 12, 4096)
+    assert whole == token_files.train_dictionary(documents(spark, rows=rows).repartition(6), PATH, 2, 2, 12, 4096) and len(whole) <= 4096
+    assert token_files.train_dictionary(documents(spark, rows=rows), PATH, 2, 2, 12, 4096, sample_bytes=16384) == b""
+
+
 def test_another_dictionary_is_refused(spark, tmp_path):
     docs, path = documents(spark), str(tmp_path / "files")
     token_files.write_token_files(docs, path, PATH, end_id=2)
