@@ -278,7 +278,8 @@ def test_shards_follow_the_arrivals_too(spark):
     rows = [(-(10**12), "the outlier", "en", "s", 0)] + [(i, f"text {i % 5000}", "en", "s", 0) for i in range(6000)]
     found = {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in exact.group_rows(documents(spark, rows=rows)).collect()}
     assert found == {(-(10**12), -(10**12), 1, True)} | {(i, i % 5000, 1 + (i % 5000 < 1000), i < 5000) for i in range(6000)}
-    history = exact.build_history(exact.distinct_digests(documents(spark, rows=rows[:1]).select("doc_id", exact.digest(documents(spark, rows=rows[:1])).alias("digest"))), per_shard=100, arrivals=5000)
+    first = documents(spark, rows=rows[:1])
+    history = exact.build_history(exact.distinct_digests(first.select("doc_id", exact.digest(first).alias("digest"))), per_shard=100, arrivals=5000)
     assert history.first()["shards"] == 50
 
 
