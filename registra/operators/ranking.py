@@ -1,8 +1,8 @@
 """Row numbers and buckets over a whole table, first rows per key, running offsets.
 
-An unpartitioned window sends the whole table to one task. The global operators
-here sort by range instead, so every task holds a slice, and only one count per
-slice is summed up in a single place.
+An unpartitioned window sends the whole table to one task. Row numbers come from a sort by range, so
+every task holds a slice, and only one count per slice is summed up in a single place. Buckets need no
+sort: their first rows are selected by counting.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from registra.sources.shared import written
 
 # monotonically_increasing_id() = partition number << 33 | row number inside the partition
 _ROW_BITS = 33
+# Digits of the selection: at most 2^14 counts for each place reach the driver.
+_DIGIT_BITS = 14
 
 
 def global_rank(df: DataFrame, order: list[Column], rank: str = "rank", total: str = "total_rows") -> DataFrame:
@@ -45,26 +47,72 @@ def global_rank(df: DataFrame, order: list[Column], rank: str = "rank", total: s
     )
 
 
+def _unsigned(value: int) -> int:
+    """Whole numbers in the order of unsigned 64-bit ones."""
+    return value + (1 << 63)
+
+
+def rows_at(df: DataFrame, order: dict[str, Column], places: list[int] | None = None, buckets: int | None = None) -> list[tuple[int, ...]]:
+    """The sort parts of the rows at some 0-based places of the order, or of the first rows of NTILE buckets.
+
+    `order` names the ascending sort parts: whole numbers that hold no NULL and together name a row.
+    The rows are never sorted or moved. A part is found digit by digit: tasks count the rows per digit among those that agree
+    with all found so far, and the counts, at most 2^14 a place, tell the next digit. So the
+    second part is looked at only in rows tied at the first. `df` is read once per digit
+    of up to 14 bits: pass a written table.
+    """
+    parts = df.select(*[value.cast("bigint").alias(name) for name, value in order.items()])
+    ends = [f(name).alias(f"{f.__name__}_{name}") for name in order for f in (F.min, F.max)]
+    span = parts.agg(F.count(F.lit(1)).alias("rows"), *ends).first()
+    total = span["rows"]
+    if buckets is not None:
+        small, larger = divmod(total, buckets)
+        places = [small * b + min(larger, b) for b in range(1, buckets)]
+    wanted = {place: ((), place) for place in places if 0 <= place < total}
+    for name in order:
+        low, high = _unsigned(span[f"min_{name}"] or 0), _unsigned(span[f"max_{name}"] or 0)
+        bits = (low ^ high).bit_length()
+        # By place: values of the parts before, the leading digits of this part, the place among the rows that share them.
+        found = {place: (values, low >> bits, left) for place, (values, left) in wanted.items()}
+        key = F.col(name).bitwiseXOR(F.lit(-(1 << 63)))
+        while bits and found:
+            step = min(_DIGIT_BITS, bits)
+            groups = sorted({(values, lead) for values, lead, _ in found.values()})
+            group = F.lit(None).cast("int")
+            for i, (values, lead) in enumerate(groups):
+                agrees = F.shiftrightunsigned(key, bits) == lead if bits < 64 else F.lit(True)
+                for other, value in zip(order, values):
+                    agrees &= F.col(other) == value
+                group = F.when(agrees, i).otherwise(group)
+            bits -= step
+            digit = F.shiftrightunsigned(key, bits).bitwiseAND((1 << step) - 1)
+            counted = parts.select(group.alias("group"), digit.alias("digit")).filter("group IS NOT NULL").groupBy("group", "digit").count()
+            counts = sorted(map(tuple, counted.collect()))
+            for place, (values, lead, left) in found.items():
+                at = groups.index((values, lead))
+                for g, d, n in counts:
+                    if g == at and left < n:
+                        found[place] = (values, lead << step | d, left)
+                        break
+                    left -= n if g == at else 0
+        wanted = {place: ((*values, lead - (1 << 63)), left) for place, (values, lead, left) in found.items()}
+    return [wanted[place][0] for place in sorted(wanted)]
+
+
+def bucket_of(order: dict[str, Column], cuts: list[tuple[int, ...]]) -> Column:
+    """1 and the number of cuts that a row has reached."""
+    place = F.struct(*[value.cast("bigint").alias(name) for name, value in order.items()])
+    at = [F.struct(*[F.lit(v).cast("bigint").alias(name) for name, v in zip(order, cut)]) for cut in cuts]
+    return sum((F.when(place >= cut, 1).otherwise(0) for cut in at), F.lit(1))
+
+
 def global_ntile(df: DataFrame, buckets: int, order: dict[str, Column], out: str) -> DataFrame:
     """NTILE(buckets) over the whole table: sizes differ by at most one, larger ones first.
 
-    `order` names the ascending sort parts, which hold no NULL and together name a row.
-    Only these parts are ranked. The first row of each bucket then becomes a cut, and
-    every row counts the cuts it has reached, so `df` itself is never shuffled. It is read
-    twice: pass a written table if it is costly to work out.
+    `order` as for `rows_at`, which selects the first row of each bucket; every row then compares itself with
+    these few constants, so `df` is never shuffled.
     """
-    parts = df.select(*[value.alias(name) for name, value in order.items()])
-    ranked = global_rank(parts, [F.asc(name) for name in order], "_rank", "_total")
-    larger = F.pmod(F.col("_total"), F.lit(buckets).cast("bigint"))
-    small_size = ((F.col("_total") - larger) / buckets).cast("bigint")
-    starts = [small_size * b + F.least(larger, F.lit(b).cast("bigint")) for b in range(1, buckets)]
-    # At most one row per bucket.
-    cuts = ranked.filter(F.col("_rank").isin(*starts)).agg(F.collect_list(F.struct(*order)).alias("cuts"))
-    place = F.struct(*[value.alias(name) for name, value in order.items()])
-    reached = df.withColumns({"_place": place, "_cuts": cuts.scalar()}).withColumn(
-        out, F.size(F.filter("_cuts", lambda cut: cut <= F.col("_place"))) + 1
-    )
-    return reached.drop("_place", "_cuts")
+    return df.withColumn(out, bucket_of(order, rows_at(df, order, buckets=buckets)))
 
 
 def descending_nulls_first(column: Column) -> list[Column]:

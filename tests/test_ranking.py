@@ -14,6 +14,22 @@ def test_ntile_equals_the_window_function(spark, n):
     assert sorted(mine.collect()) == sorted(theirs.collect())
 
 
+@pytest.mark.parametrize("values", [[5] * 40, [-(1 << 63), (1 << 63) - 1, 0, -1, 1] * 3, [i * 10**15 for i in range(-9, 9)], [0, 0, 0, 1 << 40]])
+def test_ntile_of_ties_and_of_any_number(spark, values):
+    df = spark.createDataFrame([(v, i * 70_000, -i) for i, v in enumerate(values)], "v bigint, a bigint, b bigint")
+    for order in (["v", "a"], ["v", "b"], ["b"]):
+        mine = ranking.global_ntile(df, 4, {c: F.col(c) for c in order}, "bucket")
+        theirs = df.withColumn("bucket", F.ntile(4).over(W.orderBy(*order)))
+        assert sorted(mine.collect()) == sorted(theirs.collect())
+    assert ranking.rows_at(df, {"b": F.col("b")}, [0, len(values) - 1, len(values)]) == [(1 - len(values),), (0,)]
+
+
+def test_ntile_neither_sorts_nor_moves_rows(spark):
+    df = spark.range(1000).withColumn("v", F.lit(7))
+    text = ranking.global_ntile(df, 4, {"v": F.col("v"), "id": F.col("id")}, "bucket")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "Sort" not in text and "Join" not in text
+
+
 def test_global_rank_is_dense_for_any_partitioning(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"))
     for parts in (1, 7, 40):
