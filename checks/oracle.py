@@ -445,6 +445,7 @@ SELECT employee_id, 'competency' AS kind, competency_id AS name FROM newest, com
         UNION ALL SELECT employee_id, 'position', position_id FROM newest, positions""",
     o_triples=_SKILL_TRIPLES + "SELECT * FROM triples",
     o_read_graph=_SKILL_TRIPLES + "SELECT * FROM triples",
+    o_read_individuals=_SKILL_TRIPLES + "SELECT * FROM triples",
     o_ntriples=_SKILL_TRIPLES
     + """SELECT '<' || subject || '> <' || predicate || '> '
         || CASE object_kind WHEN 'iri' THEN '<' || object || '>' ELSE '"' || object || '"^^<' || datatype || '>' END || ' .' AS value

@@ -359,6 +359,18 @@ def o_read_graph(spark, folder):
     )
 
 
+@query
+def o_read_individuals(spark, folder):
+    """The same graph through named individuals with names relative to the ontology."""
+    names = (triples.SKILLS_IRI, triples.SKILLS_OBJECT_PROPERTIES, triples.SKILLS_DATA_PROPERTIES)
+    return _skills_through(
+        spark,
+        folder,
+        lambda rows, path: rdf.write_rdf_xml(rows, path, *names, row_tag="owl:NamedIndividual", relative=True),
+        lambda path: rdf.read_rdf_xml(spark, path, *names),
+    )
+
+
 @query
 def o_ntriples(spark, folder):
     return _skills_through(spark, folder, rdf.write_ntriples, spark.read.text)

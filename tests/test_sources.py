@@ -170,3 +170,50 @@ def test_declarations_come_back_from_their_file(spark, tmp_path):
         assert order == [declared.iri + p for p, _, _ in declared.links]
         facts = ontology.schema_triples(spark, declared)
         assert facts.count() == len(declared.classes) + 3 * (len(declared.links) + len(declared.values))
+
+
+def test_one_large_file_is_read_by_many_tasks(spark, tmp_path):
+    people = "\n".join(
+        f'<owl:NamedIndividual rdf:about="#к_{i}">\n<!-- <x> --><rdf:type rdf:resource="#Клиент"/><имеет\nrdf:resource="#с_{i}"/><фио>человек {i}</фио></owl:NamedIndividual>'
+        if i % 2
+        else f'<rdf:Description rdf:about="#к_{i}"><имеет rdf:resource="http://other/{i}"></имеет></rdf:Description>\n<owl:Class rdf:about="#Класс_{i}"/>'
+        for i in range(1000)
+    )
+    path = str(tmp_path / "large.owl")
+    (tmp_path / "large.owl").write_text(OWL.replace("<owl:NamedIndividual", people + "\n<owl:NamedIndividual", 1))
+    setting = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        wanted = None
+        for size in (setting, "9001", "20000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            found = sorted(rdf.read_rdf_xml(spark, path, IRI, ["имеет"], ["фио"]).collect(), key=str)
+            assert len(found) == 5 + 3 * 500 + 500 and wanted in (None, found)
+            wanted = found
+        assert rdf._pieces(spark, path, ["имеет", "фио"]).rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", setting)
+    assert (IRI + "к_4", IRI + "имеет", "http://other/4", "iri", None) in [tuple(r) for r in wanted]
+
+
+@pytest.mark.parametrize("broken", ['<имеет><x:Счет rdf:about="#с_9"/></имеет>', '<фио>said rdf:about="x</фио>'])
+def test_what_cannot_be_cut_is_refused(spark, tmp_path, broken):
+    path = tmp_path / "t.owl"
+    path.write_text(OWL.replace("<имеет", broken + "<имеет", 1))
+    with pytest.raises(ValueError, match="an individual inside another"):
+        rdf.read_rdf_xml(spark, str(path), IRI, ["имеет"], ["фио"])
+
+
+def test_unknown_element_at_the_end_of_a_line(spark, tmp_path):
+    path = tmp_path / "t.owl"
+    path.write_text(OWL.replace("<фио ", "<имя\n", 1).replace("</фио>", "</имя>"))
+    with pytest.raises(ValueError, match="no place for the element имя"):
+        rdf.read_rdf_xml(spark, str(path), IRI, ["имеет"], ["фио"])
+
+
+def test_individuals_round_trip_with_relative_names(spark, owl, tmp_path):
+    facts = rdf.read_rdf_xml(spark, owl, IRI, ["имеет"], ["фио"])
+    path = str(tmp_path / "copy")
+    rdf.write_rdf_xml(facts, path, IRI, ["имеет"], ["фио"], row_tag="owl:NamedIndividual", relative=True)
+    text = "".join(r.value for r in spark.read.text(path).collect())
+    assert 'owl:NamedIndividual rdf:about="#к_1"' in text and 'rdf:resource="#с_2"' in text
+    assert sorted(rdf.read_rdf_xml(spark, path, IRI, ["имеет"], ["фио"]).collect()) == sorted(facts.collect())
