@@ -189,7 +189,7 @@ def test_one_large_file_is_read_by_many_tasks(spark, tmp_path):
             found = sorted(rdf.read_rdf_xml(spark, path, IRI, ["имеет"], ["фио"]).collect(), key=str)
             assert len(found) == 5 + 3 * 500 + 500 and wanted in (None, found)
             wanted = found
-        assert rdf._pieces(spark, path, ["имеет", "фио"]).rdd.getNumPartitions() > 4
+        assert rdf._elements(spark, path, ("rdf:Description",), ["имеет", "фио"]).rdd.getNumPartitions() > 4
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", setting)
     assert (IRI + "к_4", IRI + "имеет", "http://other/4", "iri", None) in [tuple(r) for r in wanted]
@@ -210,6 +210,18 @@ def test_unknown_element_at_the_end_of_a_line(spark, tmp_path):
         rdf.read_rdf_xml(spark, str(path), IRI, ["имеет"], ["фио"])
 
 
+def test_texts_of_any_form(spark, tmp_path):
+    path = tmp_path / "t.owl"
+    more = "<фио/><фио></фио><фио>  two\n lines </фио><фио rdf:datatype='d' >&lt;&quot;&amp;lt;&gt;</фио><rdfs:label>x</rdfs:label><имеет  rdf:resource = '#с_&amp;'></имеет>"
+    other = '<owl:NamedIndividual rdf:about="#к_2" x="1"><фио>&#1040; <![CDATA[<b>]]></фио><имеет rdf:resource="#с_3"/></owl:NamedIndividual>'
+    path.write_text(OWL.replace("<имеет", more + "<имеет", 1).replace("</rdf:RDF>", other + "</rdf:RDF>"))
+    found = [(r.subject, r.object, r.datatype) for r in rdf.read_rdf_xml(spark, str(path), IRI, ["имеет"], ["фио"]).collect()]
+    texts = [(o, d) for s, o, d in found if s == IRI + "к_1" and not str(o).startswith(IRI)]
+    assert sorted(texts, key=str) == sorted([(None, None), (None, None), ("two\n lines", None), ('<"&lt;>', "d"), ("А & Б", triples.XSD + "string")], key=str)
+    assert (IRI + "к_1", IRI + "с_&", None) in found
+    assert sorted(o for s, o, _ in found if s == IRI + "к_2") == sorted([IRI + "с_3", "А <b>"])
+
+
 def test_individuals_round_trip_with_relative_names(spark, owl, tmp_path):
     facts = rdf.read_rdf_xml(spark, owl, IRI, ["имеет"], ["фио"])
     path = str(tmp_path / "copy")
