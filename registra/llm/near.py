@@ -51,7 +51,7 @@ _ODD = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8
 class _WordHashes(dict):
     """64-bit hashes of words; past about `memory` bytes the memory starts anew."""
 
-    memory, used = 64_000_000, 0
+    memory, used = 32_000_000, 0
 
     def __missing__(self, word: str) -> int:
         if self.used >= self.memory:
@@ -177,6 +177,7 @@ def sign(docs: DataFrame) -> DataFrame:
         work,
         [("node", pa.binary()), ("bands", pa.list_(pa.int64()))],
         "node binary, bands array<bigint>",
+        chars=1_500_000,
     )
 
 

@@ -185,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 3000, most_lines: int
         for block in np.split(features, np.cumsum(counts)[:-1]):
             yield (block.astype("<f4").tobytes(),)
 
-    found = map_texts(rows.select("doc_id", "quality", "text"), work, [("lines", pa.binary())], "lines binary").toPandas()
+    found = map_texts(rows.select("doc_id", "quality", "text"), work, [("lines", pa.binary())], "lines binary", 1_000_000).toPandas()
     found = found.sort_values(["doc_id", "lines"], ignore_index=True)  # the same order, and so the same model, each time
     blocks = [np.frombuffer(x, dtype="<f4").reshape(-1, FEATURES) for x in found["lines"]]
     features = np.concatenate(blocks).astype(float) if blocks else np.zeros((0, FEATURES))
@@ -198,7 +198,7 @@ def with_score(docs: DataFrame, model: LineModel, column: str) -> DataFrame:
     NULL text counts as empty, an empty text is one empty line; long texts are scored whole; rows that repeat are
     scored alike; no rows give no rows. Only texts and scores pass between the JVM and Python.
     """
-    score = of_text(lambda texts: map(float, model.scores(texts)), pa.float64(), "double")
+    score = of_text(lambda texts: map(float, model.scores(texts)), pa.float64(), "double", 1_000_000)
     return docs.withColumn(column, score(whole_text(docs)))
 
 
