@@ -253,11 +253,13 @@ def _refreshed(logs, deps, variant):
 
 
 def _after_arrivals(logs, deps):
+    """The job itself, three times: a mart of the early logs, the late ones on top, and these once more."""
     spark = logs.sparkSession
-    state = shared.new_path(spark, "state")
-    for batch, arrived in enumerate((_early(logs), _late(logs), _late(logs))):
-        jobs.add_batch(arrived, state, min(batch, 1))  # the second batch comes twice
-    return marts.performance_of_state(jobs.read_state(spark, state), deps, None, RUN_TIME)
+    folder = shared.new_path(spark, "mart")
+    name = f"arrivals_{folder.rpartition('-')[2]}.performance"
+    for batch, arrived in ((0, _early(logs)), (1, _late(logs)), (1, _late(logs))):
+        jobs.run_arrivals(arrived, batch, f"{folder}/state", deps, folder, RUN_TIME, name=name, buckets=16)
+    return sinks.current_mart(spark, name)
 
 
 over_logs_and_departments(

@@ -52,24 +52,32 @@ def _unsigned(value: int) -> int:
     return value + (1 << 63)
 
 
-def rows_at(df: DataFrame, order: dict[str, Column], places: list[int] | None = None, buckets: int | None = None) -> list[tuple[int, ...]]:
+def rows_at(
+    df: DataFrame, order: dict[str, Column], places: list[int] | None = None, buckets: int | None = None, counts: DataFrame | None = None
+) -> list[tuple[int, ...]]:
     """The sort parts of the rows at some 0-based places of the order, or of the first rows of NTILE buckets.
 
     `order` names the ascending sort parts: whole numbers that hold no NULL and together name a row.
     The rows are never sorted or moved. A part is found digit by digit: tasks count the rows per digit among those that agree
     with all found so far, and the counts, at most 2^14 a place, tell the next digit. So the
     second part is looked at only in rows tied at the first. `df` is read once per digit
-    of up to 14 bits: pass a written table.
+    of up to 14 bits: pass a written table. With `counts`, rows (first part, n) that add up to the table's, the first part is
+    found in them, and of `df` only the rows tied there are asked for.
     """
-    parts = df.select(*[value.cast("bigint").alias(name) for name, value in order.items()])
-    ends = [f(name).alias(f"{f.__name__}_{name}") for name in order for f in (F.min, F.max)]
-    span = parts.agg(F.count(F.lit(1)).alias("rows"), *ends).first()
-    total = span["rows"]
+    names = list(order)
+    rows = df.select(*[value.cast("bigint").alias(name) for name, value in order.items()]).withColumn("_n", F.lit(1))
+    ends = lambda columns: [f(c).alias(f"{f.__name__}_{c}") for c in columns for f in (F.min, F.max)]
+    source = rows if counts is None else counts.select(F.col(names[0]).cast("bigint").alias(names[0]), F.col("n").alias("_n"))
+    span = source.agg(F.sum("_n").alias("rows"), *ends(names if counts is None else names[:1])).first().asDict()
+    total = span["rows"] or 0
     if buckets is not None:
         small, larger = divmod(total, buckets)
         places = [small * b + min(larger, b) for b in range(1, buckets)]
     wanted = {place: ((), place) for place in places if 0 <= place < total}
-    for name in order:
+    for name in names:
+        if f"min_{name}" not in span:  # the first part came from counts
+            source = rows.filter(F.col(names[0]).isin(sorted({values[0] for values, _ in wanted.values()})))
+            span |= source.agg(*ends(names[1:])).first().asDict()
         low, high = _unsigned(span[f"min_{name}"] or 0), _unsigned(span[f"max_{name}"] or 0)
         bits = (low ^ high).bit_length()
         # By place: values of the parts before, the leading digits of this part, the place among the rows that share them.
@@ -81,16 +89,16 @@ def rows_at(df: DataFrame, order: dict[str, Column], places: list[int] | None =
             group = F.lit(None).cast("int")
             for i, (values, lead) in enumerate(groups):
                 agrees = F.shiftrightunsigned(key, bits) == lead if bits < 64 else F.lit(True)
-                for other, value in zip(order, values):
+                for other, value in zip(names, values):
                     agrees &= F.col(other) == value
                 group = F.when(agrees, i).otherwise(group)
             bits -= step
             digit = F.shiftrightunsigned(key, bits).bitwiseAND((1 << step) - 1)
-            counted = parts.select(group.alias("group"), digit.alias("digit")).filter("group IS NOT NULL").groupBy("group", "digit").count()
-            counts = sorted(map(tuple, counted.collect()))
+            counted = source.select(group.alias("group"), digit.alias("digit"), "_n").filter("group IS NOT NULL")
+            sums = sorted(map(tuple, counted.groupBy("group", "digit").agg(F.sum("_n")).collect()))
             for place, (values, lead, left) in found.items():
                 at = groups.index((values, lead))
-                for g, d, n in counts:
+                for g, d, n in sums:
                     if g == at and left < n:
                         found[place] = (values, lead << step | d, left)
                         break

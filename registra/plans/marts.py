@@ -88,7 +88,7 @@ def _week_blocks(logs: DataFrame, graded: Column, null_activity_first: bool) ->
     )
 
 
-def _merged_blocks(blocks: DataFrame) -> DataFrame:
+def merged_blocks(blocks: DataFrame) -> DataFrame:
     """One row per (userid, courseid, block) from the blocks of any number of batches of logs."""
     largest = [*BASICS, "peak", "latest"]
     return blocks.groupBy(*PAIR, "block").agg(
@@ -189,12 +189,31 @@ def _averages(total_events: Column) -> dict[str, Column]:
     }
 
 
+#: What the quartiles are cut by.
+ACTIVITY_ORDER = ("total_events", *KEY)
+
+
 def _with_categories(rows: DataFrame) -> DataFrame:
-    order = {"total_events": F.coalesce("total_events", F.lit(0)), **{k: F.col(k) for k in KEY}}
-    quartiles = ranking.global_ntile(written(rows, "mart"), 4, order, "quartile")
+    quartiles = ranking.global_ntile(written(rows, "mart"), 4, {c: F.col(c) for c in ACTIVITY_ORDER}, "quartile")
     return quartiles.withColumn("activity_category", labels.activity_category(F.col("quartile")))
 
 
+def performance_view(cuts: list[tuple[int, ...]], now: int | None) -> list[str]:
+    """The mart's columns as SQL over its stored rows: the category by the quartiles' cuts, and `now` (microseconds) for the time
+    of the last update, if that is the same for all rows."""
+    place = "named_struct(" + ", ".join(f"'{c}', CAST({c} AS BIGINT)" for c in ACTIVITY_ORDER) + ")"
+
+    def at(cut: tuple[int, ...]) -> str:
+        return "named_struct(" + ", ".join(f"'{c}', CAST('{v}' AS BIGINT)" for c, v in zip(ACTIVITY_ORDER, cut)) + ")"
+
+    quartile = " + ".join(["1", *[f"IF({place} >= {at(cut)}, 1, 0)" for cut in cuts]])
+    category = f"CASE {quartile} WHEN 1 THEN '{labels.LOW}' WHEN 4 THEN '{labels.HIGH}' ELSE '{labels.MEDIUM}' END"
+    own = {"activity_category": category}
+    if now is not None:
+        own["last_update"] = f"timestamp_micros({now})"
+    return [f"{own[c]} AS {c}" if c in own else c for c in schemas.STUDENT_PERFORMANCE.fieldNames()]
+
+
 def _run_time(as_of: datetime | None) -> Column:
     return F.lit(as_of) if as_of is not None else F.current_timestamp()
 
@@ -256,12 +275,13 @@ def performance_of_state(
     variant: str = "v2",
 ) -> DataFrame:
     """The performance mart from the week blocks of all batches so far, as from all their logs."""
-    return _performance(_merged_blocks(state), departments, existing, as_of, variant)
+    return _performance(merged_blocks(state), departments, existing, as_of, variant)
 
 
-def _performance(
+def performance_rows(
     blocks: DataFrame, departments: DataFrame, existing: DataFrame | None, as_of: datetime | None, variant: str
 ) -> DataFrame:
+    """The rows of the performance mart after a run, all but the category, which depends on all of them."""
     first = variant == "v1"
     batch = _performance_batch(blocks, departments)
     now = _run_time(as_of)
@@ -270,10 +290,15 @@ def _performance(
     else:
         refreshed = list(COUNTERS) if first else [*BASICS, *COUNTERS]
         rows = _refresh(existing, batch, refreshed, touch_all=not first, now=now)
-    columns = schemas.STUDENT_PERFORMANCE.fieldNames()
-    needed = rows.select(*[c for c in columns if c != "activity_category"])
-    defaults = {c: F.lit(0).cast("bigint") for c in COUNTERS}
-    return _with_categories(quality.with_defaults(needed, defaults)).select(*columns)
+    needed = rows.select(*[c for c in schemas.STUDENT_PERFORMANCE.fieldNames() if c != "activity_category"])
+    return quality.with_defaults(needed, {c: F.lit(0).cast("bigint") for c in COUNTERS})
+
+
+def _performance(
+    blocks: DataFrame, departments: DataFrame, existing: DataFrame | None, as_of: datetime | None, variant: str
+) -> DataFrame:
+    rows = performance_rows(blocks, departments, existing, as_of, variant)
+    return _with_categories(rows).select(*schemas.STUDENT_PERFORMANCE.fieldNames())
 
 
 def _grade_place(grade: Column) -> Column:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Sequence
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from registra.sources.tables import list_tables
 
@@ -80,3 +82,68 @@ def current_mart(spark: SparkSession, name: str) -> DataFrame | None:
         return None
     held = {t.name for t in spark.catalog.listTables(database) if not t.isTemporary}
     return spark.table(name) if table in held else None
+
+
+class Part(Protocol):
+    """A table written by `write_part`, and which of its buckets count."""
+
+    table: str
+    buckets: Sequence[int]
+
+
+_PARTS = "registra.parts"
+
+
+def write_part(
+    rows: DataFrame, name: str, folder: str, buckets: int, checks: dict[str, Callable[[DataFrame], DataFrame]] | None = None
+) -> str:
+    """Write rows of a mart, with their `bucket`, as a part of it; returns the table's name.
+
+    Beside it a table of counts (bucket, total_events, n) is written; rows lie in order of their total, so that few
+    are read for one total. Rows that break a check remove the part and raise, as for `publish`.
+    """
+    spark = rows.sparkSession
+    database, table = name.split(".")
+    ensure_database(spark, database, folder)
+    part = f"{table}_part_{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+    placed = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "total_events")
+    placed.write.partitionBy("bucket").saveAsTable(f"{database}.{part}")
+    fresh = spark.table(f"{database}.{part}")
+    fresh.groupBy("bucket", "total_events").agg(F.count(F.lit(1)).alias("n")).write.saveAsTable(f"{database}.{part}_counts")
+    for label, broken_rows in (checks or {}).items():
+        if not broken_rows(fresh).isEmpty():
+            for written_table in (part, f"{part}_counts"):
+                spark.sql(f"DROP TABLE {database}.{written_table}")
+            raise ValueError(f"{name}: check '{label}' failed, the old version stays")
+    return part
+
+
+def _of_parts(name: str, parts: Iterable[Part], counts: bool = False) -> str:
+    database = name.partition(".")[0]
+    picked = [(f"{database}.{p.table}{'_counts' if counts else ''}", ", ".join(map(str, p.buckets)) or "NULL") for p in parts]
+    return " UNION ALL ".join(f"SELECT * FROM {table} WHERE bucket IN ({buckets})" for table, buckets in picked)
+
+
+def parts_frame(spark: SparkSession, name: str, parts: Iterable[Part], counts: bool = False) -> DataFrame:
+    """The rows, or the counts, of the buckets that count."""
+    return spark.sql(_of_parts(name, parts, counts))
+
+
+def publish_parts(spark: SparkSession, name: str, parts: Sequence[Part], columns: list[str]) -> None:
+    """Point `name` at the parts; readers see the old version or the new one."""
+    listed = ",".join(p.table for p in parts)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_PARTS}' = '{listed}') AS SELECT {', '.join(columns)} FROM ({_of_parts(name, parts)})")
+
+
+def published_parts(spark: SparkSession, name: str) -> list[str]:
+    """The parts `name` points at; none if it was published whole."""
+    held = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return held[_PARTS].split(",") if held.get(_PARTS) else []
+
+
+def drop_parts(spark: SparkSession, name: str, keep: set[str]) -> None:
+    """Parts of the mart that are not to be kept go with their files."""
+    database, table = name.split(".")
+    for found in list_tables(spark, database):
+        if found.startswith(f"{table}_part_") and found.removesuffix("_counts") not in keep:
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{found}")
