@@ -258,7 +258,7 @@ def _after_arrivals(logs, deps):
     folder = shared.new_path(spark, "mart")
     name = f"arrivals_{folder.rpartition('-')[2]}.performance"
     for batch, arrived in ((0, _early(logs)), (1, _late(logs)), (1, _late(logs))):
-        jobs.run_arrivals(arrived, batch, f"{folder}/state", deps, folder, RUN_TIME, name=name, buckets=16)
+        jobs.run_arrivals(arrived, batch, f"{folder}/state", deps, folder, RUN_TIME, name=name, buckets=8)
     return sinks.current_mart(spark, name)
 
 

@@ -15,11 +15,14 @@ from registra.sources.shared import written
 
 # Parts that the rows of one key are spread over.
 SALTS = 64
+# Items of a block have the bits of a 64-bit mask.
+_BLOCK_BITS = 6
 
 
 def _part(df: DataFrame, parts: int) -> Column:
-    """A row's part, by its content."""
-    return F.pmod(F.xxhash64(*df.columns), F.lit(parts).cast("bigint"))
+    """A row's part, by its content; maps have no hash and do not count."""
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return F.pmod(F.xxhash64(*plain), F.lit(parts).cast("bigint"))
 
 
 def _every(parts: int) -> Column:
@@ -77,32 +80,54 @@ def qualified(
     return earned.unionByName(paired_with(people.select(person).distinct(), free, n_free).select(person, goal))
 
 
+def numbered_items(needs: DataFrame, item: str) -> DataFrame:
+    """item, _block, _bit of every distinct item: up to 64 items share a block, each has a bit of it."""
+    number = F.monotonically_increasing_id()
+    items = written(needs.select(item).distinct().withColumn("_number", number), "items")
+    return items.select(item, F.shiftright("_number", _BLOCK_BITS).alias("_block"), F.col("_number").bitwiseAND((1 << _BLOCK_BITS) - 1).cast("int").alias("_bit"))
+
+
+def bitmaps(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, _block, _mask: the items of a key as 64-bit sets, reduced in each task by hash."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_bit"))
+    return rows.groupBy(*keys, "_block").agg(F.bit_or(bit).alias("_mask"))
+
+
 def missing(
     people: DataFrame, held: DataFrame, required: DataFrame, person: str, goal: str, item: str, per_salt: int = 100_000
 ) -> DataFrame:
     """One row (person, goal, item) per required item a person lacks.
 
-    People are first reduced to their distinct sets of held required items, which the
-    catalogue bounds. Gaps are worked out once per (set, goal), and only then listed for the
+    Items are numbered, and sets of them are 64-bit masks by block of the catalogue. People are first reduced to their
+    distinct sets of held required items. Gaps are worked out once per (set, goal, block), as
+    needed and not held, and only then listed by name for the
     people of a set; a set that very many hold is dealt over salts of `per_salt` people.
     """
     needs = written(valid_requirements(required, goal, item), "needs")
-    relevant = held.select(person, item).join(needs.select(item).distinct(), item, "left_semi")
-    sets = relevant.groupBy(person).agg(F.array_sort(F.collect_set(item)).alias("_held"))
-    empty = F.array().cast(T.ArrayType(needs.schema[item].dataType))
-    listed = people.select(person).distinct().join(sets, person, "left").withColumn("_held", F.coalesce("_held", empty))
-    listed = written(listed.withColumn("_set", F.sha2(F.to_json("_held"), 256)), "held-sets")
+    items = numbered_items(needs, item)
+    held_blocks = bitmaps(held.select(person, item).join(items, item), [person])
+    sets = held_blocks.groupBy(person).agg(F.array_sort(F.collect_list(F.struct("_block", "_mask"))).alias("_held"))
+    nothing = F.array().cast(sets.schema["_held"].dataType)
+    listed = people.select(person).distinct().join(sets, person, "left").withColumn("_held", F.coalesce("_held", nothing))
+    listed = listed.withColumn("_set", F.sha2(F.to_json("_held"), 256)).withColumn("_held", F.map_from_entries("_held"))
+    listed = written(listed, "held-sets")
     distinct = listed.groupBy("_set").agg(F.first("_held").alias("_held"), F.count(F.lit(1)).alias("_people"))
-    goals = needs.groupBy(goal).agg(F.collect_set(item).alias("_needed"))
-    lacking = paired_with(distinct, goals, goals.count()).withColumn("_lacks", F.array_except("_needed", "_held"))
-    lacking = lacking.filter(F.size("_lacks") > 0).select("_set", "_people", goal, "_lacks")
+    goals = bitmaps(needs.join(items, item), [goal]).withColumnRenamed("_mask", "_needed")
+    pairs = paired_with(distinct, goals, goals.count())
+    lacks = F.col("_needed").bitwiseAND(F.bitwise_not(F.coalesce(F.col("_held")[F.col("_block")], F.lit(0).cast("bigint"))))
+    lacking = pairs.select("_set", "_people", goal, "_block", lacks.alias("_lacks")).filter("_lacks != 0")
+    bits = F.array_sort(F.collect_list(F.struct("_bit", item)))
+    names = items.groupBy("_block").agg(bits.alias("_items"))
+    is_missing = lambda entry: F.getbit("_lacks", entry["_bit"]) == 1
+    named = lacking.join(names, "_block").select("_set", "_people", goal, F.filter("_items", is_missing).alias("_lacks"))
     salts = F.ceil(F.col("_people") / per_salt).cast("bigint")
-    gaps = lacking.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
+    gaps = named.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
     spread = listed.join(distinct.select("_set", "_people"), "_set").withColumn(
         "_salt", F.pmod(F.xxhash64(person), salts)
     )
     return (
         spread.select(person, "_set", "_salt")
         .join(gaps.drop("_people"), ["_set", "_salt"])
-        .select(person, goal, F.explode("_lacks").alias(item))
+        .select(person, goal, F.explode("_lacks").alias("_entry"))
+        .select(person, goal, F.col("_entry")[item].alias(item))
     )

@@ -1,5 +1,6 @@
 """The small skills base with known results."""
 
+import random
 from dataclasses import replace
 
 import pytest
@@ -157,3 +158,28 @@ def test_triples(base):
     assert facts.filter(F.col("predicate") == triples.TYPE).count() == 10 + 8 + 5 + 7
     grants = facts.filter(F.col("predicate").endswith("может_занимать_должность"))
     assert grants.count() == 10 and grants.filter("object_kind <> 'iri'").isEmpty()
+
+
+def test_gaps_over_a_catalogue_of_many_blocks(spark):
+    rng = random.Random(5)
+    items = list(range(-70, 130))
+    required = {goal: set(rng.sample(items, rng.randint(1, 150))) for goal in "abcdef"}
+    held = {person: set(rng.sample([*items, 999], rng.randint(0, 180))) for person in range(25)}
+    held |= {person: set() for person in (25, 26)} | {27: set(items)}
+    people = spark.createDataFrame([(p,) for p in held], "person int")
+    owned = spark.createDataFrame([(p, i) for p, own in held.items() for i in own], "person int, item int")
+    needs = spark.createDataFrame([(g, i) for g, own in required.items() for i in own] + [("a", None), (None, 3)], "goal string, item int")
+    items_of = division.numbered_items(division.valid_requirements(needs, "goal", "item"), "item")
+    assert items_of.select("_block").distinct().count() > 3
+    wanted = sorted((p, g, i) for p, own in held.items() for g, asked in required.items() for i in asked - own)
+    for per_salt in (100_000, 1):
+        found = division.missing(people, owned.repartition(3), needs, "person", "goal", "item", per_salt)
+        assert sorted(map(tuple, found.collect())) == wanted
+
+
+def test_gaps_without_requirements_or_people(spark):
+    people, owned = spark.createDataFrame([(1,)], "person int"), spark.createDataFrame([(1, 5)], "person int, item int")
+    needs = spark.createDataFrame([("a", 5), ("b", 6)], "goal string, item int")
+    assert division.missing(people, owned, needs.limit(0), "person", "goal", "item").count() == 0
+    assert division.missing(people.limit(0), owned, needs, "person", "goal", "item").count() == 0
+    assert [tuple(r) for r in division.missing(people, owned, needs, "person", "goal", "item").collect()] == [(1, "b", 6)]
