@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Callable, Iterable, Iterator
+from os.path import commonprefix
 from string import punctuation
 from unicodedata import is_normalized
 
@@ -168,6 +169,7 @@ class WordEncoder(dict):
         special = {t.content: struct.pack("<I", i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
         self.special = special
         self.cuts = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
+        self.mark = commonprefix(list(special))  # a text without it needs no search
         self.half, self.lower = limit // 2, lower
         self.half_bytes, self.used = memory // 2, 0
         self.older: dict[str, bytes] = {}
@@ -210,7 +212,7 @@ class WordEncoder(dict):
         up once each; numpy puts the ids in place."""
         if not texts:
             return []
-        held = [i for i, text in enumerate(texts) if self.cuts.search(text)] if self.cuts else []
+        held = [i for i, text in enumerate(texts) if self.mark in text and self.cuts.search(text)] if self.cuts else []
         if held:
             cut = [self.cuts.split(texts[i]) for i in held]  # in turn ordinary text and a special token's string
             inside = set(held)
