@@ -93,10 +93,13 @@ def _versions(spark: SparkSession, state: str) -> list[int]:
 
 
 def read_manifest(spark: SparkSession, state: str) -> Manifest | None:
+    """The newest manifest; None before the first batch."""
     known = _versions(spark, state)
-    if not known:
-        return None
-    value = json.loads(spark.read.text(f"{state}/manifest/{known[-1]:012d}").first()["value"])
+    return _read_version(spark, state, known[-1]) if known else None
+
+
+def _read_version(spark: SparkSession, state: str, version: int) -> Manifest:
+    value = json.loads(spark.read.text(f"{state}/manifest/{version:012d}").first()["value"])
     value["batches"] = tuple(map(tuple, value["batches"]))
     value["runs"] = tuple(Run(**r) for r in value["runs"])
     value["touched"] = {name: tuple(buckets) for name, buckets in value["touched"].items()}
@@ -108,12 +111,21 @@ def read_manifest(spark: SparkSession, state: str) -> Manifest | None:
 
 
 def write_manifest(spark: SparkSession, state: str, manifest: Manifest) -> Manifest:
-    """Write the next version. The last two stay; runs that only older ones name go."""
+    """Write the next version. The last two stay with their runs; runs that neither names, also those of failed adds, go.
+
+    So a state has one writer at a time, and a reader has until the next version but one.
+    """
     fresh = replace(manifest, version=manifest.version + 1)
     line = spark.createDataFrame([(json.dumps(asdict(fresh)),)], "value string")
     line.coalesce(1).write.text(f"{state}/manifest/{fresh.version:012d}")
-    for old in _versions(spark, state)[:-2]:
+    known = _versions(spark, state)
+    for old in known[:-2]:
         _drop(spark, f"{state}/manifest/{old:012d}")
+    named = {run.path for run in fresh.runs} | {run.path for v in known[-2:-1] for run in _read_version(spark, state, v).runs}
+    files, place = _folder(spark, f"{state}/runs")
+    for status in files.listStatus(place) if files.exists(place) else []:
+        if f"runs/{status.getPath().getName()}" not in named:
+            files.delete(status.getPath(), True)
     return fresh
 
 
@@ -155,14 +167,11 @@ def add(logs: DataFrame, state: str, batch: int, variant: str = "v2", buckets: i
     # At most as many rows as there are buckets.
     touched = tuple(sorted(r["bucket"] for r in _read_runs(spark, state, manifest, (run,)).select("bucket").distinct().collect()))
     marks = {name: tuple(sorted({*known, *touched})) for name, known in manifest.touched.items()}
-    runs, level, gone = (*manifest.runs, run), 0, []
+    runs, level = (*manifest.runs, run), 0
     while len(full := tuple(r for r in runs if r.level == level)) >= FAN:
         merged = _write_run(marts.merged_blocks(_read_runs(spark, state, manifest, full)), manifest, state, level + 1)
-        runs, gone, level = (*[r for r in runs if r.level != level], merged), [*gone, *full], level + 1
-    after = write_manifest(spark, state, replace(manifest, runs=runs, touched=marks))
-    for old in gone:  # the version before names them still, but only a failed write would go back to it
-        _drop(spark, f"{state}/{old.path}")
-    return after
+        runs, level = (*[r for r in runs if r.level != level], merged), level + 1
+    return write_manifest(spark, state, replace(manifest, runs=runs, touched=marks))
 
 
 def read(spark: SparkSession, state: str, buckets: tuple[int, ...] | None = None) -> DataFrame:

@@ -25,7 +25,7 @@ def follow_logs(
     """One mart run per group of new CSV files, until all present files are done.
 
     What a group adds is kept in `state`, by default a folder beside the mart's, under the number the
-    stream gives the group; a group that is run again after a failure replaces its own part and changes nothing.
+    stream gives the group; a group that is run again after a failure counts once.
     """
     state = state or f"{mart_folder}/{name}.state"
 
