@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import struct
 from collections.abc import Callable, Iterable, Iterator
@@ -22,6 +23,7 @@ __all__ = [
     "WordEncoder",
     "by_hot_key",
     "encoder",
+    "give_back",
     "hash_sample",
     "map_texts",
     "mix64",
@@ -87,6 +89,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def give_back() -> None:
+    """Return freed memory of this worker to the system, where the C library can: an idle worker keeps little."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_texts(
     df: DataFrame, work: Callable[[list[str]], Iterable[tuple]], fields: list[tuple[str, pa.DataType]], schema: str, chars: int = 4_000_000
 ) -> DataFrame:
@@ -104,6 +114,8 @@ def map_texts(
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in range(len(kept))] + columns, names=kept + [name for name, _ in fields]
                 )
+                del made, columns
+        give_back()
 
     head = "".join(f"`{name}` {df.schema[name].dataType.simpleString()}, " for name in kept)
     return df.mapInArrow(run, head + schema)
@@ -133,6 +145,7 @@ def of_text(work: Callable[[list[str]], Iterable], kind: pa.DataType, sql: str,
             batch = pa.RecordBatch.from_arrays([array], names=["text"])
             made = [value for part in parts(batch, 0, size) for value in work(part.column(0).to_pylist())]
             yield pa.array(made, kind)
+        give_back()
 
     return run
 

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from registra.llm.common import by_hot_key, map_texts, mix64, parts, unused, whole_text, written
+from registra.llm.common import by_hot_key, give_back, map_texts, mix64, parts, unused, whole_text, written
 from registra.llm.components import components
 
 WORDS = 5
@@ -194,7 +194,7 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.float64(), pa.binary())
         for batch in batches:
-            for part in parts(batch, 3, 4_000_000):
+            for part in parts(batch, 3, 2_000_000):
                 made = []
                 for key, node, keys, text in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
                     words = text.split()
@@ -205,6 +205,7 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x[i] for x in made], kind) for i, kind in enumerate(kinds)], names=["id", "hashes", "counts", "size", "total", "bands"]
                 )
+        give_back()
 
     return rows.mapInArrow(work, "id bigint, hashes binary, counts binary, size bigint, total double, bands binary").dropDuplicates(["id"])
 

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registra.llm.common import encoder, parts, whole_text, written
+from registra.llm.common import encoder, give_back, parts, whole_text, written
 
 
 class OpenWindows:
@@ -78,7 +78,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> D
         encode = encoder(tokenizer).encode
         next_id = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for part in parts(batch, 1, 8_000_000):
+            for part in parts(batch, 1, 3_000_000):
                 rows = []
                 for doc_id, own in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist()), strict=True):
                     ids = own + tail
@@ -92,6 +92,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> D
                     [pa.array(c, pa.int64()) for c in columns[:5]] + [pa.array(columns[5], pa.binary())],
                     names=["piece_id", "doc_id", "start", "length", "doc_tokens", "ids"],
                 )
+                del rows, columns
+        give_back()
 
     texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), whole_text(docs).alias("text"))
     return texts.mapInArrow(cut, "piece_id bigint, doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary")
