@@ -557,18 +557,32 @@ _add(
         UNION ALL SELECT v FROM (VALUES {_DECLARED}) t(v)""",
     o_declared_class_graph=f"""counts AS (
         SELECT 'Клиент' AS c, count(*) AS n FROM clients UNION ALL SELECT 'Счет', count(*) FROM accounts
-        UNION ALL SELECT 'Транзакция', count(*) FROM transactions UNION ALL SELECT 'Кредит', count(*) FROM credits)
+        UNION ALL SELECT 'Транзакция', count(*) FROM transactions UNION ALL SELECT 'Кредит', count(*) FROM credits),
+    declared AS (SELECT * FROM (VALUES (1, 'владеет_счетом', 'Клиент', 'Счет'), (2, 'имеет_кредит', 'Клиент', 'Кредит'),
+        (3, 'относится_к_счету', 'Транзакция', 'Счет')) t(place, p, d, r))
 --
 SELECT '{BANK_IRI}' || s AS source, '{BANK_IRI}' || t AS target, '{BANK_IRI}' || l AS label, n AS n_rows
-        FROM (VALUES ('Клиент', 'Счет', 'владеет_счетом'), ('Клиент', 'Кредит', 'имеет_кредит'),
-            ('Транзакция', 'Счет', 'относится_к_счету'), ('Счет', NULL, NULL), ('Кредит', NULL, NULL)) g(s, t, l) JOIN counts ON s = c""",
+        FROM (
+            SELECT d AS s, r AS t, arg_max(p, place) AS l FROM declared GROUP BY d, r
+            UNION ALL SELECT c, NULL, NULL FROM counts WHERE c NOT IN (SELECT d FROM declared)
+        ) g JOIN counts ON s = c""",
     o_class_graph=_EDGES
     + f"""
 --
 SELECT '{BANK_IRI}' || source_kind AS source, '{BANK_IRI}' || target_kind AS target, '{BANK_IRI}' || max(predicate) AS label
         FROM edges GROUP BY source_kind, target_kind
-        UNION ALL SELECT '{BANK_IRI}' || c, NULL, NULL FROM (VALUES ('Счет'), ('Кредит')) t(c)""",
+        UNION ALL SELECT '{BANK_IRI}' || c, NULL, NULL FROM (VALUES ('Клиент'), ('Счет'), ('Транзакция'), ('Кредит')) t(c)
+        WHERE c NOT IN (SELECT source_kind FROM edges)""",
 )
+_SEGMENTS = """WITH rows AS (SELECT DISTINCT c_nationkey, CASE WHEN length(c_mktsegment) = 9 THEN c_mktsegment ELSE lower(c_mktsegment) END AS label
+        FROM customer)"""
+ORACLES["a_text_maximum"] = f"""{_SEGMENTS}
+        SELECT c_nationkey, last(label ORDER BY label) AS binary_last, last(label ORDER BY label COLLATE NOCASE, label) AS no_case_last
+        FROM rows GROUP BY c_nationkey"""
+ORACLES["t_text_order"] = f"""{_SEGMENTS}
+        SELECT c_nationkey, label, row_number() OVER (PARTITION BY c_nationkey ORDER BY label) AS binary_place,
+               row_number() OVER (PARTITION BY c_nationkey ORDER BY label COLLATE NOCASE, label) AS no_case_place
+        FROM rows"""
 ORACLES["s_list_tables"] = " UNION ALL ".join(
     f"SELECT 'given_{t}' AS table_name, count(*) AS n_rows FROM {t}"
     for t in ("customer", "lineitem", "nation", "orders", "part", "supplier")

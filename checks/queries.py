@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from registra import schemas, standin
-from registra.functions import labels, numbers
+from registra.functions import labels, numbers, texts
 from registra.operators import quality, ranking
 from registra.operators.upsert import upsert
 from registra.plans import bank, jobs, marts, ontology, portal, skills, synth, triples
@@ -193,6 +193,32 @@ over_logs_and_departments(
     q_top_failing_department=portal.top_failing_department,
 )
 
+# --- text order ------------------------------------------------------------------------
+
+
+def _segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels in capitals and in small letters, as codes come from different hands."""
+    capitals = F.length("c_mktsegment") == 9
+    label = F.when(capitals, F.col("c_mktsegment")).otherwise(F.lower("c_mktsegment"))
+    return standin.table(spark, folder, "customer").select("c_nationkey", label.alias("label"))
+
+
+@query
+def a_text_maximum(spark, folder):
+    rows = _segments(spark, folder)
+    return texts.largest(rows, ["c_nationkey"], "label", out="binary_last").join(
+        texts.largest(rows, ["c_nationkey"], "label", texts.NO_CASE, "no_case_last"), "c_nationkey"
+    )
+
+
+@query
+def t_text_order(spark, folder):
+    rows = _segments(spark, folder)
+    return texts.placed(rows, ["c_nationkey"], "label", out="binary_place").join(
+        texts.placed(rows, ["c_nationkey"], "label", texts.NO_CASE, "no_case_place"), ["c_nationkey", "label"]
+    )
+
+
 # --- marts ---------------------------------------------------------------------------
 
 
