@@ -229,3 +229,16 @@ def test_individuals_round_trip_with_relative_names(spark, owl, tmp_path):
     text = "".join(r.value for r in spark.read.text(path).collect())
     assert 'owl:NamedIndividual rdf:about="#к_1"' in text and 'rdf:resource="#с_2"' in text
     assert sorted(rdf.read_rdf_xml(spark, path, IRI, ["имеет"], ["фио"]).collect()) == sorted(facts.collect())
+
+
+def test_ntriples_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(rdf, "_LINES_A_FILE", 1000)
+    facts = spark.range(3000).coalesce(1).selectExpr(
+        "concat('http://s/', id) AS subject", "'http://p' AS predicate", "concat('o ', id) AS object", "'literal' AS object_kind", "'http://d' AS datatype"
+    )
+    path = tmp_path / "lines"
+    rdf.write_ntriples(facts, str(path))
+    parts = list(path.glob("part-*"))
+    found = sorted(r.value for r in spark.read.text(str(path)).collect())
+    assert len(parts) == 3 and found == sorted(r.value for r in rdf.ntriples_lines(facts).collect())
+    assert sum(p.stat().st_size for p in parts) * 4 < sum(len(line) + 1 for line in found)
