@@ -242,3 +242,28 @@ def test_ntriples_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch)
     found = sorted(r.value for r in spark.read.text(str(path)).collect())
     assert len(parts) == 3 and found == sorted(r.value for r in rdf.ntriples_lines(facts).collect())
     assert sum(p.stat().st_size for p in parts) * 4 < sum(len(line) + 1 for line in found)
+
+
+def test_patterns_are_not_evaluated_twice(spark, owl):
+    rows = rdf._elements(spark, owl, ("owl:NamedIndividual",), ["имеет", "фио"])
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("^(.*?)</") == 1 and not [line for line in plan.splitlines() if "Filter" in line and "regexp" in line]
+
+
+def test_single_elements_are_read_like_others(spark, tmp_path):
+    elements = ['<фио>  a b\n</фио>', '<фио rdf:datatype="d">x</фио>', '<фио/>', '<имеет rdf:resource="#с_1"/>', '<имеет rdf:resource="http://o/1" ></имеет >',
+                '<фио>&lt;1&amp;</фио>', '<фио x="1" rdf:datatype=\'e\'>y</фио>', '<rdfs:label>z</rdfs:label>', '<rdf:type rdf:resource="#К"/>']
+    one = "".join(f'<owl:NamedIndividual rdf:about="#к_{i}">{e}</owl:NamedIndividual>\n' for i, e in enumerate(elements))
+    # A comment takes a piece off the short way.
+    two = "".join(f'<owl:NamedIndividual rdf:about="#к_{i}"><!-- -->{e}</owl:NamedIndividual>\n' for i, e in enumerate(elements))
+    found = []
+    for name, text in (("one", one), ("two", two)):
+        path = tmp_path / f"{name}.owl"
+        path.write_text(f'<rdf:RDF xmlns:rdf="{rdf.RDF_NS}">\n{text}</rdf:RDF>\n')
+        rows = rdf.read_rdf_xml(spark, str(path), IRI, ["имеет"], ["фио"]).collect()
+        found.append(sorted(map(tuple, rows), key=str))
+    assert found[0] == found[1] and len(found[0]) == 8
+    assert (IRI + "к_0", IRI + "фио", "a b", "literal", None) in found[0] and (IRI + "к_1", IRI + "фио", "x", "literal", "d") in found[0]
+    path.write_text(f'<rdf:RDF xmlns:rdf="{rdf.RDF_NS}">\n{one.replace("фио", "имя")}</rdf:RDF>\n')
+    with pytest.raises(ValueError, match="no place for the element имя"):
+        rdf.read_rdf_xml(spark, str(path), IRI, ["имеет"], ["фио"])
