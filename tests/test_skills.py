@@ -183,3 +183,22 @@ def test_gaps_without_requirements_or_people(spark):
     assert division.missing(people, owned, needs.limit(0), "person", "goal", "item").count() == 0
     assert division.missing(people.limit(0), owned, needs, "person", "goal", "item").count() == 0
     assert [tuple(r) for r in division.missing(people, owned, needs, "person", "goal", "item").collect()] == [(1, "b", 6)]
+
+
+def test_added_skills_are_written_before_inference(base, rows):
+    more = skills.with_skills(base, rows([(5, 1), (5, 1), (77, 1)], "employee_id int, knowledge_id int"))
+    plan = more.skills._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    assert sorted(map(tuple, more.skills.collect())) == sorted({*map(tuple, base.skills.collect()), (5, "person 5", 1)})
+
+
+def test_division_compares_sets_by_block(spark, rows):
+    draws = random.Random(3)
+    required = [(g, draws.randrange(300)) for g in range(40) for _ in range(1 + g % 3)]
+    held = [(p, i) for p in range(30) for i in range(300) if draws.random() < 0.7]
+    people = rows([(p,) for p in range(31)], "p int")
+    args = rows(held, "p int, i int"), rows([(g,) for g in range(40)], "g int"), rows(required, "g int, i int"), "p", "g", "i"
+    found = division.qualified(people, *args)
+    known, needs = set(held), {g: {i for h, i in required if h == g} for g in range(40)}
+    assert sorted(map(tuple, found.collect())) == sorted((p, g) for p in range(31) for g in needs if all((p, i) in known for i in needs[g]))
+    assert "_mask" in found._jdf.queryExecution().optimizedPlan().toString()
