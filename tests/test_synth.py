@@ -106,3 +106,10 @@ def test_department_ids_are_joined_and_keep_their_width(spark):
     assert (found[0], found[1]) == tuple(sorted(ids) for ids in given)
     assert staff.count() == 300
     assert "collect_list" not in staff._jdf.queryExecution().toString()
+
+
+def test_few_bytes_of_ids_are_dealt_over_all_tasks(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    clients = synth.bank_clients(spark.range(1, 200).coalesce(1), TODAY)
+    assert clients.rdd.getNumPartitions() == parts > 1
+    assert synth.bank_accounts(clients, TODAY).rdd.getNumPartitions() == parts
