@@ -140,3 +140,12 @@ def test_empty_batches_and_no_state(spark, deps, tmp_path):
     assert jobs.run_arrivals(logs_of(spark, log(1, 1, "4")), 1, state, deps, str(tmp_path), T0, name="dmr_empty.performance") == 1
     with pytest.raises(ValueError, match="no state"):
         store.read(spark, str(tmp_path / "other"))
+
+
+def test_a_bucket_is_written_by_several_tasks(spark, deps, tmp_path):
+    name, state = "dmr_dealt.performance", tmp_path / "state"
+    jobs.run_arrivals(batch_of(spark, 0, range(200)), 0, str(state), deps, str(tmp_path), T0, name=name, buckets=1)
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+    assert len(list(state.glob("runs/*/bucket=0/part-*"))) > 1
+    part = sinks.published_parts(spark, name)[0]
+    assert spark.table(f"dmr_dealt.{part}").select(F.input_file_name()).distinct().count() > 1
