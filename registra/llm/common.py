@@ -150,21 +150,31 @@ def of_text(work: Callable[[list[str]], Iterable], kind: pa.DataType, sql: str,
     return run
 
 
-class WordEncoder(dict):
+def _letter_ends() -> np.ndarray:
+    """Whether a byte ends a Latin letter or a digit, by 256 times the byte before it plus itself.
+
+    Lower case of two characters may end in one that is no letter; such letters do not count."""
+    ends = np.zeros((256, 256), dtype=bool)
+    for own in (c.encode() for c in map(chr, range(0x180)) if c.isalnum() and len(c.lower()) == 1):
+        ends[own[0] if own[1:] else slice(None), own[-1]] = True
+    return ends.ravel()
+
+
+class WordEncoder:
     """Ids of whole texts by the tokenizers library, one call per distinct piece of text.
 
     Only for tokenizers that drop white space and never look across it: a text's ids are
-    then those of its pieces between blanks, one after the other. Pieces map to their ids as
-    little-endian unsigned 32-bit numbers. At most `limit` pieces, and about `memory` bytes of them, are remembered, in
-    two halves: when the newer is full the older goes, and what is asked for again moves to the newer.
+    then those of its pieces between blanks, one after the other. Pieces met before are found by Arrow, a whole slice of text at
+    once; Python sees the others only. `words` and `ids` (little-endian unsigned 32-bit numbers) hold what is remembered. Where
+    that is more than `limit` pieces or `memory` bytes, those asked for last stay, up to half of either.
 
     As the library does by default, the strings of special tokens are cut out of the raw text first, and are
     these tokens; what stands between them is encoded on its own.
 
     For lower-casing tokenizers (`lower`) texts are lower-cased first where that changes no id:
     where text and lower case are both in normal form C and no capital sigma stands in it, whose
-    lower case depends on its place. Marks at the end of a piece, after a Latin letter or a digit, are split off by
-    such a tokenizer too. A word of Latin letters passes such a tokenizer's normaliser and splitter as
+    lower case depends on its place. Such a tokenizer splits before any mark that follows a Latin letter or a digit, so pieces
+    end there too. A word of Latin letters passes such a tokenizer's normaliser and splitter as
     it is, so its byte-level form goes straight to the library's model, which takes a third of the time.
     """
 
@@ -172,9 +182,12 @@ class WordEncoder(dict):
     #: for the characters from 256 on.
     HIDDEN = [b for b in range(256) if not (33 <= b < 127 or 161 <= b < 256 and b != 173)]
     BYTE_NAMES = {b: 256 + i for i, b in enumerate(HIDDEN)}
+    MARKS = np.isin(np.arange(256), list(punctuation.encode()))
+    ENDS = _letter_ends()
+    #: Bytes a remembered piece takes besides its text and ids: two offsets and the call it was asked for last.
+    ENTRY = 24
 
     def __init__(self, path: str, limit: int = 600_000, lower: bool = True, memory: int = 100_000_000):
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         # A piece holds no special token; one that lower case turns into its string is ordinary text.
         self.tokenizer.encode_special_tokens = True
@@ -183,29 +196,12 @@ class WordEncoder(dict):
         self.special = special
         self.cuts = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.mark = commonprefix(list(special))  # a text without it needs no search
-        self.half, self.lower = limit // 2, lower
-        self.half_bytes, self.used = memory // 2, 0
-        self.older: dict[str, bytes] = {}
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.older.get(piece)
-        if ids is None:
-            stem = piece.rstrip(punctuation) if self.lower else piece
-            last = stem[-1:].lower()  # may be two characters, of which the second is no letter
-            if len(stem) < len(piece) and len(last) == 1 and last < "\u0180" and last.isalnum():
-                ids = self[stem] + self[piece[len(stem) :]]
-            else:
-                ids = self.ask(piece)
-        if len(self) >= self.half or self.used >= self.half_bytes:
-            self.older = dict(self)
-            self.clear()
-            self.used = 0
-        self[piece] = ids
-        self.used += 200 + 2 * len(piece) + len(ids)
-        return ids
+        self.limit, self.memory, self.lower = limit, memory, lower
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.last, self.calls, self.used = np.zeros(0, dtype=np.int64), 0, 0
 
     def ask(self, piece: str) -> bytes:
-        if self.lower and piece.isalpha() and piece.islower() and max(piece) < "\u0180":
+        if self.lower and piece.isalpha() and piece.islower() and (piece.isascii() or max(piece) < "\u0180"):
             named = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.BYTE_NAMES)
             ids = [token.id for token in self.model.tokenize(named)]
         else:
@@ -213,16 +209,54 @@ class WordEncoder(dict):
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def prepared(self, text: str) -> str:
-        """The text with blanks alone between its pieces, in lower case where that changes no id."""
+        """The text in lower case where that changes no id."""
         if self.lower:
             low = text.lower()
             if text.isascii() or ("\u03a3" not in text and is_normalized("NFC", text) and is_normalized("NFC", low)):
-                text = low
-        return text.replace("\n", " ")
+                return low
+        return text
+
+    def pieces(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The pieces of all texts, one after the other, and where each text's begin, with the end of the last.
+
+        A piece begins at a byte that is no blank after a blank, at the start of a text, and at a mark that follows a letter."""
+        whole = pa.array([self.prepared(text) for text in texts], pa.large_string())
+        offsets = np.frombuffer(whole.buffers()[1], dtype=np.int64, count=len(texts) + 1)
+        data = np.frombuffer(whole.buffers()[2] or b"", dtype=np.uint8)[: offsets[-1]]
+        kept = (data != ord(" ")) & (data != ord("\n"))
+        first = np.append(False, ~kept)
+        first[offsets] = True
+        if self.lower:
+            marks = np.flatnonzero(self.MARKS[data])
+            first[marks[self.ENDS[256 * data[marks - 2].astype(np.int64) + data[marks - 1]]]] = True
+        at = np.flatnonzero(first[:-1] & kept)
+        lengths = np.add.reduceat(kept, at, dtype=np.int64) if len(at) else at
+        ends = np.append(0, np.cumsum(lengths))
+        words = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(ends), pa.py_buffer(data[kept]))
+        return words, np.searchsorted(at, offsets)
+
+    def known(self, words: pa.Array) -> pa.Array:
+        """The ids of each piece. What is not remembered is asked for, once each, and remembered."""
+        at = pc.index_in(words, value_set=self.words)
+        new = at.is_null()
+        fresh = words.filter(new).dictionary_encode()
+        asked = pa.array([self.ask(piece) for piece in fresh.dictionary.to_pylist()], pa.large_binary())
+        places = at.fill_null(0).to_numpy().astype(np.int64)
+        places[new.to_numpy(zero_copy_only=False)] = fresh.indices.to_numpy() + len(self.words)
+        held, ids = pa.concat_arrays([self.words, fresh.dictionary]), pa.concat_arrays([self.ids, asked])
+        last, self.calls = np.append(self.last, np.zeros(len(asked), dtype=np.int64)), self.calls + 1
+        last[places] = self.calls
+        found = ids.take(pa.array(places))
+        sizes = self.ENTRY + pc.binary_length(held).to_numpy() + pc.binary_length(ids).to_numpy()
+        if len(held) > self.limit or sizes.sum() > self.memory:
+            stay = np.argsort(-last, kind="stable")[: self.limit // 2]
+            stay = stay[np.cumsum(sizes[stay]) <= self.memory // 2]
+            held, ids, last, sizes = held.take(pa.array(stay)), ids.take(pa.array(stay)), last[stay], sizes[stay]
+        self.words, self.ids, self.last, self.used = held, ids, last, int(sizes.sum())
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text. Arrow cuts the texts and numbers their distinct pieces, which are then looked
-        up once each; numpy puts the ids in place."""
+        """The ids of each text. numpy cuts the texts, Arrow looks their pieces up and puts the ids in place."""
         if not texts:
             return []
         held = [i for i, text in enumerate(texts) if self.mark in text and self.cuts.search(text)] if self.cuts else []
@@ -234,17 +268,11 @@ class WordEncoder(dict):
             for i, own in zip(held, cut, strict=True):
                 out[i] = b"".join(self.special[t] if k % 2 else next(rest) for k, t in enumerate(own))
             return out
-        words = pc.split_pattern(pa.array([self.prepared(t) for t in texts], pa.large_string()), " ")
-        coded = words.flatten().dictionary_encode()
-        known = [self[piece] for piece in coded.dictionary.to_pylist()]
-        lengths = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
-        flat, starts = np.frombuffer(b"".join(known), dtype="<u4"), np.cumsum(lengths) - lengths
-        at = coded.indices.to_numpy()
-        each = lengths[at]
-        ends = np.cumsum(each)
-        ids = flat[np.repeat(starts[at] - (ends - each), each) + np.arange(ends[-1])]
-        bounds = np.concatenate([[0], ends])[words.offsets.to_numpy()]
-        return [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        words, bounds = self.pieces(texts)
+        found = self.known(words)
+        ends = np.frombuffer(found.buffers()[1], dtype=np.int64, count=len(words) + 1)[bounds].tolist()
+        ids = memoryview(found.buffers()[2] or b"")
+        return [ids[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 _encoders: dict[str, WordEncoder] = {}

@@ -44,6 +44,42 @@ def test_strings_of_special_tokens_are_these_tokens(tokenizer):
     assert small.used < 5000
 
 
+def test_pieces_end_before_marks_that_follow_a_letter(tokenizer):
+    own = WordEncoder(PATH)
+    texts = [f"x{chr(c)}{m}{chr(c)}'s{m}" for c in range(0x20, 0x250) for m in "!'(),-./:<=>?@[_|~\u0301\u0338"]
+    for text, ids in zip(texts, own.encode(texts), strict=True):
+        assert ids == np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes(), text
+    own = WordEncoder(PATH)
+    own.encode(["Straße, straße. été! été\n(été) 4.0"])
+    assert sorted(own.words.to_pylist()) == sorted(["straße", ",", ".", "été", "!", "(été", ")", "4", ".0"])
+
+
+def asking(own):
+    """The pieces that an encoder asks the library for, as they come."""
+    asked, ask = [], own.ask
+    own.ask = lambda piece: asked.append(piece) or ask(piece)
+    return asked
+
+
+def test_known_pieces_take_little_memory_and_are_not_asked_again():
+    words = ["".join(chr(97 + n // 26**k % 26) for k in range(4)) for n in range(10_000)]
+    own = WordEncoder(PATH, memory=1_000_000)
+    asked = asking(own)
+    once = own.encode([" ".join(words)])
+    assert sorted(asked) == sorted(words)
+    assert own.encode([" ".join(words)]) == once and len(asked) == len(words)
+
+
+def test_pieces_asked_for_last_stay():
+    own = WordEncoder(PATH, limit=8)
+    asked = asking(own)
+    for text in ("a b c d", "e f g h", "a b", "i j"):
+        own.encode([text])
+    assert own.words.to_pylist() == ["i", "j", "a", "b"] and len(asked) == 10
+    own.encode(["a b i j", "a"])
+    assert len(asked) == 10
+
+
 @pytest.mark.parametrize("clashing", [False, True])
 def test_token_files_give_back_every_id(spark, tmp_path, tokenizer, clashing):
     docs = documents(spark, clashing)
